@@ -18,9 +18,9 @@ def batch_timestamp(stamp: str):
 
 def dwell(visits: DataFrame) -> DataFrame:
     """A1: duration = last end time - first end time (seconds) per (imsi, district)."""
-    return visits.select(
-        "imsi", "district_id", "user_number", "city_id", "district_name",
-        (time_epoch("max_end_time") - time_epoch("min_end_time")).alias("duration"))
+    keep = [c for c in ("imsi", "district_id", "user_number", "city_id", "district_name")
+            if c in visits.columns]
+    return visits.select(*keep, (time_epoch("max_end_time") - time_epoch("min_end_time")).alias("duration"))
 
 
 def with_section(dwell_df: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ def district_join(signal: DataFrame, dim: DataFrame, broadcast: bool | None = No
 
     The serving city ``latn_id`` becomes ``city_id``; columns come out in the enriched
     order, followed by any extra signal columns.  ``broadcast=None`` checks the
-    dimension's size (``bounded_broadcast``); True/False force the choice.
+    dimension's size (``bounded_broadcast``); True marks it for broadcast (the caller
+    vouches for its size); False leaves the frame as given (no check, no hint).
     """
     d = dim.select(*DIM_COLUMNS)
     if broadcast is None:

@@ -74,16 +74,22 @@ def tag_periods(people_df: DataFrame, residents: bool = True, staff: bool = True
             .withColumn("stay_date", stay_date))
 
 
-def daily_stays(tagged: DataFrame, colocate: bool = True) -> DataFrame:
+def daily_stays(tagged: DataFrame, with_attrs: bool = True, colocate: bool = True) -> DataFrame:
     """Per (imsi, district, attr, stay date) the span between the first and last
-    end time (seconds), with the visitor's attributes.
+    end time (seconds), with the visitor's attributes when ``with_attrs``.
 
-    The raw rows are reduced by a hash aggregate (times as integers, attributes in the
-    key); its output is then co-partitioned by (imsi, district, attr) so this step and
-    the stay-day count that follows need no further shuffle."""
+    With attributes, the raw rows are reduced by a hash aggregate (times as integers,
+    string attributes in the key) whose output is co-partitioned by (imsi, district,
+    attr), so this step and the stay-day count that follows need no further shuffle.
+    Without attributes (only the keys are needed, e.g. to remove people) it is one
+    hash aggregate."""
     key = STAY_KEY + ["stay_date"]
-    stage1 = (tagged.groupBy(*key, *_ATTRS)
-              .agg(F.min(time_key("end_time")).alias("lo"), F.max(time_key("end_time")).alias("hi")))
+    times = [F.min(time_key("end_time")).alias("lo"), F.max(time_key("end_time")).alias("hi")]
+    if not with_attrs:
+        stage = tagged.groupBy(*key).agg(*times)
+        return stage.select(*key, (time_epoch("hi") - time_epoch("lo")).alias("duration"))
+    stage1 = tagged.groupBy(*key, "user_number", "district_name").agg(
+        F.min("city_id").alias("city_id"), *times)
     if colocate:
         stage1 = stage1.repartition(*STAY_KEY)
     stage2 = stage1.groupBy(*key).agg(*[F.min(a).alias(a) for a in _ATTRS],
@@ -98,8 +104,9 @@ def qualifying_stays(stays: DataFrame, min_stay_seconds: int = MIN_STAY_SECONDS)
 
 def stay_day_counts(stays: DataFrame, min_stay_seconds: int = MIN_STAY_SECONDS) -> DataFrame:
     """P7 + A7: number of qualifying stay dates per (imsi, district, attr)."""
+    attrs = [F.min(a).alias(a) for a in _ATTRS if a in stays.columns]
     return (qualifying_stays(stays, min_stay_seconds).groupBy(*STAY_KEY)
-            .agg(*[F.min(a).alias(a) for a in _ATTRS], F.count(F.lit(1)).alias("stay_days")))
+            .agg(*attrs, F.count(F.lit(1)).alias("stay_days")))
 
 
 def label(counts: DataFrame, days: int, match: str = "exact") -> DataFrame:
@@ -110,5 +117,6 @@ def label(counts: DataFrame, days: int, match: str = "exact") -> DataFrame:
         cond = F.col("stay_days") >= days
     else:
         raise ValueError(match)
-    return counts.where(cond).select("imsi", "user_number", "city_id", "district_id",
-                                     "district_name", "user_attr")
+    cols = [c for c in ("imsi", "user_number", "city_id", "district_id", "district_name", "user_attr")
+            if c in counts.columns]
+    return counts.where(cond).select(*cols)

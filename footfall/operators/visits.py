@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 from footfall.functions.parse import epoch_seconds
 
 VISIT_KEY = ["imsi", "district_id"]
-_ATTRS = ["user_number", "city_id", "district_name", "home_province", "home_latn_id"]
+# Attributes a summary can carry; "home" is the (home_province, home_city) pair.
+ALL_ATTRS = ("user_number", "city_id", "district_name", "home")
 
 
 def time_key(c) -> Column:
-    """yyyyMMddHHmmss text as a bigint (null unless exactly 14 digits)."""
+    """yyyyMMddHHmmss text as a bigint (null unless exactly 14 characters)."""
     e = F.col(c) if isinstance(c, str) else c
     return F.when(F.length(e) == 14, e.try_cast("long"))
 
@@ -41,27 +42,37 @@ def time_epoch(c) -> Column:
     return epoch_seconds(time_text(c))
 
 
-def visit_summary(enriched: DataFrame) -> DataFrame:
-    """One row per (imsi, district_id): attributes + min/max end time (as time keys)."""
-    present = [a for a in _ATTRS if a in enriched.columns]
-    stage1 = (enriched.groupBy(*VISIT_KEY, *present)
-              .agg(F.min(time_key("end_time")).alias("min_end_time"),
-                   F.max(time_key("end_time")).alias("max_end_time")))
+def visit_summary(enriched: DataFrame, attrs=ALL_ATTRS) -> DataFrame:
+    """One row per (imsi, district_id): the requested attributes + min/max end time.
+
+    Only the attributes a consumer needs should be requested: without string attributes
+    this is a single hash aggregate; with them, a hash aggregate keyed by the attribute
+    values reduces the rows first and a second aggregate runs on ~one row per visitor.
+    """
+    attrs = set(attrs)
+    times = [F.min(time_key("end_time")).alias("min_end_time"),
+             F.max(time_key("end_time")).alias("max_end_time")]
+    num = [F.min("city_id").alias("city_id")] if "city_id" in attrs else []
+    keyed = [a for a in ("user_number", "district_name") if a in attrs]
+    if "home" in attrs:
+        keyed += ["home_province", "home_latn_id"]
+    if not keyed:
+        return enriched.groupBy(*VISIT_KEY).agg(*num, *times)
+    stage1 = enriched.groupBy(*VISIT_KEY, *keyed).agg(*num, *times)
     return merge_summaries(stage1.withColumnRenamed("home_latn_id", "home_city"))
 
 
 def merge_summaries(parts: DataFrame) -> DataFrame:
-    """Combine partial visit summaries (e.g. yesterday's state and new slices):
-    min of mins, max of maxes, min of attributes."""
-    has_home = "home_province" in parts.columns
-    aggs = [F.min("user_number").alias("user_number"), F.min("city_id").alias("city_id"),
-            F.min("district_name").alias("district_name")]
-    if has_home:
+    """Combine partial visit summaries (e.g. the day state and a new run's summary):
+    min of mins, max of maxes, min of the attributes that are present."""
+    cols = parts.columns
+    aggs = [F.min(a).alias(a) for a in ("user_number", "city_id", "district_name") if a in cols]
+    if "home_province" in cols:
         aggs.append(F.min(F.struct("home_province", "home_city")).alias("_home"))
     aggs += [F.min("min_end_time").alias("min_end_time"), F.max("max_end_time").alias("max_end_time")]
     out = parts.groupBy(*VISIT_KEY).agg(*aggs)
-    cols = VISIT_KEY + ["user_number", "city_id", "district_name"]
-    if has_home:
-        cols += [F.col("_home.home_province").alias("home_province"),
-                 F.col("_home.home_city").alias("home_city")]
-    return out.select(*cols, "min_end_time", "max_end_time")
+    sel = VISIT_KEY + [a for a in ("user_number", "city_id", "district_name") if a in cols]
+    if "home_province" in cols:
+        sel += [F.col("_home.home_province").alias("home_province"),
+                F.col("_home.home_city").alias("home_city")]
+    return out.select(*sel, "min_end_time", "max_end_time")

@@ -40,7 +40,7 @@ _DIM = """dim AS (
   SELECT DISTINCT CAST(200 AS INTEGER) AS city_id, base_statn_id, sector_id,
          CAST(1001 + base_statn_id % 3 AS INTEGER) AS district_id,
          'District ' || CAST(1001 + base_statn_id % 3 AS VARCHAR) AS district_name
-  FROM sig0 WHERE base_statn_id < 90 AND NOT (sector_id = 2 AND base_statn_id % 2 = 0))"""
+  FROM sig0 WHERE base_statn_id >= 0 AND base_statn_id < 90 AND NOT (sector_id = 2 AND base_statn_id % 2 = 0))"""
 
 
 def _with(*ctes: str, dense: bool = False) -> str:

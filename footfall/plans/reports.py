@@ -15,13 +15,18 @@ from pyspark.sql import DataFrame
 from footfall.operators.dwell import dwell, dwell_histogram, with_section
 from footfall.operators.homeflow import home_counts, recency
 from footfall.operators.joins import district_join, drop_residents
-from footfall.operators.visits import visit_summary
+from footfall.operators.visits import ALL_ATTRS, visit_summary
+
+DWELL_ATTRS = ("city_id",)
+HOME_ATTRS = ("city_id", "home")
 
 
 def visits(signal_rows: DataFrame, dim: DataFrame, residence: DataFrame | None = None,
-           dim_broadcast: bool | None = None) -> DataFrame:
-    """Per-(imsi, district) visit summary of signal rows, residents/staff removed."""
-    v = visit_summary(district_join(signal_rows, dim, dim_broadcast))
+           dim_broadcast: bool | None = None, attrs=ALL_ATTRS) -> DataFrame:
+    """Per-(imsi, district) visit summary of signal rows, residents/staff removed.
+    ``attrs``: the attributes to carry (DWELL_ATTRS / HOME_ATTRS are what the reports
+    read; the day state keeps ALL_ATTRS)."""
+    v = visit_summary(district_join(signal_rows, dim, dim_broadcast), attrs)
     return v if residence is None else drop_residents(v, residence)
 
 
@@ -36,8 +41,8 @@ def home_report(visits_df: DataFrame, stamp: str | None) -> DataFrame:
 
 
 def visitor_flow_dur(signal_rows, dim, residence, stamp, dim_broadcast=None) -> DataFrame:
-    return dwell_report(visits(signal_rows, dim, residence, dim_broadcast), stamp)
+    return dwell_report(visits(signal_rows, dim, residence, dim_broadcast, DWELL_ATTRS), stamp)
 
 
 def visitor_flow_home(signal_rows, dim, residence, stamp, dim_broadcast=None) -> DataFrame:
-    return home_report(visits(signal_rows, dim, residence, dim_broadcast), stamp)
+    return home_report(visits(signal_rows, dim, residence, dim_broadcast, HOME_ATTRS), stamp)

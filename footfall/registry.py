@@ -30,6 +30,7 @@ from footfall.operators.residence import (
     stay_day_counts,
     tag_periods,
 )
+from footfall.operators.visits import ALL_ATTRS
 from footfall.plans import reports, residence, rolling
 from footfall.schemas import SIGNAL_COLUMNS
 from footfall.sources import fixtures
@@ -55,27 +56,36 @@ def slice_rows(spark: SparkSession, sf_dir: str, stamps, dense: bool = False,
 
 
 def _dim(spark, sf_dir):
-    return fixtures.dim_district(spark, sf_dir)
+    """The fixture dimension, marked for broadcast: it is bounded by construction
+    (fixtures.DIM_MAX_ROWS), so no size check is needed.  Operators receive it with
+    ``dim_broadcast=False`` (use as given)."""
+    return F.broadcast(fixtures.dim_district(spark, sf_dir))
 
 
-def _residence(spark, sf_dir, dense: bool):
+NO_CHECK = False  # dim_broadcast value: the frame is already marked
+
+
+def _residence(spark, sf_dir, dense: bool, with_attrs: bool = True):
     stamps = P.STAY_RANGE_DENSE if dense else P.STAY_RANGE_SIGNAL
     days = P.RES_DAYS_DENSE if dense else P.RES_DAYS_SIGNAL
-    return residence.residence_table(slice_rows(spark, sf_dir, stamps, dense), _dim(spark, sf_dir), days)
+    return residence.residence_table(slice_rows(spark, sf_dir, stamps, dense), _dim(spark, sf_dir),
+                                     days, dim_broadcast=NO_CHECK, with_attrs=with_attrs)
 
 
 def _tagged(spark, sf_dir, **kw):
     rows = slice_rows(spark, sf_dir, P.STAY_RANGE_DENSE, dense=True)
-    return tag_periods(people(rows, _dim(spark, sf_dir)), **kw)
+    return tag_periods(people(rows, _dim(spark, sf_dir), dim_broadcast=NO_CHECK), **kw)
 
 
-def _report_visits(spark, sf_dir):
+def _report_visits(spark, sf_dir, attrs):
     rows = slice_rows(spark, sf_dir, P.UNTIL_NOW)
-    return reports.visits(rows, _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False))
+    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    return reports.visits(rows, _dim(spark, sf_dir), res, NO_CHECK, attrs)
 
 
-def _plain_visits(spark, sf_dir):
-    return reports.visits(slice_rows(spark, sf_dir, P.UNTIL_NOW), _dim(spark, sf_dir))
+def _plain_visits(spark, sf_dir, attrs=ALL_ATTRS):
+    return reports.visits(slice_rows(spark, sf_dir, P.UNTIL_NOW), _dim(spark, sf_dir), None,
+                          NO_CHECK, attrs)
 
 
 # --- S* sources ------------------------------------------------------------------------
@@ -120,7 +130,7 @@ def q_dim_seed(spark, sf_dir):
 
 def q_residence_scan(spark, sf_dir):
     """The (district_id, imsi) projection of the residence table."""
-    return _residence(spark, sf_dir, dense=False).select("district_id", "imsi")
+    return _residence(spark, sf_dir, dense=False, with_attrs=False).select("district_id", "imsi")
 
 
 # --- T* slices -------------------------------------------------------------------------
@@ -175,12 +185,12 @@ def q_stay_days(spark, sf_dir):
 
 def q_residents(spark, sf_dir):
     rows = slice_rows(spark, sf_dir, P.STAY_RANGE_DENSE, dense=True)
-    return residence.residents(rows, _dim(spark, sf_dir), P.RES_DAYS_DENSE)
+    return residence.residents(rows, _dim(spark, sf_dir), P.RES_DAYS_DENSE, dim_broadcast=NO_CHECK)
 
 
 def q_staff(spark, sf_dir):
     rows = slice_rows(spark, sf_dir, P.STAY_RANGE_DENSE, dense=True)
-    return residence.staff(rows, _dim(spark, sf_dir), P.RES_DAYS_DENSE)
+    return residence.staff(rows, _dim(spark, sf_dir), P.RES_DAYS_DENSE, dim_broadcast=NO_CHECK)
 
 
 def q_residence_table(spark, sf_dir):
@@ -190,13 +200,13 @@ def q_residence_table(spark, sf_dir):
 # --- J*, A1-A4, R1-R2 -------------------------------------------------------------------
 
 def q_district_join(spark, sf_dir):
-    return district_join(fixtures.signal(spark, sf_dir), _dim(spark, sf_dir))
+    return district_join(fixtures.signal(spark, sf_dir), _dim(spark, sf_dir), NO_CHECK)
 
 
 def q_resident_anti_join(spark, sf_dir):
     rows = slice_rows(spark, sf_dir, P.UNTIL_NOW, dense=True)
-    enriched = district_join(rows, _dim(spark, sf_dir))
-    return drop_residents(enriched, _residence(spark, sf_dir, dense=True))
+    enriched = district_join(rows, _dim(spark, sf_dir), NO_CHECK)
+    return drop_residents(enriched, _residence(spark, sf_dir, dense=True, with_attrs=False))
 
 
 def q_dwell(spark, sf_dir):
@@ -210,7 +220,7 @@ def q_dwell_section(spark, sf_dir):
 
 
 def q_visitor_flow_dur(spark, sf_dir):
-    return reports.dwell_report(_report_visits(spark, sf_dir), P.AS_OF)
+    return reports.dwell_report(_report_visits(spark, sf_dir, reports.DWELL_ATTRS), P.AS_OF)
 
 
 def q_recency(spark, sf_dir):
@@ -219,7 +229,7 @@ def q_recency(spark, sf_dir):
 
 
 def q_visitor_flow_home(spark, sf_dir):
-    return reports.home_report(_report_visits(spark, sf_dir), P.AS_OF)
+    return reports.home_report(_report_visits(spark, sf_dir, reports.HOME_ATTRS), P.AS_OF)
 
 
 # --- I* rolling state -------------------------------------------------------------------
@@ -227,11 +237,13 @@ def q_visitor_flow_home(spark, sf_dir):
 def _rolling_state(spark, sf_dir, mode):
     """The day state after the earlier runs, then one more run of the last n slices."""
     dim = _dim(spark, sf_dir)
-    res = _residence(spark, sf_dir, dense=False)
+    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
     new_stamps = P.UNTIL_NOW[:P.ROLLING_N]
     old_stamps = P.UNTIL_NOW[P.ROLLING_N:]
-    state = rolling.initial_state(slice_rows(spark, sf_dir, old_stamps), dim, res, mode=mode)
-    return rolling.step(state, slice_rows(spark, sf_dir, new_stamps), dim, res, mode=mode)
+    state = rolling.initial_state(slice_rows(spark, sf_dir, old_stamps), dim, res, mode=mode,
+                                  dim_broadcast=NO_CHECK)
+    return rolling.step(state, slice_rows(spark, sf_dir, new_stamps), dim, res, mode=mode,
+                        dim_broadcast=NO_CHECK)
 
 
 def q_rolling_step(spark, sf_dir):
@@ -260,8 +272,9 @@ def q_rolling_reset(spark, sf_dir):
 def q_rolling_rebuild(spark, sf_dir):
     """n = 0 reads every slice since 00:05 and ignores any state."""
     dim = _dim(spark, sf_dir)
-    res = _residence(spark, sf_dir, dense=False)
-    state = rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW), dim, res)
+    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    state = rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW), dim, res,
+                                  dim_broadcast=NO_CHECK)
     return reports.dwell_report(rolling.state_visits(state), P.AS_OF)
 
 
@@ -273,7 +286,8 @@ def q_x_week_range(spark, sf_dir):
 
 def q_x_residents_unshifted(spark, sf_dir):
     rows = slice_rows(spark, sf_dir, P.STAY_RANGE_DENSE, dense=True)
-    return residence.residents(rows, _dim(spark, sf_dir), P.RES_DAYS_DENSE, rollover=False)
+    return residence.residents(rows, _dim(spark, sf_dir), P.RES_DAYS_DENSE, rollover=False,
+                               dim_broadcast=NO_CHECK)
 
 
 def q_x_stay_4h(spark, sf_dir):

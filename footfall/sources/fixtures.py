@@ -77,12 +77,18 @@ def signal(spark: SparkSession, sf_dir: str, dense: bool = False,
     return out
 
 
+# The dimension is a distinct set of (station, sector) with 0 <= station < 90 and
+# sector = event_id % 3 in [-2, 2]: at most 450 rows whatever the data volume, so it is
+# safe to broadcast without measuring it.
+DIM_MAX_ROWS = DIM_MAX_STATION * 5
+
+
 def dim_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5-column cell -> district dimension: the cells seen in ``signal`` with
-    base_statn_id < 90, except even stations' sector 2, in city 200."""
+    0 <= base_statn_id < 90, except even stations' sector 2, in city 200."""
     s = signal(spark, sf_dir).select("base_statn_id", "sector_id")
     district = (F.lit(DISTRICT_BASE) + F.col("base_statn_id") % 3).cast("int")
-    return (s.where((F.col("base_statn_id") < DIM_MAX_STATION)
+    return (s.where((F.col("base_statn_id") >= 0) & (F.col("base_statn_id") < DIM_MAX_STATION)
                     & ~((F.col("sector_id") == 2) & (F.col("base_statn_id") % 2 == 0)))
             .select(F.lit(FIXTURE_CITY).cast("int").alias("city_id"), "base_statn_id", "sector_id",
                     district.alias("district_id"),
