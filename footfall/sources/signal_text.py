@@ -124,3 +124,34 @@ def format_signal_lines(signal: DataFrame, width: int = MIN_FIELDS + 1) -> DataF
     parts = [F.coalesce(F.col(by_pos[i]).cast("string"), F.lit("")) if i in by_pos else F.lit("")
              for i in range(width)]
     return signal.select(F.concat_ws(FIELD_DELIMITER, *parts).alias("value"))
+
+
+# --- partitioned layout -------------------------------------------------------------
+# A Spark-native alternative to one-file-per-slice: lines under
+# <root>/AGG/AGG_3G_BSSAP/latn=<city>/slice=<stamp>/, so a run's slice list becomes a
+# partition filter (only the listed folders are opened) instead of N glob lookups.
+
+_PARTITIONED_SCHEMA = "value string, latn string, slice string"
+
+
+def write_slices(signal: DataFrame, root: str, mode: str = "append") -> None:
+    """Write signal rows as pipe text partitioned by serving city and slice stamp."""
+    from footfall.functions.parse import slice_stamp
+
+    by_pos = {p: n for n, p in SIGNAL_FIELD_POSITIONS.items()}
+    fields = [F.coalesce(F.col(by_pos[i]).cast("string"), F.lit("")) if i in by_pos else F.lit("")
+              for i in range(MIN_FIELDS + 1)]
+    out = signal.select(F.concat_ws(FIELD_DELIMITER, *fields).alias("value"),
+                        F.col("latn_id").cast("string").alias("latn"),
+                        slice_stamp("start_time").alias("slice"))
+    out.write.mode(mode).partitionBy("latn", "slice").text(f"{root.rstrip('/')}/{SLICE_SUBDIR}")
+
+
+def read_signal_partitioned(spark: SparkSession, root: str, stamps) -> DataFrame:
+    """Signal rows of the given stamps from the partitioned layout, with ``slice``."""
+    path = f"{root.rstrip('/')}/{SLICE_SUBDIR}"
+    if not fs.exists(spark, path) or not stamps:
+        return empty_signal(spark, ("slice",))
+    lines = (spark.read.schema(_PARTITIONED_SCHEMA).text(path)
+             .where(F.col("slice").isin(list(stamps))))
+    return clean(parse_signal_lines(lines, keep=("slice",)))
