@@ -31,7 +31,9 @@ def visits(signal_rows: DataFrame, dim: DataFrame, residence: DataFrame | None =
 
 
 def dwell_report(visits_df: DataFrame, stamp: str | None) -> DataFrame:
-    """Visitors per (district, dwell band) at the run's stamp."""
+    """Visitors per (district, dwell band) at the run's stamp (empty without one)."""
+    if stamp is None:
+        return dwell_histogram(visits_df, None)
     return dwell_histogram(with_section(dwell(visits_df)), stamp)
 
 
