@@ -101,10 +101,22 @@ def needs_reset_col(stamp_col, n: int) -> Column:
     return (minutes >= SLICE_MINUTES * n) & (minutes < 2 * SLICE_MINUTES * n)
 
 
+def is_contiguous(stamps) -> bool:
+    """True when the stamps are consecutive 5-minute slices (any order)."""
+    ts = sorted(parse_stamp(s) for s in stamps)
+    step = dt.timedelta(minutes=SLICE_MINUTES)
+    return all(b - a == step for a, b in zip(ts, ts[1:]))
+
+
 def stamps_predicate(stamp_col, stamps) -> Column:
-    """Rows whose slice stamp is one of ``stamps`` (empty list selects nothing)."""
+    """Rows whose slice stamp is one of ``stamps`` (empty list selects nothing).
+    A contiguous run (T1/T2 always are) becomes a range on the fixed-width stamp."""
     s = F.col(stamp_col) if isinstance(stamp_col, str) else stamp_col
-    return s.isin(list(stamps)) if stamps else F.lit(False)
+    if not stamps:
+        return F.lit(False)
+    if is_contiguous(stamps):
+        return s.between(min(stamps), max(stamps))
+    return s.isin(list(stamps))
 
 
 def prefix_predicate(stamp_col, prefixes) -> Column:

@@ -26,6 +26,9 @@ from footfall.operators.visits import time_epoch, time_key
 
 PEOPLE_INPUT = ["imsi", "user_number", "latn_id", "base_statn_id", "sector_id", "end_time", "hour"]
 STAY_KEY = ["imsi", "district_id", "user_attr"]
+# Partitioning the daily stays by the visit key serves the stay-day count (a superset key)
+# and the later removal join on (district_id, imsi) without further shuffles.
+COLOCATE_KEY = ["imsi", "district_id"]
 _ATTRS = ["user_number", "city_id", "district_name"]
 
 
@@ -79,19 +82,21 @@ def daily_stays(tagged: DataFrame, with_attrs: bool = True, colocate: bool = Tru
     end time (seconds), with the visitor's attributes when ``with_attrs``.
 
     With attributes, the raw rows are reduced by a hash aggregate (times as integers,
-    string attributes in the key) whose output is co-partitioned by (imsi, district,
-    attr), so this step and the stay-day count that follows need no further shuffle.
-    Without attributes (only the keys are needed, e.g. to remove people) it is one
-    hash aggregate."""
+    string attributes in the key) first.  The (reduced) output is then co-partitioned by
+    (imsi, district_id), so the second stage, the stay-day count and a removal join on
+    that key need no further shuffle.  Without attributes (only the keys are needed,
+    e.g. to remove people) the first stage is the only aggregate."""
     key = STAY_KEY + ["stay_date"]
     times = [F.min(time_key("end_time")).alias("lo"), F.max(time_key("end_time")).alias("hi")]
     if not with_attrs:
         stage = tagged.groupBy(*key).agg(*times)
+        if colocate:
+            stage = stage.repartition(*COLOCATE_KEY)
         return stage.select(*key, (time_epoch("hi") - time_epoch("lo")).alias("duration"))
     stage1 = tagged.groupBy(*key, "user_number", "district_name").agg(
         F.min("city_id").alias("city_id"), *times)
     if colocate:
-        stage1 = stage1.repartition(*STAY_KEY)
+        stage1 = stage1.repartition(*COLOCATE_KEY)
     stage2 = stage1.groupBy(*key).agg(*[F.min(a).alias(a) for a in _ATTRS],
                                       F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return stage2.select(*key, *_ATTRS, (time_epoch("hi") - time_epoch("lo")).alias("duration"))

@@ -325,4 +325,14 @@ FROM r_tag WHERE user_attr = 1 GROUP BY imsi, date, district_id""",
 FROM sig0 WHERE latn_id = 200 AND hour = {P.CELL_LOAD_HOUR}
 GROUP BY latn_id, base_statn_id, sector_id""",
     }
+    out["residence_two_pass"] = out["residence_table"]
+    out["resident_outer_join"] = out["resident_anti_join"]
+    out["sink_table"] = out["residence_table"]
+    out["state_roundtrip"] = _with(
+        _enriched("enr", "sig0", _range_pred("s.slice_stamp", until)),
+        _residence_ctes("sig0", sig_range, P.RES_DAYS_SIGNAL), _visits_ctes("enr", "r_res")) + """
+SELECT imsi, district_id, user_number, city_id, district_name, home.p AS home_province,
+       home.c AS home_city, CAST(min_end_time AS BIGINT) AS min_end_time,
+       CAST(max_end_time AS BIGINT) AS max_end_time
+FROM vis"""
     return out

@@ -21,7 +21,7 @@ from footfall.functions.slices import (
     stamps_predicate,
 )
 from footfall.operators import explore
-from footfall.operators.joins import district_join, drop_residents
+from footfall.operators.joins import district_join, drop_residents, drop_residents_outer
 from footfall.operators.residence import (
     calendar_split,
     daily_stays,
@@ -144,7 +144,7 @@ def _slice_query(stamps, dense=False):
 
 def q_default_start(spark, sf_dir):
     """T4: for every day in the data, the start of the stay range a run would use."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = fixtures._read(spark, sf_dir, "events")
     d = F.to_date("ts")
     return ev.select(d.alias("run_date"), default_start_col(d).alias("default_start")).distinct()
 
@@ -197,6 +197,13 @@ def q_residence_table(spark, sf_dir):
     return _residence(spark, sf_dir, dense=True)
 
 
+def q_residence_two_pass(spark, sf_dir):
+    """R3 ∪ R4 as two passes (the original shape); same rows as residence_table."""
+    rows = slice_rows(spark, sf_dir, P.STAY_RANGE_DENSE, dense=True)
+    return residence.residence_two_pass(rows, _dim(spark, sf_dir), P.RES_DAYS_DENSE,
+                                        dim_broadcast=NO_CHECK)
+
+
 # --- J*, A1-A4, R1-R2 -------------------------------------------------------------------
 
 def q_district_join(spark, sf_dir):
@@ -209,6 +216,13 @@ def q_resident_anti_join(spark, sf_dir):
     return drop_residents(enriched, _residence(spark, sf_dir, dense=True, with_attrs=False))
 
 
+def q_resident_outer_join(spark, sf_dir):
+    """J2 as the original wrote it (left outer + null filter); same rows as the anti join."""
+    rows = slice_rows(spark, sf_dir, P.UNTIL_NOW, dense=True)
+    enriched = district_join(rows, _dim(spark, sf_dir), NO_CHECK)
+    return drop_residents_outer(enriched, _residence(spark, sf_dir, dense=True, with_attrs=False))
+
+
 def q_dwell(spark, sf_dir):
     from footfall.operators.dwell import dwell
     return dwell(_plain_visits(spark, sf_dir))
@@ -278,6 +292,31 @@ def q_rolling_rebuild(spark, sf_dir):
     return reports.dwell_report(rolling.state_visits(state), P.AS_OF)
 
 
+# --- K* sinks / S7 state (write to the shared checkpoint folder, read back) ------------
+
+def q_sink_table(spark, sf_dir):
+    """K4/K5: the residence table written as ORC (one overwrite) and read back."""
+    from footfall.session import scratch_path
+    from footfall.sinks.tables import save_residence
+    path = scratch_path(spark, "residence")
+    save_residence(_residence(spark, sf_dir, dense=True), path)
+    return spark.read.orc(path).drop("update_time")
+
+
+def q_state_roundtrip(spark, sf_dir):
+    """K7 + S7: the day state of 00:05..12:05 saved as a new version, found again as the
+    newest complete version, read back."""
+    from footfall.session import scratch_path
+    from footfall.sinks.state import load_state, save_state
+    root = scratch_path(spark, "state")
+    dim = _dim(spark, sf_dir)
+    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    state = rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW), dim, res,
+                                  dim_broadcast=NO_CHECK)
+    save_state(state, root, P.AS_OF)
+    return load_state(spark, root, before="999912312359")
+
+
 # --- X* drafts -------------------------------------------------------------------------
 
 def q_x_week_range(spark, sf_dir):
@@ -334,8 +373,10 @@ def queries() -> dict[str, Query]:
         "residents": q_residents,
         "staff": q_staff,
         "residence_table": q_residence_table,
+        "residence_two_pass": q_residence_two_pass,
         "district_join": q_district_join,
         "resident_anti_join": q_resident_anti_join,
+        "resident_outer_join": q_resident_outer_join,
         "dwell": q_dwell,
         "dwell_section": q_dwell_section,
         "visitor_flow_dur": q_visitor_flow_dur,
@@ -346,6 +387,8 @@ def queries() -> dict[str, Query]:
         "rolling_raw_step": q_rolling_raw_step,
         "rolling_reset": q_rolling_reset,
         "rolling_rebuild": q_rolling_rebuild,
+        "sink_table": q_sink_table,
+        "state_roundtrip": q_state_roundtrip,
         "x_week_range": q_x_week_range,
         "x_residents_unshifted": q_x_residents_unshifted,
         "x_stay_4h": q_x_stay_4h,
