@@ -42,6 +42,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on a shared file system; "
+                             "a machine-local folder does not survive a lost executor")
         root = tempfile.mkdtemp(prefix="footfall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
