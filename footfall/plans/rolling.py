@@ -19,16 +19,20 @@ from pyspark.sql import DataFrame
 from footfall.functions.slices import needs_reset
 from footfall.operators.joins import district_join, drop_residents
 from footfall.operators.visits import merge_summaries, visit_summary
-from footfall.plans.reports import visits
+from footfall.plans.reports import HOME_ATTRS, visits
 
 MODES = ("aggregate", "raw")
+# What both reports read; ALL_ATTRS (footfall.operators.visits) also keeps user_number
+# and district_name, which the original computed per visitor but never reported.
+STATE_ATTRS = HOME_ATTRS
 
 
 def initial_state(rows: DataFrame, dim: DataFrame, residence: DataFrame | None,
-                  mode: str = "aggregate", dim_broadcast: bool | None = None) -> DataFrame:
+                  mode: str = "aggregate", dim_broadcast: bool | None = None,
+                  attrs=STATE_ATTRS) -> DataFrame:
     """State built from scratch from signal rows (I3 when the rows are all of today)."""
     if mode == "aggregate":
-        return visits(rows, dim, residence, dim_broadcast)
+        return visits(rows, dim, residence, dim_broadcast, attrs)
     if mode == "raw":
         enriched = district_join(rows, dim, dim_broadcast)
         return enriched if residence is None else drop_residents(enriched, residence)
@@ -41,9 +45,14 @@ def is_raw(state: DataFrame) -> bool:
 
 def step(state: DataFrame | None, new_rows: DataFrame, dim: DataFrame,
          residence: DataFrame | None, mode: str = "aggregate", refilter: bool = False,
-         dim_broadcast: bool | None = None) -> DataFrame:
-    """State after one run = old state ∪ the run's cleaned rows (merged)."""
-    new = initial_state(new_rows, dim, residence, mode, dim_broadcast)
+         dim_broadcast: bool | None = None, attrs=STATE_ATTRS) -> DataFrame:
+    """State after one run = old state ∪ the run's cleaned rows (merged).
+    In the aggregate layout the new summary carries the same attributes as the state."""
+    if state is not None and mode == "aggregate" and not is_raw(state):
+        have = set(state.columns)
+        attrs = tuple(a for a in ("user_number", "city_id", "district_name") if a in have) + \
+            (("home",) if "home_province" in have else ())
+    new = initial_state(new_rows, dim, residence, mode, dim_broadcast, attrs)
     if state is None:
         merged = new
     elif mode == "aggregate":

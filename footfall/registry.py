@@ -312,7 +312,7 @@ def q_state_roundtrip(spark, sf_dir):
     dim = _dim(spark, sf_dir)
     res = _residence(spark, sf_dir, dense=False, with_attrs=False)
     state = rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW), dim, res,
-                                  dim_broadcast=NO_CHECK)
+                                  dim_broadcast=NO_CHECK, attrs=ALL_ATTRS)
     save_state(state, root, P.AS_OF)
     return load_state(spark, root, before="999912312359")
 
