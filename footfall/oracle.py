@@ -325,6 +325,9 @@ FROM r_tag WHERE user_attr = 1 GROUP BY imsi, date, district_id""",
 FROM sig0 WHERE latn_id = 200 AND hour = {P.CELL_LOAD_HOUR}
 GROUP BY latn_id, base_statn_id, sector_id""",
     }
+    out["visitor_job"] = out["visitor_flow_dur"]
+    out["visitor_job_home"] = out["visitor_flow_home"]
+    out["slices_missing"] = out["slices_until_now"]
     out["residence_two_pass"] = out["residence_table"]
     out["resident_outer_join"] = out["resident_anti_join"]
     out["sink_table"] = out["residence_table"]

@@ -40,7 +40,8 @@ def run_slices(as_of: str, n: int = DEFAULT_LAST_N) -> list[str]:
 def run_visitor_job(spark: SparkSession, root: str, as_of: str, dim: DataFrame,
                     residence: DataFrame | None, state_root: str, n: int = DEFAULT_LAST_N,
                     mode: str = "aggregate", reset: str = "window", layout: str = "files",
-                    refilter: bool = False, keep_states: int = 2, sink=None) -> JobResult:
+                    refilter: bool = False, keep_states: int = 2, sink=None,
+                    dim_broadcast: bool | None = None) -> JobResult:
     """One run of the visitor job at ``as_of`` (yyyyMMddHHmm) over the last ``n`` slices.
 
     ``sink(dwell_df, home_df, stamp)`` receives the two reports (e.g. table or JDBC
@@ -63,7 +64,8 @@ def run_visitor_job(spark: SparkSession, root: str, as_of: str, dim: DataFrame,
         day = stamp[:8] if reset == "by_day" else None
         path = latest_state_path(spark, state_root, before=stamp, day=day)
         old = read_state(spark, path) if path else None
-    state = rolling.step(old, rows, dim, residence, mode=mode, refilter=refilter)
+    state = rolling.step(old, rows, dim, residence, mode=mode, refilter=refilter,
+                         dim_broadcast=dim_broadcast)
 
     path = save_state(state, state_root, stamp)
     visits = rolling.state_visits(read_state(spark, path))

@@ -317,6 +317,46 @@ def q_state_roundtrip(spark, sf_dir):
     return load_state(spark, root, before="999912312359")
 
 
+def _written_slices(spark, sf_dir):
+    """The whole fixture written as pipe text in the partitioned layout (scratch)."""
+    from footfall.session import scratch_path
+    from footfall.sources.signal_text import write_slices
+    root = scratch_path(spark, "slices")
+    write_slices(fixtures.signal(spark, sf_dir), root)
+    return root
+
+
+def q_slices_missing(spark, sf_dir):
+    """Slices that do not exist (a day after the data) add nothing; the run goes on."""
+    from footfall.sources.signal_text import read_signal_partitioned
+    root = _written_slices(spark, sf_dir)
+    wanted = P.UNTIL_NOW + [f"20991231{h:02d}00" for h in range(0, 24, 6)]
+    return read_signal_partitioned(spark, root, wanted).withColumnRenamed("slice", "slice_stamp")
+
+
+def _visitor_job(spark, sf_dir):
+    """The 15-minute job end to end on text slices: a rebuild at 11:50 (n = 0), then a
+    regular run at 12:05 (n = 3) that merges 11:55-12:05 into the saved state."""
+    from footfall.plans.job import run_visitor_job
+    from footfall.session import scratch_path
+    root = _written_slices(spark, sf_dir)
+    state_root = scratch_path(spark, "job-state")
+    dim = _dim(spark, sf_dir)
+    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    run_visitor_job(spark, root, P.JOB_FIRST_AS_OF, dim, res, state_root, n=0,
+                    layout="partitioned", dim_broadcast=NO_CHECK)
+    return run_visitor_job(spark, root, P.AS_OF, dim, res, state_root, n=P.ROLLING_N,
+                           layout="partitioned", dim_broadcast=NO_CHECK)
+
+
+def q_visitor_job(spark, sf_dir):
+    return _visitor_job(spark, sf_dir).dwell
+
+
+def q_visitor_job_home(spark, sf_dir):
+    return _visitor_job(spark, sf_dir).home
+
+
 # --- X* drafts -------------------------------------------------------------------------
 
 def q_x_week_range(spark, sf_dir):
@@ -388,6 +428,9 @@ def queries() -> dict[str, Query]:
         "rolling_reset": q_rolling_reset,
         "rolling_rebuild": q_rolling_rebuild,
         "sink_table": q_sink_table,
+        "slices_missing": q_slices_missing,
+        "visitor_job": q_visitor_job,
+        "visitor_job_home": q_visitor_job_home,
         "state_roundtrip": q_state_roundtrip,
         "x_week_range": q_x_week_range,
         "x_residents_unshifted": q_x_residents_unshifted,

@@ -127,31 +127,35 @@ def format_signal_lines(signal: DataFrame, width: int = MIN_FIELDS + 1) -> DataF
 
 
 # --- partitioned layout -------------------------------------------------------------
-# A Spark-native alternative to one-file-per-slice: lines under
-# <root>/AGG/AGG_3G_BSSAP/latn=<city>/slice=<stamp>/, so a run's slice list becomes a
-# partition filter (only the listed folders are opened) instead of N glob lookups.
+# A Spark-native alternative to one-file-per-slice names: lines under
+# <root>/AGG/AGG_3G_BSSAP/latn=<city>/day=<yyyyMMdd>/ (each 5-minute drop adds files to
+# its day).  A run's slice list becomes a partition filter on the day (only those
+# folders are listed and opened) plus an exact row filter on the slice stamp.
 
-_PARTITIONED_SCHEMA = "value string, latn string, slice string"
+_PARTITIONED_SCHEMA = "value string, latn string, day string"
 
 
 def write_slices(signal: DataFrame, root: str, mode: str = "append") -> None:
-    """Write signal rows as pipe text partitioned by serving city and slice stamp."""
-    from footfall.functions.parse import slice_stamp
-
+    """Write signal rows as pipe text partitioned by serving city and day."""
     by_pos = {p: n for n, p in SIGNAL_FIELD_POSITIONS.items()}
     fields = [F.coalesce(F.col(by_pos[i]).cast("string"), F.lit("")) if i in by_pos else F.lit("")
               for i in range(MIN_FIELDS + 1)]
     out = signal.select(F.concat_ws(FIELD_DELIMITER, *fields).alias("value"),
                         F.col("latn_id").cast("string").alias("latn"),
-                        slice_stamp("start_time").alias("slice"))
-    out.write.mode(mode).partitionBy("latn", "slice").text(f"{root.rstrip('/')}/{SLICE_SUBDIR}")
+                        F.substring("start_time", 1, 8).alias("day"))
+    out.write.mode(mode).partitionBy("latn", "day").text(f"{root.rstrip('/')}/{SLICE_SUBDIR}")
 
 
 def read_signal_partitioned(spark: SparkSession, root: str, stamps) -> DataFrame:
-    """Signal rows of the given stamps from the partitioned layout, with ``slice``."""
+    """Signal rows of the given slice stamps from the partitioned layout, with ``slice``.
+    Missing days or slices simply contribute no rows."""
+    from footfall.functions.parse import slice_stamp
+    from footfall.functions.slices import stamps_predicate
+
     path = f"{root.rstrip('/')}/{SLICE_SUBDIR}"
-    if not fs.exists(spark, path) or not stamps:
+    if not stamps or not fs.exists(spark, path):
         return empty_signal(spark, ("slice",))
-    lines = (spark.read.schema(_PARTITIONED_SCHEMA).text(path)
-             .where(F.col("slice").isin(list(stamps))))
-    return clean(parse_signal_lines(lines, keep=("slice",)))
+    days = sorted({s[:8] for s in stamps})
+    lines = spark.read.schema(_PARTITIONED_SCHEMA).text(path).where(F.col("day").isin(days))
+    rows = clean(parse_signal_lines(lines)).withColumn("slice", slice_stamp("start_time"))
+    return rows.where(stamps_predicate("slice", stamps))
