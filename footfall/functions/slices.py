@@ -79,6 +79,19 @@ def default_start_col(date_col) -> Column:
     return F.concat(F.date_format(start, "yyyyMMdd"), F.lit(f"{DEFAULT_START_HOUR:02d}"))
 
 
+def state_day(stamp: str) -> str:
+    """The day (yyyyMMdd) whose state a slice belongs to: a day runs from its 00:05 slice
+    to the 00:00 slice of the next date (T2 never reads 00:00 of its own date)."""
+    return (parse_stamp(stamp) - dt.timedelta(minutes=SLICE_MINUTES)).strftime(_DATE)
+
+
+def state_day_col(stamp_col) -> Column:
+    """``state_day`` as a column expression over a yyyyMMddHHmm stamp column."""
+    s = F.col(stamp_col) if isinstance(stamp_col, str) else stamp_col
+    t = F.to_timestamp_ntz(s, F.lit("yyyyMMddHHmm"))
+    return F.date_format(F.timestamp_add("MINUTE", F.lit(-SLICE_MINUTES), t), "yyyyMMdd")
+
+
 def batch_stamp(stamps: list[str]) -> str | None:
     """T5: the newest stamp of a run names the run; None for an empty run."""
     return max(stamps) if stamps else None

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.constants import DEFAULT_LAST_N
-from footfall.functions.slices import batch_stamp, last_n_slices, until_now_slices
+from footfall.functions.slices import batch_stamp, last_n_slices, state_day, until_now_slices
 from footfall.plans import rolling
 from footfall.plans.reports import dwell_report, home_report
 from footfall.sinks.state import latest_state_path, prune_states, read_state, save_state
@@ -61,7 +61,7 @@ def run_visitor_job(spark: SparkSession, root: str, as_of: str, dim: DataFrame,
 
     old = None
     if rolling.use_old_state(as_of, n, reset):
-        day = stamp[:8] if reset == "by_day" else None
+        day = state_day(stamp) if reset == "by_day" else None
         path = latest_state_path(spark, state_root, before=stamp, day=day)
         old = read_state(spark, path) if path else None
     state = rolling.step(old, rows, dim, residence, mode=mode, refilter=refilter,

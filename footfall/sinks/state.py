@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from footfall.functions.slices import state_day
 from footfall.sources import fs
 
 _RUN = re.compile(r"^run=(\d{12})-([0-9a-f]+)$")
@@ -38,9 +39,10 @@ def save_state(state: DataFrame, root: str, stamp: str, fmt: str = "orc") -> str
 
 def latest_state_path(spark: SparkSession, root: str, before: str | None = None,
                       day: str | None = None) -> str | None:
-    """Newest complete version with stamp < ``before`` (and on ``day`` yyyyMMdd if given)."""
+    """Newest complete version with stamp < ``before`` (and of state day ``day`` if given;
+    see ``functions.slices.state_day``: the 00:00 slice closes the previous day)."""
     runs = [(s, n) for s, n in _runs(spark, root)
-            if (before is None or s < before) and (day is None or s.startswith(day))]
+            if (before is None or s < before) and (day is None or state_day(s) == day)]
     return f"{root.rstrip('/')}/{runs[-1][1]}" if runs else None
 
 

@@ -7,7 +7,8 @@ stops, which is the scheduled-run equivalent; a processing-time trigger keeps it
 
 Replays are safe: the state merge is min/max (idempotent), state versions are new
 folders, and report sinks should replace by stamp (``sinks.tables.append_report``).
-The state resets by calendar day (a stream has no "first run of the day").
+The state resets by day (a stream has no "first run of the day"); the 00:00 slice
+closes the previous day, as in the batch job.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.functions.slices import state_day_col
 from footfall.plans import rolling
 from footfall.plans.reports import dwell_report, home_report
 from footfall.sinks.state import latest_state_path, prune_states, read_state, save_state
@@ -34,27 +36,37 @@ def slice_lines_stream(spark: SparkSession, root: str, max_files: int | None = N
 
 
 def merge_batch(batch: DataFrame, dim: DataFrame, residence: DataFrame | None, state_root: str,
-                sink=None, keep_states: int = 2) -> str | None:
-    """Merge one micro-batch of lines into the day state; returns the batch stamp."""
+                sink=None, keep_states: int = 2) -> list[str]:
+    """Merge one micro-batch of lines into the day state(s); returns the stamps reported.
+
+    A batch normally holds slices of one state day; one that spans midnight is merged
+    day by day (oldest first), so yesterday's rows never enter today's state.
+    """
     spark = batch.sparkSession
     batch = batch.persist()
+    done = []
     try:
-        rows = clean(parse_signal_lines(batch, keep=("slice",)))
-        newest = rows.agg(F.max("slice").alias("s")).first()["s"]
-        if not newest:
-            return None
-        path = latest_state_path(spark, state_root, day=newest[:8])
-        old = read_state(spark, path) if path else None
-        state = rolling.step(old, rows.drop("slice"), dim, residence)
-        saved = save_state(state, state_root, newest)
+        rows = (clean(parse_signal_lines(batch, keep=("slice",)))
+                .withColumn("state_day", state_day_col("slice")))
+        # one row per state day in the batch (normally one, two across midnight)
+        days = rows.groupBy("state_day").agg(F.max("slice").alias("newest")).collect()
+        for r in sorted(days, key=lambda r: r["state_day"] or ""):
+            day, newest = r["state_day"], r["newest"]
+            if not newest:
+                continue
+            path = latest_state_path(spark, state_root, day=day)
+            old = read_state(spark, path) if path else None
+            part = rows.where(F.col("state_day") == day).drop("slice", "state_day")
+            saved = save_state(rolling.step(old, part, dim, residence), state_root, newest)
+            visits = rolling.state_visits(read_state(spark, saved))
+            if sink is not None:
+                sink(dwell_report(visits, newest), home_report(visits, newest), newest)
+            done.append(newest)
     finally:
         batch.unpersist()
-    visits = rolling.state_visits(read_state(spark, saved))
-    if sink is not None:
-        sink(dwell_report(visits, newest), home_report(visits, newest), newest)
     if keep_states:
         prune_states(spark, state_root, keep_states)
-    return newest
+    return done
 
 
 def start_visitor_stream(spark: SparkSession, root: str, dim: DataFrame,

@@ -94,3 +94,12 @@ def test_stamp_window():
     assert lo == dt.datetime(2024, 1, 7, 23) and hi == dt.datetime(2024, 1, 9)
     lo, hi = stamp_window(last_n_slices("202401100007", 3))
     assert lo == dt.datetime(2024, 1, 9, 23, 55) and hi == dt.datetime(2024, 1, 10, 0, 10)
+
+
+def test_state_day(spark):
+    from footfall.functions.slices import state_day, state_day_col
+    assert state_day("202401110000") == "20240110"
+    assert state_day("202401110005") == "20240111"
+    df = spark.createDataFrame([("202401110000",), ("202401110005",), ("202401010000",)], "s string")
+    assert [r[0] for r in df.select(state_day_col("s")).collect()] == ["20240110", "20240111",
+                                                                       "20231231"]

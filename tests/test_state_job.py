@@ -108,3 +108,28 @@ def test_table_sinks(spark, tmp_root):
     append_report(rep, out)
     append_report(rep, out)  # a re-run replaces its own stamp
     assert spark.read.parquet(out).count() == 1
+
+
+def test_stream_batch_across_midnight(spark, tmp_root):
+    sig = fixtures.signal(spark, SF_MID).where(
+        "start_time >= '20240110200000' and start_time < '20240111040000'")
+    write_slice_files(signal_rows(sig), tmp_root)
+    dim = F.broadcast(fixtures.dim_district(spark, SF_MID))
+    got = {}
+
+    def sink(dur, home, stamp):
+        got[stamp] = _rows(dur)
+
+    q = start_visitor_stream(spark, tmp_root, dim, None, os.path.join(tmp_root, "state"),
+                             os.path.join(tmp_root, "ckpt"), sink=sink)  # one batch
+    q.awaitTermination(600)
+    stamps = sorted(got)
+    assert len(stamps) == 2 and stamps[0].startswith("20240111") and stamps[0] <= "202401110000"
+    old_day = [s for s in until_now_slices("202401110000")]  # empty: 00:00 has no same-day slices
+    assert old_day == []
+    day1 = [f"20240110{h:02d}{m:02d}" for h in range(20, 24) for m in range(0, 60, 5)] + \
+        ["202401110000"]
+    day2 = [s for s in until_now_slices(stamps[1])]
+    for stamp, slices in ((stamps[0], day1), (stamps[1], day2)):
+        v = visits(read_signal(spark, tmp_root, slices), dim, None, False)
+        assert got[stamp] == _rows(dwell_report(v, stamp))
