@@ -60,16 +60,22 @@ def stay_range(start_hour: str, days: int) -> list[str]:
     return [start_hour] + [(t + dt.timedelta(days=i)).strftime(_DATE) for i in range(1, days + 1)]
 
 
-def default_start(as_of) -> str:
-    """T4: Monday of the week of ``as_of`` minus 8 days (a Sunday), at 23h."""
+def as_date(as_of) -> dt.date:
+    """A date from a datetime, a date, or any stamp starting with yyyyMMdd."""
     if isinstance(as_of, dt.datetime):
-        d = as_of.date()
-    elif isinstance(as_of, dt.date):
-        d = as_of
-    else:
-        d = parse_stamp(as_of).date() if len(as_of) == 12 else dt.datetime.strptime(as_of[:8], _DATE).date()
+        return as_of.date()
+    if isinstance(as_of, dt.date):
+        return as_of
+    return dt.datetime.strptime(as_of[:8], _DATE).date()
+
+
+def default_start(as_of) -> str:
+    """T4: Monday of the week of ``as_of`` (weeks start on Monday) minus 8 days, i.e. a
+    Sunday, at 23h."""
+    d = as_date(as_of)
     monday = d - dt.timedelta(days=d.weekday())
-    return (monday - dt.timedelta(days=DEFAULT_START_BACK_DAYS)).strftime(_DATE) + f"{DEFAULT_START_HOUR:02d}"
+    start = monday - dt.timedelta(days=DEFAULT_START_BACK_DAYS)
+    return start.strftime(_DATE) + f"{DEFAULT_START_HOUR:02d}"
 
 
 def default_start_col(date_col) -> Column:

@@ -8,15 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.constants import DEFAULT_CITY_ID
+from footfall.functions.slices import as_date
 
 
 def week_range(as_of) -> tuple[int, int]:
     """[Sunday 23h, Friday 23h) of the week before ``as_of`` (weeks start Monday),
     as yyyyMMddHH integers."""
-    t = dt.datetime.strptime(as_of[:8], "%Y%m%d").date() if isinstance(as_of, str) else as_of
-    if isinstance(t, dt.datetime):
-        t = t.date()
-    week_ago = t - dt.timedelta(days=7)
+    week_ago = as_date(as_of) - dt.timedelta(days=7)
     monday = week_ago - dt.timedelta(days=week_ago.weekday())
     friday = monday + dt.timedelta(days=4)
     sunday = monday - dt.timedelta(days=1)
