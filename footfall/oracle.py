@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from footfall import params as P
 from footfall.constants import DWELL_BAND_UPPER, RECENCY_MINUTES
-from footfall.functions.slices import default_start, last_n_slices, needs_reset
 
 _FMT = "'%Y%m%d%H%M%S'"
 

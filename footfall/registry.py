@@ -21,6 +21,8 @@ from footfall.functions.slices import (
     stamps_predicate,
 )
 from footfall.operators import explore
+from footfall.operators.dwell import dwell, with_section
+from footfall.operators.homeflow import recency
 from footfall.operators.joins import district_join, drop_residents, drop_residents_outer
 from footfall.operators.residence import (
     calendar_split,
@@ -32,9 +34,19 @@ from footfall.operators.residence import (
 )
 from footfall.operators.visits import ALL_ATTRS
 from footfall.plans import reports, residence, rolling
+from footfall.plans.job import run_visitor_job
 from footfall.schemas import SIGNAL_COLUMNS
+from footfall.session import scratch_path
+from footfall.sinks.state import load_state, save_state
+from footfall.sinks.tables import save_residence
 from footfall.sources import fixtures
-from footfall.sources.signal_text import clean, format_signal_lines, parse_signal_lines
+from footfall.sources.signal_text import (
+    clean,
+    format_signal_lines,
+    parse_signal_lines,
+    read_signal_partitioned,
+    write_slices,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,12 +236,10 @@ def q_resident_outer_join(spark, sf_dir):
 
 
 def q_dwell(spark, sf_dir):
-    from footfall.operators.dwell import dwell
     return dwell(_plain_visits(spark, sf_dir))
 
 
 def q_dwell_section(spark, sf_dir):
-    from footfall.operators.dwell import dwell, with_section
     return with_section(dwell(_plain_visits(spark, sf_dir)))
 
 
@@ -238,7 +248,6 @@ def q_visitor_flow_dur(spark, sf_dir):
 
 
 def q_recency(spark, sf_dir):
-    from footfall.operators.homeflow import recency
     return recency(_plain_visits(spark, sf_dir), P.AS_OF)
 
 
@@ -296,8 +305,6 @@ def q_rolling_rebuild(spark, sf_dir):
 
 def q_sink_table(spark, sf_dir):
     """K4/K5: the residence table written as ORC (one overwrite) and read back."""
-    from footfall.session import scratch_path
-    from footfall.sinks.tables import save_residence
     path = scratch_path(spark, "residence")
     save_residence(_residence(spark, sf_dir, dense=True), path)
     return spark.read.orc(path).drop("update_time")
@@ -306,8 +313,6 @@ def q_sink_table(spark, sf_dir):
 def q_state_roundtrip(spark, sf_dir):
     """K7 + S7: the day state of 00:05..12:05 saved as a new version, found again as the
     newest complete version, read back."""
-    from footfall.session import scratch_path
-    from footfall.sinks.state import load_state, save_state
     root = scratch_path(spark, "state")
     dim = _dim(spark, sf_dir)
     res = _residence(spark, sf_dir, dense=False, with_attrs=False)
@@ -319,8 +324,6 @@ def q_state_roundtrip(spark, sf_dir):
 
 def _written_slices(spark, sf_dir):
     """The whole fixture written as pipe text in the partitioned layout (scratch)."""
-    from footfall.session import scratch_path
-    from footfall.sources.signal_text import write_slices
     root = scratch_path(spark, "slices")
     write_slices(fixtures.signal(spark, sf_dir), root)
     return root
@@ -328,7 +331,6 @@ def _written_slices(spark, sf_dir):
 
 def q_slices_missing(spark, sf_dir):
     """Slices that do not exist (a day after the data) add nothing; the run goes on."""
-    from footfall.sources.signal_text import read_signal_partitioned
     root = _written_slices(spark, sf_dir)
     wanted = P.UNTIL_NOW + [f"20991231{h:02d}00" for h in range(0, 24, 6)]
     return read_signal_partitioned(spark, root, wanted).withColumnRenamed("slice", "slice_stamp")
@@ -337,8 +339,6 @@ def q_slices_missing(spark, sf_dir):
 def _visitor_job(spark, sf_dir):
     """The 15-minute job end to end on text slices: a rebuild at 11:50 (n = 0), then a
     regular run at 12:05 (n = 3) that merges 11:55-12:05 into the saved state."""
-    from footfall.plans.job import run_visitor_job
-    from footfall.session import scratch_path
     root = _written_slices(spark, sf_dir)
     state_root = scratch_path(spark, "job-state")
     dim = _dim(spark, sf_dir)
