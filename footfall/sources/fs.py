@@ -18,6 +18,13 @@ def glob_matches(spark: SparkSession, pattern: str) -> int:
     return 0 if st is None else len(st)
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths matching a glob (empty when nothing matches)."""
+    fs, p = _fs(spark, pattern)
+    st = fs.globStatus(p)
+    return [] if st is None else [s.getPath().toString() for s in st]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))

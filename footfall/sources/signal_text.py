@@ -73,19 +73,36 @@ def empty_signal(spark: SparkSession, extra=()) -> DataFrame:
     return df
 
 
+def slice_files(spark: SparkSession, root: str, stamps) -> tuple[list[str], list[str]]:
+    """S3: the files of the given stamps and the stamps that have none.
+
+    A file belongs to a stamp when its name contains it (``*/*<stamp>*.txt``).  Every stamp
+    starts with its yyyyMMdd day, so one listing per day (``*/*<day>*.txt``) is a superset
+    and the stamps are matched on the names: O(days) listings per run instead of one per
+    5-minute stamp.
+    """
+    stamps = list(stamps)
+    names: dict[str, str] = {}
+    for day in sorted({s[:8] for s in stamps}):
+        for path in fs.glob_paths(spark, slice_glob(root, day)):
+            names[path] = path.rsplit("/", 1)[-1]
+    files = sorted(p for p, n in names.items() if any(s in n for s in stamps))
+    missing = [s for s in stamps if not any(s in n for n in names.values())]
+    return files, missing
+
+
 def read_slice_lines(spark: SparkSession, root: str, stamps, missing: str = "empty") -> DataFrame | None:
-    """One text read over the globs of all stamps that exist.
+    """One text read over the files of all stamps that exist.
 
     ``missing='empty'`` skips stamps with no file (the run goes on); ``'fail'`` raises.
     Returns None when no slice exists.  Each line carries its file name.
     """
-    globs = slice_globs(root, stamps)
-    present = [g for g in globs if fs.glob_matches(spark, g) > 0]
-    if missing == "fail" and len(present) < len(globs):
-        raise FileNotFoundError(sorted(set(globs) - set(present)))
-    if not present:
+    files, absent = slice_files(spark, root, stamps)
+    if missing == "fail" and absent:
+        raise FileNotFoundError(absent)
+    if not files:
         return None
-    return spark.read.text(present).select("value", F.col("_metadata.file_name").alias("file_name"))
+    return spark.read.text(files).select("value", F.col("_metadata.file_name").alias("file_name"))
 
 
 def read_signal(spark: SparkSession, root: str, stamps, missing: str = "empty",

@@ -55,3 +55,23 @@ def test_partitioned_layout_round_trip(spark, tmp_root):
     assert "PartitionFilters" in plan or "slice" in plan
     expected = [r for r in signal_rows(sig) if "202401100005" <= r["start_time"][:12] <= "202401101209"]
     assert sorted(map(_key, df.drop("slice").collect())) == sorted(map(_key, expected))
+
+
+def test_slice_files_substring_semantics(spark, tmp_root):
+    import os
+    from footfall.sources.signal_text import read_slice_lines, slice_files
+    folder = os.path.join(tmp_root, "AGG", "AGG_3G_BSSAP", "200")
+    os.makedirs(folder)
+    for name in ["sig_202401100005.txt", "x_202401100010_v2.txt", "sig_202401100015.csv",
+                 "sig_202401110005.txt"]:
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("line\n")
+    files, missing = slice_files(spark, tmp_root, ["202401100005", "202401100010", "202401100015",
+                                                   "2024011100"])
+    assert [f.rsplit("/", 1)[-1] for f in files] == ["sig_202401100005.txt", "sig_202401110005.txt",
+                                                     "x_202401100010_v2.txt"]
+    assert missing == ["202401100015"]
+    import pytest
+    with pytest.raises(FileNotFoundError):
+        read_slice_lines(spark, tmp_root, ["202401100015"], missing="fail")
+    assert read_slice_lines(spark, tmp_root, ["209901010000"]) is None
