@@ -48,13 +48,24 @@ def district_join(signal: DataFrame, dim: DataFrame, broadcast: bool | None = No
     return s.join(d, cond, "inner").select(*cols, *extra)
 
 
-def drop_residents(df: DataFrame, residence: DataFrame) -> DataFrame:
+def drop_residents(df: DataFrame, residence: DataFrame, broadcast: bool | None = False,
+                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Keep rows whose (district_id, imsi) is not in the residence table.
 
     A left anti join: null imsi or district never match, so such rows stay.  Works on
-    signal rows or on per-visitor summaries (same keys, same result).
+    signal rows or on per-visitor summaries (same keys, same result); the reports use
+    the summaries, which are already partitioned on the key.
+
+    ``broadcast=False`` (default) leaves the strategy to the planner and AQE;
+    ``None`` checks the residence size first (``bounded_broadcast``) — worth it for
+    row-level removal against a stored residence table, so the rows never shuffle;
+    True marks it for broadcast unchecked.
     """
     keys = residence.select("district_id", "imsi")
+    if broadcast is None:
+        keys, _ = bounded_broadcast(keys, max_rows)
+    elif broadcast:
+        keys = F.broadcast(keys)
     return df.join(keys, ["district_id", "imsi"], "left_anti").select(*df.columns)
 
 

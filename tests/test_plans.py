@@ -87,3 +87,21 @@ def test_hot_visitor_is_exact(spark):
            for r in reports.visitor_flow_dur(df, dim, None, "202401101205", False).collect()}
     assert out == {6: 1, 0: len(cold)}  # 00:00 -> 11:58 is 43080 s > 41400
     assert fixtures.DIM_MAX_ROWS == 450
+
+
+def test_row_level_removal_broadcasts_a_checked_residence(spark):
+    from footfall.operators.joins import drop_residents
+    dim = dim_df(spark, [(200, 1, 0, 1001)])
+    rows = district_join(signal_df(spark, [sig_row("a", "20240110000000"),
+                                           sig_row("b", "20240110000000")]), dim, False)
+    res = spark.createDataFrame([(1001, "a")], "district_id int, imsi string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        checked = drop_residents(rows, res, broadcast=None)
+        assert "BroadcastHashJoin" in _plan(checked)
+        assert [r.imsi for r in checked.collect()] == ["b"]
+        assert "BroadcastHashJoin" not in _plan(drop_residents(rows, res, broadcast=None, max_rows=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
