@@ -9,16 +9,19 @@ from pyspark.sql.types import StructType
 from footfall.schemas import DIM_COLUMNS, DIM_DISTRICT
 
 
-def read_dim(spark: SparkSession, table: str = "dim_district") -> DataFrame:
+def _table(spark: SparkSession, table: str, fmt: str) -> DataFrame:
+    """A catalog table, or a path (anything with a '/') in format ``fmt``."""
+    return spark.read.format(fmt).load(table) if "/" in table else spark.table(table)
+
+
+def read_dim(spark: SparkSession, table: str = "dim_district", fmt: str = "orc") -> DataFrame:
     """The five columns of the cell -> district dimension (a catalog table or path)."""
-    src = spark.read.orc(table) if "/" in table else spark.table(table)
-    return src.select(*DIM_COLUMNS)
+    return _table(spark, table, fmt).select(*DIM_COLUMNS)
 
 
-def read_residence(spark: SparkSession, table: str = "residence") -> DataFrame:
+def read_residence(spark: SparkSession, table: str = "residence", fmt: str = "orc") -> DataFrame:
     """(district_id, imsi) of everyone labelled resident or staff (both attrs)."""
-    src = spark.read.orc(table) if "/" in table else spark.table(table)
-    return src.select("district_id", "imsi")
+    return _table(spark, table, fmt).select("district_id", "imsi")
 
 
 def residence_keys(residence: DataFrame) -> DataFrame:

@@ -163,3 +163,24 @@ def test_report_properties(spark, data):
     for st_ in (agg_state, raw_state):
         got = reports.dwell_report(rolling.state_visits(st_), STAMP)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, dur.collect()))
+
+
+_stay = st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 4), st.sampled_from([2, 9, 23]),
+                  st.integers(0, 50), st.sampled_from([1, 2]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_stay, min_size=1, max_size=30), st.integers(1, 3))
+def test_labelling_properties(spark, data, days):
+    """one pass = two passes; exact labels are a subset of at-least labels."""
+    dim = _dim(spark)
+    base = dt.datetime(2024, 1, 8, 0, 0)
+    rows = [sig_row(i, base + dt.timedelta(days=d, hours=h, seconds=s), base=b)
+            for i, d, h, s, b in data]
+    df = signal_df(spark, rows)
+    one = sorted(map(tuple, residence.residence_table(df, dim, days, dim_broadcast=False).collect()))
+    two = sorted(map(tuple, residence.residence_two_pass(df, dim, days, dim_broadcast=False).collect()))
+    assert one == two
+    at_least = set(map(tuple, residence.residence_table(df, dim, days, match="at_least",
+                                                        dim_broadcast=False).collect()))
+    assert set(one) <= at_least

@@ -75,3 +75,13 @@ def test_slice_files_substring_semantics(spark, tmp_root):
     with pytest.raises(FileNotFoundError):
         read_slice_lines(spark, tmp_root, ["202401100015"], missing="fail")
     assert read_slice_lines(spark, tmp_root, ["209901010000"]) is None
+
+
+def test_strict_mode_fails_on_broken_lines(spark, tmp_root):
+    import pytest
+    good = "|".join(["m", "1", "460x", "20240110000500", "20240110000600", "P", "7", "200", "",
+                     "5", "1", "", "", "133x"] + [""] * 14 + ["2024011000", ""])
+    write_slice_files([], tmp_root, {(200, "202401100005"): [good, "m|1|460y"]})
+    with pytest.raises(Exception):
+        read_signal(spark, tmp_root, ["202401100005"], bad="fail").collect()
+    assert read_signal(spark, tmp_root, ["202401100005"]).count() == 1
