@@ -1,7 +1,8 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query is planned and run to completion with the ``noop`` sink (no collect), three
-times after one warm-up; the per-query figure is the median.  ``value`` sums the
+Each query is planned and run to completion with the ``noop`` sink (no collect) after
+one warm-up: headline queries five times, the comparison variants three times; the
+per-query figure is the median.  ``value`` sums the
 headline queries (the two reports, one-pass residence, removal, one rolling step).
 """
 
@@ -34,14 +35,15 @@ def run_once(spark, fn, sf_dir) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="footfall-bench")
     qs = registry.queries()
     run_once(spark, qs["visitor_flow_dur"], sf_dir)  # warm-up (JIT, file listing caches)
     times = {}
     for name in HEADLINE + EXTRA:
-        runs = [run_once(spark, qs[name], sf_dir) for _ in range(repeat)]
+        n = repeat if name in HEADLINE else max(1, min(repeat, 3))
+        runs = [run_once(spark, qs[name], sf_dir) for _ in range(n)]
         times[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     out = {
