@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.constants import FIELD_DELIMITER, MIN_FIELDS, SIGNAL_FIELD_POSITIONS
-from footfall.functions.parse import int_or_zero
+from footfall.functions.parse import int_or_zero, slice_stamp
+from footfall.functions.slices import stamps_predicate
 from footfall.schemas import SIGNAL, SIGNAL_COLUMNS
 from footfall.sources import fs
 
@@ -134,13 +135,14 @@ def read_signal_quarantine(spark: SparkSession, root: str, stamps) -> DataFrame:
     return quarantine(parse_signal_lines(lines, keep=("file_name",)))
 
 
-def format_signal_lines(signal: DataFrame, width: int = MIN_FIELDS + 1) -> DataFrame:
+def format_signal_lines(signal: DataFrame, width: int = MIN_FIELDS + 1, keep=()) -> DataFrame:
     """Inverse of the scan: write signal rows as ``width``-field pipe lines (unused
-    fields empty), in column ``value``.  Used for round trips and streaming tests."""
+    fields empty) in column ``value``, plus the ``keep`` columns.  Used for round trips,
+    the partitioned writer and the streaming tests."""
     by_pos = {p: n for n, p in SIGNAL_FIELD_POSITIONS.items()}
     parts = [F.coalesce(F.col(by_pos[i]).cast("string"), F.lit("")) if i in by_pos else F.lit("")
              for i in range(width)]
-    return signal.select(F.concat_ws(FIELD_DELIMITER, *parts).alias("value"))
+    return signal.select(F.concat_ws(FIELD_DELIMITER, *parts).alias("value"), *keep)
 
 
 # --- partitioned layout -------------------------------------------------------------
@@ -154,21 +156,14 @@ _PARTITIONED_SCHEMA = "value string, latn string, day string"
 
 def write_slices(signal: DataFrame, root: str, mode: str = "append") -> None:
     """Write signal rows as pipe text partitioned by serving city and day."""
-    by_pos = {p: n for n, p in SIGNAL_FIELD_POSITIONS.items()}
-    fields = [F.coalesce(F.col(by_pos[i]).cast("string"), F.lit("")) if i in by_pos else F.lit("")
-              for i in range(MIN_FIELDS + 1)]
-    out = signal.select(F.concat_ws(FIELD_DELIMITER, *fields).alias("value"),
-                        F.col("latn_id").cast("string").alias("latn"),
-                        F.substring("start_time", 1, 8).alias("day"))
+    out = format_signal_lines(signal, keep=(F.col("latn_id").cast("string").alias("latn"),
+                                            F.substring("start_time", 1, 8).alias("day")))
     out.write.mode(mode).partitionBy("latn", "day").text(f"{root.rstrip('/')}/{SLICE_SUBDIR}")
 
 
 def read_signal_partitioned(spark: SparkSession, root: str, stamps) -> DataFrame:
     """Signal rows of the given slice stamps from the partitioned layout, with ``slice``.
     Missing days or slices simply contribute no rows."""
-    from footfall.functions.parse import slice_stamp
-    from footfall.functions.slices import stamps_predicate
-
     path = f"{root.rstrip('/')}/{SLICE_SUBDIR}"
     if not stamps or not fs.exists(spark, path):
         return empty_signal(spark, ("slice",))
