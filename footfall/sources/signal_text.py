@@ -151,7 +151,7 @@ def format_signal_lines(signal: DataFrame, width: int = MIN_FIELDS + 1, keep=())
 # its day).  A run's slice list becomes a partition filter on the day (only those
 # folders are listed and opened) plus an exact row filter on the slice stamp.
 
-_PARTITIONED_SCHEMA = "value string, latn string, day string"
+PARTITIONED_SCHEMA = "value string, latn string, day string"
 
 
 def write_slices(signal: DataFrame, root: str, mode: str = "append") -> None:
@@ -168,6 +168,6 @@ def read_signal_partitioned(spark: SparkSession, root: str, stamps) -> DataFrame
     if not stamps or not fs.exists(spark, path):
         return empty_signal(spark, ("slice",))
     days = sorted({s[:8] for s in stamps})
-    lines = spark.read.schema(_PARTITIONED_SCHEMA).text(path).where(F.col("day").isin(days))
+    lines = spark.read.schema(PARTITIONED_SCHEMA).text(path).where(F.col("day").isin(days))
     rows = clean(parse_signal_lines(lines)).withColumn("slice", slice_stamp("start_time"))
     return rows.where(stamps_predicate("slice", stamps))

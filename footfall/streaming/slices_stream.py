@@ -20,17 +20,35 @@ from footfall.functions.slices import state_day_col
 from footfall.plans import rolling
 from footfall.plans.reports import dwell_report, home_report
 from footfall.sinks.state import latest_state_path, prune_states, read_state, save_state
-from footfall.sources.signal_text import SLICE_SUBDIR, clean, parse_signal_lines
+from footfall.functions.parse import slice_stamp
+from footfall.sources.signal_text import (
+    PARTITIONED_SCHEMA,
+    SLICE_SUBDIR,
+    clean,
+    parse_signal_lines,
+)
 
 _STAMP_IN_NAME = r"(\d{12})"
 
 
-def slice_lines_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    """Streaming lines of ``<root>/AGG/AGG_3G_BSSAP/*/*.txt`` with each file's stamp."""
+def slice_lines_stream(spark: SparkSession, root: str, max_files: int | None = None,
+                       layout: str = "files") -> DataFrame:
+    """Streaming lines of new slice files.
+
+    ``layout='files'``: ``<root>/AGG/AGG_3G_BSSAP/*/*.txt``, the stamp taken from each file
+    name.  ``'partitioned'``: the ``latn=/day=`` folders written by ``write_slices``; the
+    stamp is derived from each record's start time (column ``slice`` is left null here).
+    """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.load(f"{root.rstrip('/')}/{SLICE_SUBDIR}/*/*.txt")
+    base = f"{root.rstrip('/')}/{SLICE_SUBDIR}"
+    if layout == "partitioned":
+        lines = reader.schema(PARTITIONED_SCHEMA).load(base)
+        return lines.select("value", F.lit(None).cast("string").alias("slice"))
+    if layout != "files":
+        raise ValueError(layout)
+    lines = reader.load(f"{base}/*/*.txt")
     return lines.select("value", F.regexp_extract(F.col("_metadata.file_name"), _STAMP_IN_NAME, 1)
                         .alias("slice"))
 
@@ -46,7 +64,9 @@ def merge_batch(batch: DataFrame, dim: DataFrame, residence: DataFrame | None, s
     batch = batch.persist()
     done = []
     try:
-        rows = (clean(parse_signal_lines(batch, keep=("slice",)))
+        rows = clean(parse_signal_lines(batch, keep=("slice",)))
+        # file stamp when the layout names it, else the record's own slice
+        rows = (rows.withColumn("slice", F.coalesce(F.col("slice"), slice_stamp("start_time")))
                 .withColumn("state_day", state_day_col("slice")))
         # one row per state day in the batch (normally one, two across midnight)
         days = rows.groupBy("state_day").agg(F.max("slice").alias("newest")).collect()
@@ -72,9 +92,9 @@ def merge_batch(batch: DataFrame, dim: DataFrame, residence: DataFrame | None, s
 def start_visitor_stream(spark: SparkSession, root: str, dim: DataFrame,
                          residence: DataFrame | None, state_root: str, checkpoint: str,
                          sink=None, available_now: bool = True, max_files: int | None = None,
-                         processing_time: str = "5 minutes"):
+                         processing_time: str = "5 minutes", layout: str = "files"):
     """Start the stream; returns the StreamingQuery (call ``awaitTermination``)."""
-    lines = slice_lines_stream(spark, root, max_files)
+    lines = slice_lines_stream(spark, root, max_files, layout)
     writer = (lines.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, _epoch: merge_batch(df, dim, residence, state_root, sink)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

@@ -133,3 +133,22 @@ def test_stream_batch_across_midnight(spark, tmp_root):
     for stamp, slices in ((stamps[0], day1), (stamps[1], day2)):
         v = visits(read_signal(spark, tmp_root, slices), dim, None, False)
         assert got[stamp] == _rows(dwell_report(v, stamp))
+
+
+def test_stream_partitioned_layout(spark, tmp_root):
+    from footfall.sources.signal_text import read_signal_partitioned, write_slices
+    sig = fixtures.signal(spark, SF_MID).where(
+        "start_time >= '20240110000500' and start_time < '20240110121000'")
+    write_slices(sig, tmp_root)
+    dim = F.broadcast(fixtures.dim_district(spark, SF_MID))
+    got = {}
+
+    def sink(dur, home, stamp):
+        got[stamp] = _rows(dur)
+
+    q = start_visitor_stream(spark, tmp_root, dim, None, os.path.join(tmp_root, "state"),
+                             os.path.join(tmp_root, "ckpt"), sink=sink, layout="partitioned")
+    q.awaitTermination(600)
+    last = max(got)
+    rows = read_signal_partitioned(spark, tmp_root, until_now_slices("202401101205")).drop("slice")
+    assert got[last] == _rows(dwell_report(visits(rows, dim, None, False), last))
