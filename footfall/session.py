@@ -37,10 +37,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this must be set by the submitter (a shared file system).  Only when
     it is unset, as in local tests, a fresh local folder is created and recorded.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master
         if not master.startswith("local"):
@@ -48,7 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
                              "a machine-local folder does not survive a lost executor")
         root = tempfile.mkdtemp(prefix="footfall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
