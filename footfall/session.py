@@ -8,7 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every run should have; cluster submitters keep their own sizing.
+# Static auto-broadcast is off: it trusts size *estimates* (compressed file sizes, or
+# products of them across joins), which can put the large side of a join into memory.
+# Broadcasts are then either explicit behind a row-count check (bounded_broadcast) or
+# chosen by AQE from the *measured* size of a finished stage.
 RECOMMENDED_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.parse import slice_stamp
+from footfall.operators.joins import bounded_broadcast
 
 # Fixed values of the projection (shared with the DuckDB oracle in footfall.oracle).
 DENSE_USERS = 15          # signal_dense folds users onto user_id % 15
@@ -71,11 +72,15 @@ def _signal_base(spark: SparkSession, sf_dir: str, dense: bool) -> DataFrame:
     # subscriber -> home (nation = home city, region = home province): one lookup table,
     # so each event is probed once (a broadcast while small, one shuffle join on user_id
     # beyond that) instead of three chained joins.
+    # Both joins broadcast only behind a row-count check (run once per session, as the
+    # frame is reused); beyond the bound they fall back to shuffle joins.
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    homes = (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-             .select("c_custkey", "n_nationkey", "r_name"))
+    areas, _ = bounded_broadcast(n.join(r, n.n_regionkey == r.r_regionkey)
+                                 .select("n_nationkey", "r_name"))
+    homes, _ = bounded_broadcast(c.join(areas, c.c_nationkey == areas.n_nationkey)
+                                 .select("c_custkey", "n_nationkey", "r_name"))
     uid_s = F.col("user_id").cast("string")
     sector = (F.col("event_id") % 3).cast("int")
     start = F.date_format("ts", "yyyyMMddHHmmss")

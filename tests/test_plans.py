@@ -9,6 +9,28 @@ from tests.conftest import SF_SMALL
 from tests.helpers import dim_df, sig_row, signal_df
 
 
+class _conf:
+    """Temporarily set session options, restoring the previous values."""
+
+    def __init__(self, spark, **kv):
+        self.spark, self.kv = spark, {k.replace("__", "."): v for k, v in kv.items()}
+
+    def __enter__(self):
+        self.old = {k: self.spark.conf.get(k, None) for k in self.kv}
+        for k, v in self.kv.items():
+            self.spark.conf.set(k, v)
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+
+
+NO_AUTO = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__enabled": "false"}
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -50,25 +72,17 @@ def test_bounded_broadcast_falls_back_above_the_bound(spark):
     unmarked, ok2 = bounded_broadcast(dim, max_rows=5)
     assert not ok2
     sig = signal_df(spark, [sig_row("a", "20240110000000", base=b) for b in range(20)])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with _conf(spark, **NO_AUTO):
         plan = _plan(district_join(sig, dim, broadcast=None, max_rows=5))
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
         plan = _plan(district_join(sig, dim, broadcast=None, max_rows=100))
         assert "BroadcastHashJoin" in plan
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_residence_removal_moves_only_the_residence_side(spark):
     df = registry.queries()["visitor_flow_dur"](spark, SF_SMALL)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with _conf(spark, spark__sql__adaptive__enabled="false"):
         plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
     join = plan[plan.index("LeftAnti"):] if "LeftAnti" in plan else ""
     assert join
     # directly under the anti join: the visit aggregate (no exchange in between)
@@ -76,6 +90,16 @@ def test_residence_removal_moves_only_the_residence_side(spark):
     assert "Sort" in first_child or "HashAggregate" in first_child
 
 
+def test_no_estimate_based_broadcast(spark):
+    """The session never broadcasts on size estimates; the fixture's home lookup is a
+    checked broadcast, so the event side is always the streamed side."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    plan = _plan(registry.queries()["signal_scan"](spark, SF_SMALL))
+    for line in plan.splitlines():
+        if "BroadcastHashJoin" in line and "user_id" in line:
+            assert "BuildRight" in line
+
+
 def test_hot_visitor_is_exact(spark):
     """One visitor with a third of the rows: the result is whole and exact."""
     from footfall.plans import reports
@@ -95,13 +119,8 @@ def test_row_level_removal_broadcasts_a_checked_residence(spark):
     rows = district_join(signal_df(spark, [sig_row("a", "20240110000000"),
                                            sig_row("b", "20240110000000")]), dim, False)
     res = spark.createDataFrame([(1001, "a")], "district_id int, imsi string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with _conf(spark, **NO_AUTO):
         checked = drop_residents(rows, res, broadcast=None)
         assert "BroadcastHashJoin" in _plan(checked)
         assert [r.imsi for r in checked.collect()] == ["b"]
         assert "BroadcastHashJoin" not in _plan(drop_residents(rows, res, broadcast=None, max_rows=0))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
