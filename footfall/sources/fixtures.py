@@ -77,6 +77,7 @@ def _signal_base(spark: SparkSession, sf_dir: str, dense: bool) -> DataFrame:
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    r, _ = bounded_broadcast(r)
     areas, _ = bounded_broadcast(n.join(r, n.n_regionkey == r.r_regionkey)
                                  .select("n_nationkey", "r_name"))
     homes, _ = bounded_broadcast(c.join(areas, c.c_nationkey == areas.n_nationkey)
