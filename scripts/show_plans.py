@@ -17,11 +17,13 @@ from footfall.session import local_session  # noqa: E402
 DEFAULT = ["visitor_flow_dur", "visitor_flow_home", "residence_table", "resident_anti_join",
            "rolling_step", "district_join", "signal_scan"]
 KEEP = re.compile(r"(Exchange|Join|Aggregate|Scan|Sort\b|Window|Union|Generate|Filter|"
-                  r"InMemory|Reused|AQEShuffleRead)")
+                  r"InMemory|Reused|AQEShuffleRead|isFinalPlan)")
 
 
 def outline(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    # collect() runs the frame's own query execution, so the adaptive plan printed
+    # below is the final one (results here are small: sf0.01 by default)
+    df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     lines = []
     for line in plan.splitlines():
