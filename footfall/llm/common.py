@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import string
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,3 +41,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per Spark application."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_footfall_shipped", False):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="footfall-ship-"), "footfall"), "zip",
+                                         os.path.dirname(package), os.path.basename(package)))
+        sc._footfall_shipped = True
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def map_groups(df: DataFrame, keys: list[str], run, schema) -> DataFrame:
+    """``groupBy(keys).applyInPandas`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.groupBy(*keys).applyInPandas(run, schema)
