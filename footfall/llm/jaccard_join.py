@@ -239,6 +239,36 @@ def _candidates(classes: DataFrame, sketched: DataFrame) -> DataFrame:
     return components(edges).select(F.col("id").alias("h"), F.col("component").alias("cluster"))
 
 
+def blocked(members: DataFrame, block: int) -> DataFrame:
+    """``members`` (h, n, cluster, ...) with the block ``own`` of each and the number of ``blocks``
+    of its cluster, about ``block`` shingles each."""
+    blocks = members.groupBy("cluster").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    return members.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("h"), "blocks").cast("int"))
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """One copy of each member for every pair of blocks (``i``, ``j``) that its block is in."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return members.select("*", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+
+
+def tree_links(tasks: DataFrame, sets, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` that connect the sets of each cluster, one signature tree per pair of
+    blocks; ``sets`` yields (id, block, set) of the rows of a task."""
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        members = list(sets(rows))
+        if len(members) < 2:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        ids, sides, arrays = zip(*members)
+        tree = SignatureTree(list(arrays), percent)
+        found = tree.join(sides if rows["i"].iat[0] != rows["j"].iat[0] else None)
+        return pd.DataFrame([(ids[tree.find(a)], ids[b]) for a, b in found for b in (a, b) if tree.find(a) != b],
+                            columns=["a", "b"], dtype="int64")
+
+    return map_groups(tasks, ["cluster", "i", "j"], links, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
                        percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``doc_id`` (the key), ``n_shingles`` and ``component_id`` of every row."""
@@ -248,30 +278,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = written(known.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "classes")
     clustered = _candidates(classes, known).join(classes, "h")
     clustered = written(clustered, "clustered")
-    blocks = clustered.groupBy("cluster").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
-    own = clustered.join(blocks, "cluster").select(
-        "h", "rep", "cluster", "blocks", F.pmod(F.xxhash64("h"), "blocks").cast("int").alias("own"))
-    texts = own.join(docs.withColumnRenamed("doc_id", "rep"), "rep")
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    tasks = texts.select("h", "rep", "cluster", "text", "own", F.explode(other).alias("other")).withColumns(
-        {"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    texts = blocked(clustered, block).join(docs.withColumnRenamed("doc_id", "rep"), "rep")
+    tasks = block_pairs(texts)
 
-    def links(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, sides, sets = [], [], []
+    def sets(rows: pd.DataFrame):
         for h, rep, side, t in zip(rows["h"], rows["rep"], rows["own"], rows["text"]):
             s = shingle_set(t, size)
             if len(s) and set_hash(s) == h:
-                ids.append(rep)
-                sides.append(side)
-                sets.append(s)
-        if len(sets) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        tree = SignatureTree(sets, percent)
-        found = tree.join(sides if rows["i"].iat[0] != rows["j"].iat[0] else None)
-        return pd.DataFrame([(ids[tree.find(a)], ids[b]) for a, b in found for b in (a, b) if tree.find(a) != b],
-                            columns=["a", "b"], dtype="int64")
+                yield rep, side, s
 
-    edges = map_groups(tasks, ["cluster", "i", "j"], links, "a long, b long")
+    edges = tree_links(tasks, sets, percent)
     # rows of one id are one document, whatever their texts
     twice = known.groupBy("doc_id").agg(F.min("h").alias("x"), F.max("h").alias("y")).where("x != y").select("doc_id")
     same = known.join(twice, "doc_id", "left_semi").join(classes, "h").select(
