@@ -8,7 +8,7 @@ from footfall.llm.common import scratch_path, table
 from footfall.llm.jaccard_join import jaccard_components
 from footfall.llm.line_dedup import remove_boilerplate
 from footfall.llm.packing import pack_documents
-from footfall.llm.quality import quality
+from footfall.llm.quality import good
 from footfall.llm.substring_dedup import remove_spans, repeated_spans
 
 #: Near copies: shingles of five words, similarity of 0.8 or more.
@@ -19,8 +19,8 @@ ORACLE_SQL = None
 
 
 def quality_stage(spark, docs, sf_dir):
-    """Documents that pass every quality rule, and the base rules of operator 3."""
-    return quality(docs, keep=docs.columns).where("kept").select(*docs.columns)
+    """Documents that pass every quality rule; the base rules of operator 3 are among them."""
+    return good(docs)
 
 
 def _with_chars(docs, names):

@@ -122,6 +122,18 @@ def quality(df: DataFrame, text: str = "text", keep: list[str] | None = None, ru
     return m.withColumn("kept", F.size("failed") == 0).drop("_upper", "_lower")
 
 
+def good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``df`` that pass, with their own columns.
+
+    The row number that the filter also names keeps the optimiser from copying every measure
+    into the filter, level by level.
+    """
+    held = df.select(F.struct("*").alias("_row"), F.col(text).alias("_content"))
+    m = measures(held, "_content", ["_row"]).withColumn("_number", F.monotonically_increasing_id())
+    passed = reduce(lambda a, b: a & b, compile_rules(rules).values())
+    return m.where(passed & (F.col("_number") >= 0)).select("_row.*")
+
+
 def op3_quality_rules(spark, sf_dir):
     from footfall.llm.common import table
 
