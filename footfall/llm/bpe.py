@@ -161,17 +161,25 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec:
-    """Encoder and decoder of one rank table, with a bounded cache of merged pieces."""
+    """Encoder and decoder of one rank table, with a bounded cache of merged pieces.
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    The cache has two generations: when the young one is full it becomes the old one, from
+    which pieces that occur again move back.  ``merger`` may replace ``merge``.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], merger=None):
+        self.merger = merger or (lambda piece: merge(piece.encode(), ranks))
         self.tokens = {i: t for t, i in ranks.items()}
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         if len(self.cache) >= CACHE_PIECES:
-            self.cache.clear()
-        self.cache[piece] = ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+            self.old, last = self.cache, self.old
+            last.clear()
+            self.cache = last  # _encode looks the cache up once per text
+        ids = self.old.get(piece) or np.array(self.merger(piece), "<u4").tobytes()
+        self.cache[piece] = ids
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -194,9 +202,10 @@ class Codec:
         starts = split_points(codes, ends[:-1])
         cuts = np.searchsorted(starts, ends).tolist()
         at = [*starts.tolist(), len(whole)]
-        out, low, get = [], 0, self.cache.get
-        for k, (end, high) in enumerate(zip(ends.tolist(), cuts)):
+        out, low = [], 0
+        for end, high in zip(ends.tolist(), cuts):
             if low < high:
+                get = self.cache.get
                 bounds = at[low:high] + [end]
                 pieces = [whole[a:b] for a, b in zip(bounds, bounds[1:])]
                 out.append(b"".join([get(p) or self._piece(p) for p in pieces]))
@@ -214,15 +223,24 @@ class Codec:
         return (np.cumsum([0, *sizes])[:-1]).tolist()
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[tuple, Codec] = {}
+
+
+def _library(ranks: dict[bytes, int]):
+    """The tokenizer library's merging of a single piece (the pattern takes all of it)."""
+    import tiktoken
+
+    return tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-def codec(content: bytes) -> Codec:
-    """The codec of a rank file's content, one per worker."""
-    key = hash(content)
+def codec(content: bytes, library: bool = False) -> Codec:
+    """The codec of a rank file's content, one per worker; ``library`` lets the tokenizer
+    library merge the pieces that are not cached."""
+    key = hash(content), library
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(read_ranks(content))
+        ranks = read_ranks(content)
+        _codecs[key] = Codec(ranks, _library(ranks) if library else None)
     return _codecs[key]
 
 

@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, ranks_path: str, key: str = "doc_id", text: str = "t
     step = 4 * capacity
 
     def run(batches):
-        c, salt = codec(content), 0
+        c, salt = codec(content, library=True), 0
         for b in batches:
             rows = []
             for k, ids in zip(b.column(key).to_pylist(), c.encode([t or "" for t in b.column(text).to_pylist()])):
