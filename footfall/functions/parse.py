@@ -19,11 +19,6 @@ def jvm_trim(c) -> Column:
     return F.trim(_col(c), F.lit(_JVM_TRIM_CHARS))
 
 
-def is_zero_marker(c) -> Column:
-    t = jvm_trim(c)
-    return t.isNull() | t.isin(*ZERO_MARKERS)
-
-
 def int_or_zero(c) -> Column:
     """Int-or-zero rule: trimmed '', 'null' or '\\N' (or a missing field) give 0,
     integer text gives its value, anything else gives null (see ``bad_int``)."""

@@ -92,9 +92,10 @@ def state_day(stamp: str) -> str:
 
 
 def state_day_col(stamp_col) -> Column:
-    """``state_day`` as a column expression over a yyyyMMddHHmm stamp column."""
+    """``state_day`` as a column expression over a yyyyMMddHHmm stamp column; null for text
+    that is no stamp."""
     s = F.col(stamp_col) if isinstance(stamp_col, str) else stamp_col
-    t = F.to_timestamp_ntz(s, F.lit("yyyyMMddHHmm"))
+    t = F.call_function("try_to_timestamp", s, F.lit("yyyyMMddHHmm")).cast("timestamp_ntz")
     return F.date_format(F.timestamp_add("MINUTE", F.lit(-SLICE_MINUTES), t), "yyyyMMdd")
 
 

@@ -6,9 +6,11 @@
         --out residence
     spark-submit footfall/jobs.py seed-dim  --cells /in/cells.orc --out dim_district
 
-Tables are catalog names or paths (a '/' makes it a path).  JDBC output is optional and
-takes its connection options from the command line or the environment of the caller;
-nothing is stored here.  The session is the one spark-submit configures.
+Tables are catalog names or paths (a '/' makes it a path).  JDBC output is optional; its
+connection options come from the environment (FOOTFALL_JDBC_URL, FOOTFALL_JDBC_PROPS: a JSON
+object with user, password, driver), so that no password stands on a command line.  The
+session is the one spark-submit configures, with the SQL settings of
+``session.RECOMMENDED_CONF`` wherever the submitter set none.
 """
 
 from __future__ import annotations
@@ -28,17 +30,25 @@ from footfall.constants import DEFAULT_CITY_ID, DEFAULT_LAST_N, DEFAULT_STAY_DAY
 from footfall.functions.slices import default_start, stay_range  # noqa: E402
 from footfall.plans import residence as residence_plans  # noqa: E402
 from footfall.plans.job import run_visitor_job  # noqa: E402
+from footfall.session import RECOMMENDED_CONF  # noqa: E402
 from footfall.sinks import jdbc  # noqa: E402
 from footfall.sinks.tables import append_report, save_dim, save_residence  # noqa: E402
-from footfall.sources.signal_text import read_signal, read_signal_partitioned  # noqa: E402
+from footfall.sources.signal_text import read_signal, read_signal_partitioned, slice_outcome  # noqa: E402
 from footfall.sources.tables import read_dim, read_residence, seed_dim  # noqa: E402
 
 
-def _jdbc_props(args) -> dict | None:
-    if not args.jdbc_url:
-        return None
-    props = json.loads(args.jdbc_props) if args.jdbc_props else {}
-    return props
+def _jdbc() -> tuple[str, dict] | None:
+    """(url, properties) from the environment, None if no database is asked for."""
+    url = os.environ.get("FOOTFALL_JDBC_URL")
+    return (url, json.loads(os.environ.get("FOOTFALL_JDBC_PROPS") or "{}")) if url else None
+
+
+def apply_recommended(spark: SparkSession) -> None:
+    """The SQL settings that the plans are tested with, unless the submitter set them."""
+    given = spark.sparkContext.getConf()
+    for key, value in RECOMMENDED_CONF.items():
+        if key.startswith("spark.sql.") and not given.contains(key):
+            spark.conf.set(key, value)
 
 
 def cmd_visitor(spark: SparkSession, args) -> None:
@@ -46,53 +56,48 @@ def cmd_visitor(spark: SparkSession, args) -> None:
     as_of = args.as_of or dt.datetime.now().strftime("%Y%m%d%H%M")
     dim = read_dim(spark, args.dim)
     res = read_residence(spark, args.residence) if args.residence else None
-    props = _jdbc_props(args)
+    db = _jdbc()
 
     def sink(dur, home, stamp):
         if args.out_dur:
-            append_report(dur, args.out_dur)
+            append_report(dur, args.out_dur, stamp=stamp)
         if args.out_home:
-            append_report(home, args.out_home)
-        if props is not None:
-            jdbc.append_report_jdbc(dur, args.jdbc_url, args.jdbc_dur_table, props)
-            jdbc.append_report_jdbc(home, args.jdbc_url, args.jdbc_home_table, props)
+            append_report(home, args.out_home, stamp=stamp)
+        if db is not None:
+            jdbc.append_report_jdbc(dur, db[0], args.jdbc_dur_table, db[1])
+            jdbc.append_report_jdbc(home, db[0], args.jdbc_home_table, db[1])
 
     out = run_visitor_job(spark, args.root, as_of, dim, res, args.state, n=args.n,
                           mode=args.mode, reset=args.reset, layout=args.layout, sink=sink)
-    print(json.dumps({"stamp": out.stamp, "state": out.state_path}))
+    print(json.dumps({"stamp": out.stamp, "state": out.state_path, **out.outcome}))
 
 
 def cmd_residence(spark: SparkSession, args) -> None:
     """The weekly labelling job: residents and staff of the stay range, one pass."""
     start = args.start or default_start(dt.date.today())
     stamps = stay_range(start, args.days)
-    if args.layout == "partitioned":
-        raise SystemExit("the stay range selects hour/day prefixes; use the file layout")
-    rows = read_signal(spark, args.root, stamps)
+    rows = (read_signal_partitioned(spark, args.root, stamps).drop("slice") if args.layout == "partitioned"
+            else read_signal(spark, args.root, stamps))
     table = residence_plans.residence_table(rows, read_dim(spark, args.dim), args.days,
                                             city_id=args.city, match=args.match)
     save_residence(table, args.out)
-    print(json.dumps({"start": start, "days": args.days, "out": args.out}))
+    print(json.dumps({"start": start, "days": args.days, "out": args.out,
+                      **slice_outcome(spark, args.root, stamps, args.layout)}))
 
 
 def cmd_seed_dim(spark: SparkSession, args) -> None:
     """The dimension seed: a cell list (catalog table or ORC/parquet path) -> dimension."""
-    src = spark.table(args.cells) if "/" not in args.cells else spark.read.load(args.cells)
+    src = spark.table(args.cells) if "/" not in args.cells else spark.read.format(args.format).load(args.cells)
     dim = seed_dim(src)
     save_dim(dim.drop("update_time"), args.out)
-    props = _jdbc_props(args)
-    if props is not None:
-        jdbc.overwrite_dim_jdbc(dim.drop("update_time"), args.jdbc_url, args.jdbc_dim_table, props)
+    if (db := _jdbc()) is not None:
+        jdbc.overwrite_dim_jdbc(dim.drop("update_time"), db[0], args.jdbc_dim_table, db[1])
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="footfall")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    def jdbc_opts(sp):
-        sp.add_argument("--jdbc-url")
-        sp.add_argument("--jdbc-props", help="JSON object: user, password, driver, ...")
-
     v = sub.add_parser("visitor")
     v.add_argument("--root", required=True)
     v.add_argument("--state", required=True, help="shared folder for the day state")
@@ -107,7 +112,6 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--out-home")
     v.add_argument("--jdbc-dur-table", default="visitor_flow_dur")
     v.add_argument("--jdbc-home-table", default="visitor_flow_home")
-    jdbc_opts(v)
 
     r = sub.add_parser("residence")
     r.add_argument("--root", required=True)
@@ -121,15 +125,16 @@ def parser() -> argparse.ArgumentParser:
 
     d = sub.add_parser("seed-dim")
     d.add_argument("--cells", required=True)
+    d.add_argument("--format", default="orc", help="format of --cells when it is a path")
     d.add_argument("--out", required=True)
     d.add_argument("--jdbc-dim-table", default="dim_district")
-    jdbc_opts(d)
     return p
 
 
 def main(argv=None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"footfall-{args.cmd}").getOrCreate()
+    apply_recommended(spark)
     {"visitor": cmd_visitor, "residence": cmd_residence, "seed-dim": cmd_seed_dim}[args.cmd](spark, args)
 
 

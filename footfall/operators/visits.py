@@ -3,7 +3,7 @@
 Both reports need, per visitor and district, the first and last end_time plus the
 visitor's attributes.  The original job takes ``first()`` of the attributes, which is
 order-dependent; the deterministic stand-in here is ``min()`` (the home pair as one
-struct so province and city stay a real pair).
+struct so province and city stay a real pair; records without a province have no say).
 
 Plan shape: min/max over *string* columns forces a sort-based aggregate over every raw
 row, so the raw rows are first reduced by a hash aggregate keyed by the visit key *and*
@@ -68,7 +68,9 @@ def merge_summaries(parts: DataFrame) -> DataFrame:
     cols = parts.columns
     aggs = [F.min(a).alias(a) for a in ("user_number", "city_id", "district_name") if a in cols]
     if "home_province" in cols:
-        aggs.append(F.min(F.struct("home_province", "home_city")).alias("_home"))
+        # a record without a home says nothing: a struct of nulls is not null, so leave it out
+        known = F.col("home_province").isNotNull() & (F.col("home_province") != "")
+        aggs.append(F.min(F.when(known, F.struct("home_province", "home_city"))).alias("_home"))
     aggs += [F.min("min_end_time").alias("min_end_time"), F.max("max_end_time").alias("max_end_time")]
     out = parts.groupBy(*VISIT_KEY).agg(*aggs)
     sel = VISIT_KEY + [a for a in ("user_number", "city_id", "district_name") if a in cols]

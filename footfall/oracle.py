@@ -6,14 +6,26 @@ projection of ``events`` onto the signal model (see footfall.sources.fixtures).
 
 from __future__ import annotations
 
-from footfall import params as P
 from footfall.constants import DWELL_BAND_UPPER, RECENCY_MINUTES
 
+# The run parameters of footfall.params and the slices they stand for, spelled
+# out so that no code under test computes them.
+AS_OF = "202401101205"
+UNTIL = "{c} BETWEEN '202401100005' AND '202401101205'"
+LAST_N = "{c} BETWEEN '202401092320' AND '202401100015'"
+RANGE_SIGNAL = "(substr({c}, 1, 10) = '2024010723' OR substr({c}, 1, 8) = '20240108')"
+RANGE_DENSE = ("(substr({c}, 1, 10) = '2024010723' "
+               "OR substr({c}, 1, 8) IN ('20240108', '20240109', '20240110'))")
+EVERYTHING = "TRUE"
+WEEK = "hour >= 2023123123 AND hour < 2024010523"
+RES_DAYS_SIGNAL, RES_DAYS_DENSE, ROLLING_N = 1, 3, 3
+CELL_LOAD_HOUR, X_STAY_SECONDS = 2024011018, 14400
+
 _FMT = "'%Y%m%d%H%M%S'"
 
 
 def _signal(name: str, dense: bool) -> str:
-    uid = "user_id % 15" if dense else "user_id"
+    uid = "user_id % (SELECT greatest(15, count(*) // 100) FROM customer)" if dense else "user_id"
     return f"""{name}_ev AS (
   SELECT event_id, event_type, ts, {uid} AS user_id,
          TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -55,17 +67,9 @@ def _sig(dense: bool) -> str:
     return "sigd" if dense else "sig0"
 
 
-def _in(stamps) -> str:
-    return "(" + ", ".join(f"'{s}'" for s in stamps) + ")"
-
-
-def _range_pred(col: str, stamps) -> str:
-    """Slice selection: 12-char stamps exactly, 10/8-char stamps as prefixes."""
-    conds = []
-    for n in sorted({len(s) for s in stamps}):
-        group = [s for s in stamps if len(s) == n]
-        conds.append(f"substr({col}, 1, {n}) IN {_in(group)}")
-    return "(" + " OR ".join(conds) + ")"
+def _range_pred(col: str, which: str) -> str:
+    """One of the slice selections above on a stamp column."""
+    return which.format(c=col)
 
 
 def _epoch(x: str) -> str:
@@ -207,28 +211,19 @@ def _int_or_zero_sql() -> str:
 
 
 def _rolling_reset_sql() -> str:
-    n = P.ROLLING_N
+    n = ROLLING_N
     m = "CAST(substr(slice_stamp, 9, 2) AS INTEGER) * 60 + CAST(substr(slice_stamp, 11, 2) AS INTEGER)"
     return _with() + (f"SELECT DISTINCT slice_stamp, ({m} >= {5 * n} AND {m} < {10 * n}) AS reset "
                       f"FROM sig0")
 
 
-def _week_range_sql() -> str:
-    lo, hi = _week_bounds()
-    return _with() + f"SELECT {_SIGNAL_COLS} FROM sig0 WHERE hour >= {lo} AND hour < {hi}"
-
-
-def _week_bounds():
-    from footfall.operators.explore import week_range
-    return week_range(P.AS_OF)
-
-
 def queries() -> dict[str, str]:
-    until, dense_range, sig_range = P.UNTIL_NOW, P.STAY_RANGE_DENSE, P.STAY_RANGE_SIGNAL
+    until, dense_range, sig_range = UNTIL, RANGE_DENSE, RANGE_SIGNAL
     enr_all = _enriched("enr", "sig0")
     people_cols = ("imsi, user_number, end_time, hod AS hour, city_id, district_id, district_name, "
                    "date")
-    res_d = _residence_ctes("sigd", dense_range, P.RES_DAYS_DENSE)
+    res_d = _residence_ctes("sigd", dense_range, RES_DAYS_DENSE)
+    all_d = _residence_ctes("sigd", EVERYTHING, RES_DAYS_DENSE)
     out = {
         "signal_scan": _with() + f"SELECT {_SIGNAL_COLS} FROM sig0",
         "int_or_zero": _int_or_zero_sql(),
@@ -238,14 +233,14 @@ def queries() -> dict[str, str]:
        'Station ' || CAST(base_statn_id AS VARCHAR) || '_' || CAST(sector_id AS VARCHAR) AS sector_name,
        CAST(113.3 AS DOUBLE) AS center_longitude_baidu, CAST(23.1 AS DOUBLE) AS center_latitude_baidu,
        CAST(1 AS INTEGER) AS flow_rate FROM dim""",
-        "residence_scan": _residence_query(False, sig_range, P.RES_DAYS_SIGNAL).replace(
+        "residence_scan": _residence_query(False, sig_range, RES_DAYS_SIGNAL).replace(
             "SELECT * FROM r_res", "SELECT district_id, imsi FROM r_res"),
         "slices_last_n": _with() + f"SELECT {_SIGNAL_COLS}, slice_stamp FROM sig0 "
-                                   f"WHERE slice_stamp IN {_in(P.LAST_N_STAMPS)}",
+                                   f"WHERE {_range_pred('slice_stamp', LAST_N)}",
         "slices_until_now": _with() + f"SELECT {_SIGNAL_COLS}, slice_stamp FROM sig0 "
-                                      f"WHERE slice_stamp IN {_in(until)}",
+                                      f"WHERE {_range_pred('slice_stamp', until)}",
         "slices_stay_range": _with() + f"SELECT {_SIGNAL_COLS}, slice_stamp FROM sig0 "
-                                       f"WHERE {_range_pred('slice_stamp', P.STAY_RANGE_DENSE)}",
+                                       f"WHERE {_range_pred('slice_stamp', dense_range)}",
         "default_start": _with() + """SELECT DISTINCT CAST(ts AS DATE) AS run_date,
        strftime(CAST(date_trunc('week', CAST(ts AS DATE)) AS DATE) - 8, '%Y%m%d') || '23' AS default_start
 FROM sig0_ev""",
@@ -254,57 +249,57 @@ FROM sig0_ev""",
        TRY_CAST(substr(CAST(hour AS VARCHAR), 9, 2) AS INTEGER) AS hour,
        CAST(try_strptime(substr(CAST(hour AS VARCHAR), 1, 8), '%Y%m%d') AS DATE) AS date
 FROM sig0 WHERE latn_id = 200""",
-        "night_rows": _with(res_d, dense=True)
+        "night_rows": _with(all_d, dense=True)
         + f"SELECT {people_cols}, user_attr, stay_date FROM r_tag WHERE user_attr = 1",
-        "workday_rows": _with(res_d, dense=True)
+        "workday_rows": _with(all_d, dense=True)
         + f"SELECT {people_cols}, user_attr, stay_date FROM r_tag WHERE user_attr = 2",
-        "night_stays": _with(res_d, dense=True)
+        "night_stays": _with(all_d, dense=True)
         + "SELECT * FROM r_daily WHERE user_attr = 1 AND duration >= 4",
-        "workday_stays": _with(res_d, dense=True)
+        "workday_stays": _with(all_d, dense=True)
         + "SELECT * FROM r_daily WHERE user_attr = 2 AND duration >= 4",
-        "stay_days": _with(res_d, dense=True) + "SELECT * FROM r_days",
+        "stay_days": _with(all_d, dense=True) + "SELECT * FROM r_days",
         "residents": _with(res_d, dense=True) + "SELECT * FROM r_res WHERE user_attr = 1",
         "staff": _with(res_d, dense=True) + "SELECT * FROM r_res WHERE user_attr = 2",
         "residence_table": _with(res_d, dense=True) + "SELECT * FROM r_res",
         "district_join": _with(enr_all) + "SELECT * EXCLUDE (slice_stamp) FROM enr",
         "resident_anti_join": _with(
-            _enriched("enr", "sigd", _range_pred("s.slice_stamp", until)), res_d, dense=True)
+            _enriched("enr", "sigd"), res_d, dense=True)
         + """SELECT * EXCLUDE (slice_stamp) FROM enr e WHERE NOT EXISTS (
   SELECT 1 FROM r_res x WHERE x.district_id = e.district_id AND x.imsi = e.imsi)""",
-        "dwell": _with(_enriched("enr", "sig0", _range_pred("s.slice_stamp", until)),
+        "dwell": _with(_enriched("enr", "sig0"),
                        _visits_ctes("enr", None))
         + f"""SELECT imsi, district_id, user_number, city_id, district_name,
        {_epoch('max_end_time')} - {_epoch('min_end_time')} AS duration FROM vis""",
-        "dwell_section": _with(_enriched("enr", "sig0", _range_pred("s.slice_stamp", until)),
+        "dwell_section": _with(_enriched("enr", "sig0"),
                                _visits_ctes("enr", None))
         + f"""SELECT imsi, district_id, user_number, city_id, district_name, duration,
        {_section('duration')} AS section_id FROM (
   SELECT *, {_epoch('max_end_time')} - {_epoch('min_end_time')} AS duration FROM vis)""",
-        "visitor_flow_dur": _report("dur", until, P.AS_OF, res_stamps=sig_range,
-                                    res_days=P.RES_DAYS_SIGNAL),
-        "recency": _with(_enriched("enr", "sig0", _range_pred("s.slice_stamp", until)),
+        "visitor_flow_dur": _report("dur", until, AS_OF, res_stamps=sig_range,
+                                    res_days=RES_DAYS_SIGNAL),
+        "recency": _with(_enriched("enr", "sig0"),
                          _visits_ctes("enr", None))
         + f"""SELECT imsi, district_id, user_number, city_id, district_name,
        home.p AS home_province, home.c AS home_city,
-       CAST(epoch(strptime('{P.AS_OF}', '%Y%m%d%H%M')) AS BIGINT) - {_epoch('max_end_time')} AS duration
+       CAST(epoch(strptime('{AS_OF}', '%Y%m%d%H%M')) AS BIGINT) - {_epoch('max_end_time')} AS duration
 FROM vis""",
-        "visitor_flow_home": _report("home", until, P.AS_OF, res_stamps=sig_range,
-                                     res_days=P.RES_DAYS_SIGNAL),
-        "rolling_step": _report("dur", until, P.AS_OF, res_stamps=sig_range,
-                                res_days=P.RES_DAYS_SIGNAL),
-        "rolling_step_home": _report("home", until, P.AS_OF, res_stamps=sig_range,
-                                     res_days=P.RES_DAYS_SIGNAL),
-        "rolling_raw_step": _report("dur", until, P.AS_OF, res_stamps=sig_range,
-                                    res_days=P.RES_DAYS_SIGNAL),
+        "visitor_flow_home": _report("home", until, AS_OF, res_stamps=sig_range,
+                                     res_days=RES_DAYS_SIGNAL),
+        "rolling_step": _report("dur", until, AS_OF, res_stamps=sig_range,
+                                res_days=RES_DAYS_SIGNAL),
+        "rolling_step_home": _report("home", until, AS_OF, res_stamps=sig_range,
+                                     res_days=RES_DAYS_SIGNAL),
+        "rolling_raw_step": _report("dur", until, AS_OF, res_stamps=sig_range,
+                                    res_days=RES_DAYS_SIGNAL),
         "rolling_reset": _rolling_reset_sql(),
-        "rolling_rebuild": _report("dur", until, P.AS_OF, res_stamps=sig_range,
-                                   res_days=P.RES_DAYS_SIGNAL),
-        "x_week_range": _week_range_sql(),
-        "x_residents_unshifted": _with(_residence_ctes("sigd", dense_range, P.RES_DAYS_DENSE,
+        "rolling_rebuild": _report("dur", until, AS_OF, res_stamps=sig_range,
+                                   res_days=RES_DAYS_SIGNAL),
+        "x_week_range": _with() + f"SELECT {_SIGNAL_COLS} FROM sig0 WHERE " + WEEK,
+        "x_residents_unshifted": _with(_residence_ctes("sigd", dense_range, RES_DAYS_DENSE,
                                                        work=False, rollover=False), dense=True)
         + "SELECT * FROM r_res",
-        "x_stay_4h": _with(_residence_ctes("sigd", dense_range, P.RES_DAYS_DENSE, work=False,
-                                           rollover=False, min_stay=P.X_STAY_SECONDS), dense=True)
+        "x_stay_4h": _with(_residence_ctes("sigd", EVERYTHING, RES_DAYS_DENSE, work=False,
+                                           rollover=False, min_stay=X_STAY_SECONDS), dense=True)
         + """SELECT imsi, district_id, user_number, city_id, district_name, stay_days,
        CASE WHEN stay_days = 1 THEN 1 END AS user_attr FROM r_days""",
         "x_sector_rollup": _with() + """SELECT city_id, district_id, base_statn_id, sector_id,
@@ -314,25 +309,31 @@ FROM vis""",
 FROM dim WHERE city_id = 200 GROUP BY city_id, district_id, base_statn_id, sector_id""",
         "x_cell_multiplicity": _with() + """SELECT city_id, base_statn_id, sector_id, count(*) AS n
 FROM dim WHERE city_id = 200 GROUP BY city_id, base_statn_id, sector_id""",
-        "x_hour_coverage": _with(_residence_ctes("sigd", dense_range, P.RES_DAYS_DENSE, work=False,
+        "x_hour_coverage": _with(_residence_ctes("sigd", EVERYTHING, RES_DAYS_DENSE, work=False,
                                                  rollover=False), dense=True)
         + """SELECT imsi, date, district_id, min(hod) AS first_hour, min(user_number) AS user_number,
        count(DISTINCT hod) AS cd_hour,
        string_agg(DISTINCT CAST(hod AS VARCHAR), ';' ORDER BY CAST(hod AS VARCHAR)) AS hours
 FROM r_tag WHERE user_attr = 1 GROUP BY imsi, date, district_id""",
         "x_cell_load": _with() + f"""SELECT latn_id, base_statn_id, sector_id, count(*) AS n
-FROM sig0 WHERE latn_id = 200 AND hour = {P.CELL_LOAD_HOUR}
+FROM sig0 WHERE latn_id = 200 AND hour = {CELL_LOAD_HOUR}
 GROUP BY latn_id, base_statn_id, sector_id""",
     }
     out["visitor_job"] = out["visitor_flow_dur"]
     out["visitor_job_home"] = out["visitor_flow_home"]
+    for name in ("visitor_job_files", "job_rerun_older", "stream_same_stamp", "stream_late_batch"):
+        out[name] = out["visitor_flow_dur"]
+    out["signal_quarantine"] = _with() + """SELECT
+  CASE v WHEN 0 THEN 'short' WHEN 1 THEN 'integer' ELSE 'time' END AS reason, message_type, imsi,
+  CASE v WHEN 2 THEN substr(start_time, 1, 4) || '99' || substr(start_time, 7) ELSE start_time END AS start_time
+FROM (SELECT *, (base_statn_id + home_latn_id) % 5 AS v FROM sig0) WHERE v IN (0, 1, 2)"""
     out["slices_missing"] = out["slices_until_now"]
     out["residence_two_pass"] = out["residence_table"]
     out["resident_outer_join"] = out["resident_anti_join"]
     out["sink_table"] = out["residence_table"]
     out["state_roundtrip"] = _with(
         _enriched("enr", "sig0", _range_pred("s.slice_stamp", until)),
-        _residence_ctes("sig0", sig_range, P.RES_DAYS_SIGNAL), _visits_ctes("enr", "r_res")) + """
+        _residence_ctes("sig0", sig_range, RES_DAYS_SIGNAL), _visits_ctes("enr", "r_res")) + """
 SELECT imsi, district_id, user_number, city_id, district_name, home.p AS home_province,
        home.c AS home_city, CAST(min_end_time AS BIGINT) AS min_end_time,
        CAST(max_end_time AS BIGINT) AS max_end_time

@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +21,7 @@ from footfall.functions.slices import batch_stamp, last_n_slices, state_day, unt
 from footfall.plans import rolling
 from footfall.plans.reports import dwell_report, home_report
 from footfall.sinks.state import latest_state_path, prune_states, read_state, save_state
-from footfall.sources.signal_text import read_signal, read_signal_partitioned
+from footfall.sources.signal_text import read_signal, read_signal_partitioned, slice_outcome
 
 
 @dataclass
@@ -30,6 +30,7 @@ class JobResult:
     state_path: str | None
     dwell: DataFrame
     home: DataFrame
+    outcome: dict = field(default_factory=dict)  # sources.signal_text.slice_outcome
 
 
 def run_slices(as_of: str, n: int = DEFAULT_LAST_N) -> list[str]:
@@ -40,12 +41,13 @@ def run_slices(as_of: str, n: int = DEFAULT_LAST_N) -> list[str]:
 def run_visitor_job(spark: SparkSession, root: str, as_of: str, dim: DataFrame,
                     residence: DataFrame | None, state_root: str, n: int = DEFAULT_LAST_N,
                     mode: str = "aggregate", reset: str = "window", layout: str = "files",
-                    refilter: bool = False, keep_states: int = 2, sink=None,
+                    refilter: bool = False, keep_days: int = 2, sink=None,
                     dim_broadcast: bool | None = None) -> JobResult:
     """One run of the visitor job at ``as_of`` (yyyyMMddHHmm) over the last ``n`` slices.
 
     ``sink(dwell_df, home_df, stamp)`` receives the two reports (e.g. table or JDBC
-    writers).  Returns the reports as DataFrames over the committed state.
+    writers).  Returns the reports as DataFrames over the committed state, and what the run
+    did not use.  A run whose predecessor state was pruned raises ``StatePruned``.
     """
     stamps = run_slices(as_of, n)
     stamp = batch_stamp(stamps)
@@ -72,6 +74,6 @@ def run_visitor_job(spark: SparkSession, root: str, as_of: str, dim: DataFrame,
     dur, home = dwell_report(visits, stamp), home_report(visits, stamp)
     if sink is not None:
         sink(dur, home, stamp)
-    if keep_states:
-        prune_states(spark, state_root, keep_states)
-    return JobResult(stamp, path, dur, home)
+    if keep_days:
+        prune_states(spark, state_root, keep_days, protect=(path,))
+    return JobResult(stamp, path, dur, home, slice_outcome(spark, root, stamps, layout))

@@ -6,6 +6,7 @@ holds the equivalent DuckDB SQL under the same name.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,16 +38,19 @@ from footfall.plans import reports, residence, rolling
 from footfall.plans.job import run_visitor_job
 from footfall.schemas import SIGNAL_COLUMNS
 from footfall.session import scratch_path
-from footfall.sinks.state import load_state, save_state
-from footfall.sinks.tables import save_residence
+from footfall.sinks.state import latest_state, load_state, read_state, save_state
+from footfall.sinks.tables import save_dim, save_residence, save_residence_two_pass
 from footfall.sources import fixtures
 from footfall.sources.signal_text import (
-    clean,
+    SLICE_SUBDIR,
     format_signal_lines,
-    parse_signal_lines,
+    read_signal,
     read_signal_partitioned,
+    read_signal_quarantine,
     write_slices,
 )
+from footfall.sources.tables import read_dim, read_residence, seed_dim
+from footfall.streaming.slices_stream import merge_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,45 +71,106 @@ def slice_rows(spark: SparkSession, sf_dir: str, stamps, dense: bool = False,
     return rows if keep_stamp else rows.drop("slice")
 
 
+# Tables that reports read (S5, S6) are written once per application and read by path, so a
+# report's plan scans the events of its own window and nothing else.  ``forget`` drops them.
+_STORED: dict = {}
+
+
+def _stored(spark, key, write) -> str:
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _STORED:
+        path = scratch_path(spark, key[0])
+        write(path)
+        _STORED[k] = path
+    return _STORED[k]
+
+
+def forget() -> None:
+    """Drops what is kept between queries (lazy frames and paths of stored tables)."""
+    _STORED.clear()
+    fixtures.forget()
+
+
+def _seed(spark, sf_dir, path):
+    save_dim(seed_dim(fixtures.dim_district_full(spark, sf_dir)).drop("update_time"), path)
+
+
+def _dim_path(spark, sf_dir):
+    """The dimension seeded from the cells in the data and saved."""
+    return _stored(spark, ("dim", sf_dir), lambda path: _seed(spark, sf_dir, path))
+
+
 def _dim(spark, sf_dir):
-    """The fixture dimension, marked for broadcast: it is bounded by construction
+    """The stored dimension, marked for broadcast: it is bounded by construction
     (fixtures.DIM_MAX_ROWS), so no size check is needed.  Operators receive it with
     ``dim_broadcast=False`` (use as given)."""
-    return F.broadcast(fixtures.dim_district(spark, sf_dir))
+    return F.broadcast(read_dim(spark, _dim_path(spark, sf_dir)))
 
 
 NO_CHECK = False  # dim_broadcast value: the frame is already marked
 
 
-def _residence(spark, sf_dir, dense: bool, with_attrs: bool = True):
+def _residence_frame(spark, sf_dir, dense: bool, with_attrs: bool = True):
     stamps = P.STAY_RANGE_DENSE if dense else P.STAY_RANGE_SIGNAL
     days = P.RES_DAYS_DENSE if dense else P.RES_DAYS_SIGNAL
     return residence.residence_table(slice_rows(spark, sf_dir, stamps, dense), _dim(spark, sf_dir),
                                      days, dim_broadcast=NO_CHECK, with_attrs=with_attrs)
 
 
+def _residence(spark, sf_dir, dense: bool):
+    """(district_id, imsi) of the stored residence table (K4)."""
+    path = _stored(spark, ("residence", sf_dir, dense),
+                   lambda p: save_residence(_residence_frame(spark, sf_dir, dense), p))
+    return read_residence(spark, path)
+
+
 def _tagged(spark, sf_dir, **kw):
-    rows = slice_rows(spark, sf_dir, P.STAY_RANGE_DENSE, dense=True)
+    rows = fixtures.signal(spark, sf_dir, dense=True)
     return tag_periods(people(rows, _dim(spark, sf_dir), dim_broadcast=NO_CHECK), **kw)
 
 
 def _report_visits(spark, sf_dir, attrs):
     rows = slice_rows(spark, sf_dir, P.UNTIL_NOW)
-    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    res = _residence(spark, sf_dir, dense=False)
     return reports.visits(rows, _dim(spark, sf_dir), res, NO_CHECK, attrs)
 
 
 def _plain_visits(spark, sf_dir, attrs=ALL_ATTRS):
-    return reports.visits(slice_rows(spark, sf_dir, P.UNTIL_NOW), _dim(spark, sf_dir), None,
-                          NO_CHECK, attrs)
+    return reports.visits(fixtures.signal(spark, sf_dir), _dim(spark, sf_dir), None, NO_CHECK, attrs)
 
 
 # --- S* sources ------------------------------------------------------------------------
 
+def _write_files(lines: DataFrame, root: str, stamp: str, city: str = "200") -> None:
+    """Text files of the original layout, the stamp in their names."""
+    (lines.select("value").write.mode("append").option("mapreduce.output.basename", f"sig_{stamp}")
+     .text(f"{root}/{SLICE_SUBDIR}/{city}"))
+
+
+DATA_MONTH, NO_MONTH = "202401", "209912"
+
+
 def q_signal_scan(spark, sf_dir):
-    """Signal rows written as 30-field pipe text and parsed back."""
-    lines = format_signal_lines(fixtures.signal(spark, sf_dir))
-    return clean(parse_signal_lines(lines))
+    """All signal rows written as text files and read back by a part of their
+    names; a stamp without files adds nothing."""
+    root = scratch_path(spark, "files")
+    _write_files(format_signal_lines(fixtures.signal(spark, sf_dir)), root, DATA_MONTH + "010000")
+    return read_signal(spark, root, [DATA_MONTH, NO_MONTH])
+
+
+def q_signal_quarantine(spark, sf_dir):
+    """Lines that cannot be used, listed with the reason: cut off after five fields, an
+    unreadable station, or a start time in month 99."""
+    v = (F.col("base_statn_id") + F.col("home_latn_id")) % 5
+    sig = fixtures.signal(spark, sf_dir).withColumn("v", v).withColumns({
+        "base_statn_id": F.when(F.col("v") == 1, F.lit("x")).otherwise(F.col("base_statn_id").cast("string")),
+        "start_time": F.when(F.col("v") == 2, F.concat(F.substring("start_time", 1, 4), F.lit("99"),
+                                                       F.substring("start_time", 7, 8))).otherwise(F.col("start_time"))})
+    lines = format_signal_lines(sig, keep=("v",))
+    cut = F.when(F.col("v") == 0, F.substring_index("value", "|", 5)).otherwise(F.col("value"))
+    root = scratch_path(spark, "broken")
+    _write_files(lines.select(cut.alias("value")), root, DATA_MONTH + "010000")
+    return read_signal_quarantine(spark, root, [DATA_MONTH]).select("reason", "message_type", "imsi", "start_time")
 
 
 _INT_COLS = ["type", "base_statn_id", "sector_id", "home_latn_id", "latn_id", "hour"]
@@ -131,18 +196,24 @@ def q_int_or_zero(spark, sf_dir):
 
 
 def q_district_dim(spark, sf_dir):
-    """The five dimension columns."""
-    return _dim(spark, sf_dir)
+    """The five columns of the stored dimension."""
+    return read_dim(spark, _dim_path(spark, sf_dir))
 
 
 def q_dim_seed(spark, sf_dir):
-    """The full dimension seeded from the cells in the data."""
-    return fixtures.dim_district_full(spark, sf_dir)
+    """The full dimension seeded from the cells in the data, saved and read back."""
+    path = scratch_path(spark, "seed")
+    _seed(spark, sf_dir, path)
+    return spark.read.orc(path).drop("update_time")
 
 
 def q_residence_scan(spark, sf_dir):
-    """The (district_id, imsi) projection of the residence table."""
-    return _residence(spark, sf_dir, dense=False, with_attrs=False).select("district_id", "imsi")
+    """Residents overwritten, staff appended, the two key columns read back."""
+    rows = slice_rows(spark, sf_dir, P.STAY_RANGE_SIGNAL)
+    dim, path = _dim(spark, sf_dir), scratch_path(spark, "two-pass")
+    save_residence_two_pass(residence.residents(rows, dim, P.RES_DAYS_SIGNAL, dim_broadcast=NO_CHECK),
+                            residence.staff(rows, dim, P.RES_DAYS_SIGNAL, dim_broadcast=NO_CHECK), path)
+    return read_residence(spark, path)
 
 
 # --- T* slices -------------------------------------------------------------------------
@@ -206,7 +277,7 @@ def q_staff(spark, sf_dir):
 
 
 def q_residence_table(spark, sf_dir):
-    return _residence(spark, sf_dir, dense=True)
+    return _residence_frame(spark, sf_dir, dense=True)
 
 
 def q_residence_two_pass(spark, sf_dir):
@@ -223,16 +294,16 @@ def q_district_join(spark, sf_dir):
 
 
 def q_resident_anti_join(spark, sf_dir):
-    rows = slice_rows(spark, sf_dir, P.UNTIL_NOW, dense=True)
+    rows = fixtures.signal(spark, sf_dir, dense=True)
     enriched = district_join(rows, _dim(spark, sf_dir), NO_CHECK)
-    return drop_residents(enriched, _residence(spark, sf_dir, dense=True, with_attrs=False))
+    return drop_residents(enriched, _residence(spark, sf_dir, dense=True))
 
 
 def q_resident_outer_join(spark, sf_dir):
     """J2 as the original wrote it (left outer + null filter); same rows as the anti join."""
-    rows = slice_rows(spark, sf_dir, P.UNTIL_NOW, dense=True)
+    rows = fixtures.signal(spark, sf_dir, dense=True)
     enriched = district_join(rows, _dim(spark, sf_dir), NO_CHECK)
-    return drop_residents_outer(enriched, _residence(spark, sf_dir, dense=True, with_attrs=False))
+    return drop_residents_outer(enriched, _residence(spark, sf_dir, dense=True))
 
 
 def q_dwell(spark, sf_dir):
@@ -260,7 +331,7 @@ def q_visitor_flow_home(spark, sf_dir):
 def _rolling_state(spark, sf_dir, mode):
     """The day state after the earlier runs, then one more run of the last n slices."""
     dim = _dim(spark, sf_dir)
-    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    res = _residence(spark, sf_dir, dense=False)
     new_stamps = P.UNTIL_NOW[:P.ROLLING_N]
     old_stamps = P.UNTIL_NOW[P.ROLLING_N:]
     state = rolling.initial_state(slice_rows(spark, sf_dir, old_stamps), dim, res, mode=mode,
@@ -295,7 +366,7 @@ def q_rolling_reset(spark, sf_dir):
 def q_rolling_rebuild(spark, sf_dir):
     """n = 0 reads every slice since 00:05 and ignores any state."""
     dim = _dim(spark, sf_dir)
-    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    res = _residence(spark, sf_dir, dense=False)
     state = rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW), dim, res,
                                   dim_broadcast=NO_CHECK)
     return reports.dwell_report(rolling.state_visits(state), P.AS_OF)
@@ -306,7 +377,7 @@ def q_rolling_rebuild(spark, sf_dir):
 def q_sink_table(spark, sf_dir):
     """K4/K5: the residence table written as ORC (one overwrite) and read back."""
     path = scratch_path(spark, "residence")
-    save_residence(_residence(spark, sf_dir, dense=True), path)
+    save_residence(_residence_frame(spark, sf_dir, dense=True), path)
     return spark.read.orc(path).drop("update_time")
 
 
@@ -315,7 +386,7 @@ def q_state_roundtrip(spark, sf_dir):
     newest complete version, read back."""
     root = scratch_path(spark, "state")
     dim = _dim(spark, sf_dir)
-    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    res = _residence(spark, sf_dir, dense=False)
     state = rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW), dim, res,
                                   dim_broadcast=NO_CHECK, attrs=ALL_ATTRS)
     save_state(state, root, P.AS_OF)
@@ -323,10 +394,11 @@ def q_state_roundtrip(spark, sf_dir):
 
 
 def _written_slices(spark, sf_dir):
-    """The whole fixture written as pipe text in the partitioned layout (scratch)."""
-    root = scratch_path(spark, "slices")
-    write_slices(fixtures.signal(spark, sf_dir), root)
-    return root
+    """The slices of the report's day (the window of the jobs that read them) as pipe text in
+    the partitioned layout."""
+    def write(root):
+        write_slices(slice_rows(spark, sf_dir, [P.AS_OF[:8]], keep_stamp=True), root)
+    return _stored(spark, ("slices", sf_dir), write)
 
 
 def q_slices_missing(spark, sf_dir):
@@ -342,13 +414,61 @@ def _visitor_job(spark, sf_dir):
     root = _written_slices(spark, sf_dir)
     state_root = scratch_path(spark, "job-state")
     dim = _dim(spark, sf_dir)
-    res = _residence(spark, sf_dir, dense=False, with_attrs=False)
+    res = _residence(spark, sf_dir, dense=False)
     run_visitor_job(spark, root, P.JOB_FIRST_AS_OF, dim, res, state_root, n=0,
                     layout="partitioned", dim_broadcast=NO_CHECK)
     return run_visitor_job(spark, root, P.AS_OF, dim, res, state_root, n=P.ROLLING_N,
                            layout="partitioned", dim_broadcast=NO_CHECK)
 
 
+def q_visitor_job_files(spark, sf_dir):
+    """The same two runs on slice files: the stamp in the name selects, not the record's time."""
+    root, state_root = scratch_path(spark, "job-files"), scratch_path(spark, "job-files-state")
+    new = P.UNTIL_NOW[:P.ROLLING_N]
+    _write_files(format_signal_lines(slice_rows(spark, sf_dir, P.UNTIL_NOW[P.ROLLING_N:])), root, P.JOB_FIRST_AS_OF)
+    _write_files(format_signal_lines(slice_rows(spark, sf_dir, new)), root, P.AS_OF)
+    dim, res = _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False)
+    run_visitor_job(spark, root, P.JOB_FIRST_AS_OF, dim, res, state_root, n=0, dim_broadcast=NO_CHECK)
+    return run_visitor_job(spark, root, P.AS_OF, dim, res, state_root, n=P.ROLLING_N, dim_broadcast=NO_CHECK).dwell
+
+
+def q_job_rerun_older(spark, sf_dir):
+    """An older run repeated after newer ones reports what it reported the first time."""
+    root, state_root = _written_slices(spark, sf_dir), scratch_path(spark, "rerun-state")
+    dim, res = _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False)
+    run = lambda as_of, n: run_visitor_job(spark, root, as_of, dim, res, state_root, n=n,
+                                           layout="partitioned", dim_broadcast=NO_CHECK)
+    run(P.JOB_FIRST_AS_OF, 0)
+    for as_of in (P.AS_OF, *P.JOB_LATER):
+        run(as_of, P.ROLLING_N)
+    return run(P.AS_OF, P.ROLLING_N).dwell
+
+
+def _streamed(spark, sf_dir, batches):
+    """The dwell report after micro-batches (lines with their file stamp) in the given order."""
+    state_root = scratch_path(spark, "stream-state")
+    dim, res = _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False)
+    for epoch, batch in enumerate(batches):
+        merge_batch(batch, dim, res, state_root, epoch=epoch)
+    stamp, path = latest_state(spark, state_root)
+    return reports.dwell_report(rolling.state_visits(read_state(spark, path)), stamp)
+
+
+def q_stream_same_stamp(spark, sf_dir):
+    """I4: two micro-batches whose newest stamp is the same (one file per city and slice)."""
+    rows = slice_rows(spark, sf_dir, P.UNTIL_NOW)
+    part = lambda k: format_signal_lines(rows.where(F.pmod(F.xxhash64("imsi", "end_time"), F.lit(2)) == k),
+                                         keep=(F.lit(P.AS_OF).alias("slice"),))
+    return _streamed(spark, sf_dir, [part(0), part(1)])
+
+
+def q_stream_late_batch(spark, sf_dir):
+    """I4: the newest slices first, older ones in a late micro-batch, an early one last."""
+    lines = lambda stamps: format_signal_lines(slice_rows(spark, sf_dir, stamps, keep_stamp=True), keep=("slice",))
+    n = P.ROLLING_N
+    return _streamed(spark, sf_dir, [lines(P.UNTIL_NOW[:n]), lines(P.UNTIL_NOW[4 * n:]), lines(P.UNTIL_NOW[n:4 * n])])
+
+
 def q_visitor_job(spark, sf_dir):
     return _visitor_job(spark, sf_dir).dwell
 
@@ -360,7 +480,8 @@ def q_visitor_job_home(spark, sf_dir):
 # --- X* drafts -------------------------------------------------------------------------
 
 def q_x_week_range(spark, sf_dir):
-    return explore.week_range_rows(fixtures.signal(spark, sf_dir), P.AS_OF)
+    lo, hi = (dt.datetime.strptime(str(h), "%Y%m%d%H") for h in explore.week_range(P.AS_OF))
+    return explore.week_range_rows(fixtures.signal(spark, sf_dir, window=(lo, hi)), P.AS_OF)
 
 
 def q_x_residents_unshifted(spark, sf_dir):
@@ -389,7 +510,9 @@ def q_x_hour_coverage(spark, sf_dir):
 
 
 def q_x_cell_load(spark, sf_dir):
-    return explore.cell_load(fixtures.signal(spark, sf_dir), P.CELL_LOAD_HOUR)
+    lo = dt.datetime.strptime(str(P.CELL_LOAD_HOUR), "%Y%m%d%H")
+    sig = fixtures.signal(spark, sf_dir, window=(lo, lo + dt.timedelta(hours=1)))
+    return explore.cell_load(sig, P.CELL_LOAD_HOUR)
 
 
 def queries() -> dict[str, Query]:
@@ -432,6 +555,11 @@ def queries() -> dict[str, Query]:
         "visitor_job": q_visitor_job,
         "visitor_job_home": q_visitor_job_home,
         "state_roundtrip": q_state_roundtrip,
+        "signal_quarantine": q_signal_quarantine,
+        "visitor_job_files": q_visitor_job_files,
+        "job_rerun_older": q_job_rerun_older,
+        "stream_same_stamp": q_stream_same_stamp,
+        "stream_late_batch": q_stream_late_batch,
         "x_week_range": q_x_week_range,
         "x_residents_unshifted": q_x_residents_unshifted,
         "x_stay_4h": q_x_stay_4h,

@@ -1,10 +1,14 @@
 """The rolling day state as immutable, versioned folders.
 
-Every run writes its state to a *new* folder ``<root>/run=<stamp>-<id>``; Spark's job
+Every run writes its state to a *new* folder ``<root>/run=<stamp>-<number>-<id>``; Spark's job
 commit writes ``_SUCCESS`` last, so a run that dies half-way leaves a folder that readers
-ignore.  Readers take the newest complete folder older than their own stamp.  Nothing is
-ever overwritten in place or renamed (the original job deleted the old file and renamed
-the new one, losing the state if it died in between).
+ignore.  ``number`` counts the versions of the root, so of two versions with one stamp the
+later commit is the newer (one writer at a time, as for the scheduled job and the stream).
+Readers take the newest complete version older than their own stamp.  Nothing is ever
+overwritten in place or renamed.
+
+Pruning drops whole state days and leaves a mark of the newest stamp dropped: a run whose
+predecessor is gone raises ``StatePruned`` instead of taking an empty or older state.
 """
 
 from __future__ import annotations
@@ -17,33 +21,54 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.functions.slices import state_day
 from footfall.sources import fs
 
-_RUN = re.compile(r"^run=(\d{12})-([0-9a-f]+)$")
+_RUN = re.compile(r"^run=(\d{12})-(\d{10})-([0-9a-z]+)$")
+_PRUNED = re.compile(r"^pruned=(\d{12})$")
+
+
+class StatePruned(RuntimeError):
+    """The state version that a run builds on was pruned."""
+
 
+def _runs(spark: SparkSession, root: str, complete: bool = True) -> list[tuple[str, int, str]]:
+    """(stamp, number, folder name) of the (complete) state versions, oldest first."""
+    found = [(m.group(1), int(m.group(2)), m.group(0)) for m in map(_RUN.match, fs.list_dirs(spark, root)) if m]
+    return sorted(r for r in found if not complete or fs.exists(spark, f"{root}/{r[2]}/_SUCCESS"))
 
-def _runs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    """(stamp, folder name) of every complete state version, oldest first."""
-    out = []
-    for name in fs.list_dirs(spark, root):
-        m = _RUN.match(name)
-        if m and fs.exists(spark, f"{root}/{name}/_SUCCESS"):
-            out.append((m.group(1), name))
-    return sorted(out)
 
+def _pruned(spark: SparkSession, root: str) -> str:
+    """Newest stamp that was pruned ('' if none)."""
+    return max([m.group(1) for m in map(_PRUNED.match, fs.list_dirs(spark, root)) if m], default="")
 
-def save_state(state: DataFrame, root: str, stamp: str, fmt: str = "orc") -> str:
-    """Write a new state version for the run ``stamp``; returns its path."""
-    path = f"{root.rstrip('/')}/run={stamp}-{uuid.uuid4().hex[:12]}"
+
+def save_state(state: DataFrame, root: str, stamp: str, fmt: str = "orc", epoch: int | None = None) -> str:
+    """Write a new state version for the run ``stamp``; returns its path.  ``epoch`` (of a
+    stream) becomes part of the name."""
+    root = root.rstrip("/")
+    number = 1 + max([n for _, n, _ in _runs(state.sparkSession, root, complete=False)], default=0)
+    mark = "" if epoch is None else f"e{epoch}x"
+    path = f"{root}/run={stamp}-{number:010d}-{mark}{uuid.uuid4().hex[:12]}"
     state.write.format(fmt).save(path)
     return path
 
 
+def latest_state(spark: SparkSession, root: str, before: str | None = None,
+                 day: str | None = None) -> tuple[str, str] | None:
+    """(stamp, path) of the newest complete version with stamp < ``before`` (and of state day
+    ``day`` if given; see ``functions.slices.state_day``: the 00:00 slice closes the previous
+    day).  Raises ``StatePruned`` if a newer one that qualified was pruned."""
+    root = root.rstrip("/")
+    fits = lambda s: (before is None or s < before) and (day is None or state_day(s) == day)
+    runs = [r for r in _runs(spark, root) if fits(r[0])]
+    gone = _pruned(spark, root)
+    if gone and fits(gone) and (not runs or runs[-1][0] < gone):
+        raise StatePruned(f"the state before {before or 'now'} was pruned (up to {gone}); run with n=0 to rebuild it")
+    return (runs[-1][0], f"{root}/{runs[-1][2]}") if runs else None
+
+
 def latest_state_path(spark: SparkSession, root: str, before: str | None = None,
                       day: str | None = None) -> str | None:
-    """Newest complete version with stamp < ``before`` (and of state day ``day`` if given;
-    see ``functions.slices.state_day``: the 00:00 slice closes the previous day)."""
-    runs = [(s, n) for s, n in _runs(spark, root)
-            if (before is None or s < before) and (day is None or state_day(s) == day)]
-    return f"{root.rstrip('/')}/{runs[-1][1]}" if runs else None
+    found = latest_state(spark, root, before, day)
+    return found and found[1]
 
 
 def read_state(spark: SparkSession, path: str, fmt: str = "orc") -> DataFrame:
@@ -57,16 +82,15 @@ def load_state(spark: SparkSession, root: str, before: str | None = None,
     return None if path is None else read_state(spark, path, fmt)
 
 
-def prune_states(spark: SparkSession, root: str, keep: int = 2) -> int:
-    """Delete all but the newest ``keep`` complete versions (and incomplete folders
-    older than them).  Returns the number of folders removed."""
-    runs = _runs(spark, root)
-    if len(runs) <= keep:
+def prune_states(spark: SparkSession, root: str, keep_days: int = 2, protect: tuple[str, ...] = ()) -> int:
+    """Delete the versions of all but the newest ``keep_days`` state days, except the paths in
+    ``protect`` (just written, or still read).  Returns the number of folders removed."""
+    root = root.rstrip("/")
+    days = sorted({state_day(s) for s, _, _ in _runs(spark, root)})[-keep_days:]
+    if not days:
         return 0
-    oldest_kept = runs[-keep][0]
-    removed = 0
-    for name in fs.list_dirs(spark, root):
-        m = _RUN.match(name)
-        if m and m.group(1) < oldest_kept:
-            removed += int(fs.delete(spark, f"{root.rstrip('/')}/{name}"))
-    return removed
+    kept = {p.rsplit("/", 1)[-1] for p in protect if p}
+    old = [r for r in _runs(spark, root, complete=False) if state_day(r[0]) < days[0] and r[2] not in kept]
+    if old:
+        fs.make_dir(spark, f"{root}/pruned={old[-1][0]}")  # first, so a crash here hides nothing
+    return sum(int(fs.delete(spark, f"{root}/{name}")) for _, _, name in old)

@@ -39,11 +39,21 @@ def save_dim(dim: DataFrame, target: str, fmt: str = "orc") -> None:
     write_table(dim, target, "overwrite", fmt)
 
 
-def append_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Report sink that can be re-run: rows are partitioned by the run's stamp and a
-    re-run replaces its own partition only (dynamic partition overwrite), instead of
-    appending duplicates as the original JDBC append did."""
-    stamp = F.date_format("timestamp", "yyyyMMddHHmm")
-    (with_audit(report).withColumn("run_stamp", stamp).write
-     .option("partitionOverwriteMode", "dynamic").mode("overwrite")
+def append_report(report: DataFrame, path: str, fmt: str = "parquet", stamp: str | None = None) -> None:
+    """Report sink that can be re-run: the rows of a run replace those of its earlier runs.
+
+    With ``stamp`` (yyyyMMddHHmm) the partition of that run is overwritten as a folder, so a
+    re-run that finds nothing leaves it empty; without, the stamps in the rows are used
+    (dynamic partition overwrite), which cannot see a run without rows.
+    """
+    if stamp is not None:
+        with_audit(report).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/run_stamp={stamp}")
+        return
+    rows = with_audit(report).withColumn("run_stamp", F.date_format("timestamp", "yyyyMMddHHmm"))
+    (rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
      .partitionBy("run_stamp").format(fmt).save(path))
+
+
+def save_quarantine(bad: DataFrame, path: str, run: str, fmt: str = "parquet") -> None:
+    """Lines that could not be used, under the name of the run (a replay replaces its own)."""
+    with_audit(bad).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/run={run}")

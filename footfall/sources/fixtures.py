@@ -18,7 +18,8 @@ from footfall.functions.parse import slice_stamp
 from footfall.operators.joins import bounded_broadcast
 
 # Fixed values of the projection (shared with the DuckDB oracle in footfall.oracle).
-DENSE_USERS = 15          # signal_dense folds users onto user_id % 15
+DENSE_USERS = 15          # signal_dense folds users onto so many people at least,
+DENSE_SHARE = 100         # and one person for every 100 customers
 FIXTURE_CITY = 200        # serving city of most records; user_id % 10 == 9 -> 201
 OTHER_CITY = 201
 DIM_MAX_STATION = 90      # cells with base_statn_id < 90 belong to a district ...
@@ -48,10 +49,15 @@ def _ntz(t: dt.datetime):
 
 
 # Lazily-defined frames are reused within a session: building the projection's column
-# expressions costs hundreds of JVM round trips, and nothing here is executed or cached.
+# expressions costs hundreds of JVM round trips, and nothing here is cached (``forget``
+# drops them, for the bench).
 _FRAMES: dict = {}
 
 
+def forget() -> None:
+    _FRAMES.clear()
+
+
 def _memo(spark: SparkSession, key, build):
     k = (id(spark), spark.sparkContext.applicationId, key)
     if k not in _FRAMES:
@@ -59,11 +65,16 @@ def _memo(spark: SparkSession, key, build):
     return _FRAMES[k]
 
 
+def _dense_people(spark: SparkSession, sf_dir: str) -> int:
+    """People of ``signal_dense``: they grow with the customers."""
+    return max(DENSE_USERS, _read(spark, sf_dir, "customer").count() // DENSE_SHARE)
+
+
 def _signal_base(spark: SparkSession, sf_dir: str, dense: bool) -> DataFrame:
     """The projection plus hidden ``_ts`` (event time, for pushed-down windows) and
     ``slice`` (file stamp) columns."""
     ev = _read(spark, sf_dir, "events")
-    uid = (F.col("user_id") % DENSE_USERS) if dense else F.col("user_id")
+    uid = F.col("user_id") % _dense_people(spark, sf_dir) if dense else F.col("user_id")
     e = ev.select(
         "event_id", "event_type", "ts", uid.alias("user_id"),
         F.get_json_object("props", "$.k").try_cast("int").alias("k"),

@@ -11,18 +11,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def glob_matches(spark: SparkSession, pattern: str) -> int:
-    """Number of paths matching a glob (0 when nothing matches)."""
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob matches anything."""
     fs, p = _fs(spark, pattern)
-    st = fs.globStatus(p)
-    return 0 if st is None else len(st)
-
-
-def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Full paths matching a glob (empty when nothing matches)."""
-    fs, p = _fs(spark, pattern)
-    st = fs.globStatus(p)
-    return [] if st is None else [s.getPath().toString() for s in st]
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -41,3 +34,8 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def make_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.mkdirs(p))

@@ -3,8 +3,9 @@
 Lines are read with ``spark.read.text`` and split on a literal pipe; the twelve signal
 columns are picked by position and typed with the int-or-zero rule.  Lines with fewer
 than 29 fields are *quarantined* (kept apart, countable) and unreadable integers become
-null, instead of failing the job.  Several slices are one multi-path read, i.e.
-one scan and no per-slice emptiness jobs.
+null, instead of failing the job.  Several slices are one scan: Spark lists the files and
+drops those of other slices by their names, without a driver loop; files that vanish or
+cannot be read are skipped, and ``slice_outcome`` reports them with the counts of bad lines.
 """
 
 from __future__ import annotations
@@ -13,24 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.constants import FIELD_DELIMITER, MIN_FIELDS, SIGNAL_FIELD_POSITIONS
-from footfall.functions.parse import int_or_zero, slice_stamp
-from footfall.functions.slices import stamps_predicate
+from footfall.functions.parse import epoch_seconds, int_or_zero, slice_stamp
+from footfall.functions.slices import prefix_predicate, stamps_predicate
 from footfall.schemas import SIGNAL, SIGNAL_COLUMNS
 from footfall.sources import fs
 
+#: Fixed value: the folder of the slice files.
 SLICE_SUBDIR = "AGG/AGG_3G_BSSAP"
 _INT_COLUMNS = [f.name for f in SIGNAL.fields if f.dataType.typeName() == "integer"]
 
 
-def slice_glob(root: str, stamp: str) -> str:
-    """S3: ``<root>/AGG/AGG_3G_BSSAP/*/*<stamp>*.txt`` (stamp is a substring of the name)."""
-    return f"{root.rstrip('/')}/{SLICE_SUBDIR}/*/*{stamp}*.txt"
-
-
-def slice_globs(root: str, stamps) -> list[str]:
-    return [slice_glob(root, s) for s in stamps]
-
-
 def _fields(value: Column) -> Column:
     return F.split(value, "\\" + FIELD_DELIMITER)
 
@@ -59,12 +52,20 @@ def clean(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("_n_fields") >= MIN_FIELDS).drop("_n_fields")
 
 
-def quarantine(parsed: DataFrame) -> DataFrame:
-    """Lines the original job would fail on: too few fields or unreadable integers."""
-    bad = F.col("_n_fields") < MIN_FIELDS
+def bad_reason() -> Column:
+    """Why a parsed line cannot be used in full, null if it can: ``short`` (too few fields),
+    ``integer`` or ``time`` (unreadable text)."""
+    no_int = F.lit(False)
     for name in _INT_COLUMNS:
-        bad = bad | F.col(name).isNull()
-    return parsed.where(bad).drop("_n_fields")
+        no_int = no_int | F.col(name).isNull()
+    no_time = epoch_seconds("start_time").isNull() | epoch_seconds("end_time").isNull()
+    return (F.when(F.col("_n_fields") < MIN_FIELDS, F.lit("short")).when(no_int, F.lit("integer"))
+            .when(no_time, F.lit("time")))
+
+
+def quarantine(parsed: DataFrame) -> DataFrame:
+    """Lines that cannot be used in full, with the ``reason``."""
+    return parsed.withColumn("reason", bad_reason()).where(F.col("reason").isNotNull()).drop("_n_fields")
 
 
 def empty_signal(spark: SparkSession, extra=()) -> DataFrame:
@@ -74,36 +75,75 @@ def empty_signal(spark: SparkSession, extra=()) -> DataFrame:
     return df
 
 
-def slice_files(spark: SparkSession, root: str, stamps) -> tuple[list[str], list[str]]:
-    """S3: the files of the given stamps and the stamps that have none.
+def _listed(spark: SparkSession, root: str, stamps, fmt: str) -> DataFrame | None:
+    """The slice files of the stamps' days, read as ``fmt``; None without any slice folder."""
+    base = f"{root.rstrip('/')}/{SLICE_SUBDIR}"
+    days = sorted({s[:8] for s in stamps})
+    if not days or not fs.exists(spark, base):
+        return None
+    return (spark.read.format(fmt).option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*{" + ",".join(days) + "}*.txt")
+            .option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true").load(base))
 
-    A file belongs to a stamp when its name contains it (``*/*<stamp>*.txt``).  Every stamp
-    starts with its yyyyMMdd day, so one listing per day (``*/*<day>*.txt``) is a superset
-    and the stamps are matched on the names: O(days) listings per run instead of one per
-    5-minute stamp.
-    """
-    stamps = list(stamps)
-    names: dict[str, str] = {}
-    for day in sorted({s[:8] for s in stamps}):
-        for path in fs.glob_paths(spark, slice_glob(root, day)):
-            names[path] = path.rsplit("/", 1)[-1]
-    files = sorted(p for p, n in names.items() if any(s in n for s in stamps))
-    missing = [s for s in stamps if not any(s in n for n in names.values())]
-    return files, missing
+
+def slice_files(spark: SparkSession, root: str, stamps) -> DataFrame:
+    """S3: ``file_name``, ``length`` and ``stamp`` of the files whose name contains a stamp, one
+    row per match.  Only names are listed; no file is opened.  Files without any content are
+    not listed by Spark: a stamp that has no other file counts as missing."""
+    found = _listed(spark, root, stamps, "binaryFile")
+    if found is None:
+        return spark.createDataFrame([], "file_name string, length long, stamp string")
+    name = F.element_at(F.split("path", "/"), -1)
+    hits = F.filter(F.array(*map(F.lit, stamps)), lambda s: F.contains(F.col("file_name"), s))
+    return found.select(name.alias("file_name"), "length").select(
+        "file_name", "length", F.explode(hits).alias("stamp"))
+
+
+def missing_stamps(spark: SparkSession, root: str, stamps) -> list[str]:
+    """The stamps without a file (a run has a few hundred stamps at most)."""
+    wanted = spark.createDataFrame([(s,) for s in stamps], "stamp string")
+    return sorted(r.stamp for r in wanted.join(slice_files(spark, root, stamps), "stamp", "left_anti").collect())
 
 
 def read_slice_lines(spark: SparkSession, root: str, stamps, missing: str = "empty") -> DataFrame | None:
     """One text read over the files of all stamps that exist.
 
     ``missing='empty'`` skips stamps with no file (the run goes on); ``'fail'`` raises.
-    Returns None when no slice exists.  Each line carries its file name.
+    Returns None when there is no slice folder.  Each line carries its file name.  The
+    predicate on the name is applied to the listing, so other files are never opened.
     """
-    files, absent = slice_files(spark, root, stamps)
-    if missing == "fail" and absent:
+    stamps = list(stamps)
+    if missing == "fail" and stamps and (absent := missing_stamps(spark, root, stamps)):
         raise FileNotFoundError(absent)
-    if not files:
+    lines = _listed(spark, root, stamps, "text")
+    if lines is None:
         return None
-    return spark.read.text(files).select("value", F.col("_metadata.file_name").alias("file_name"))
+    named = F.col("_metadata.file_name").rlike("|".join(stamps))
+    return lines.where(named).select("value", F.col("_metadata.file_name").alias("file_name"))
+
+
+_REPORTED = 100
+
+
+def slice_outcome(spark: SparkSession, root: str, stamps, layout: str = "files") -> dict:
+    """What a run over ``stamps`` did not use: ``bad`` (lines by reason), and in the file layout
+    ``missing`` (stamps without a file), ``unread`` (number of files that have content but gave
+    no line: vanished or unreadable) and the first ``unread_files``."""
+    stamps = list(stamps)
+    if layout == "partitioned":
+        return {"bad": _by_reason(read_partitioned_quarantine(spark, root, stamps))}
+    lines = read_slice_lines(spark, root, stamps)
+    if lines is None:
+        return {"missing": sorted(stamps), "unread": 0, "unread_files": [], "bad": {}}
+    files = slice_files(spark, root, stamps).select("file_name", "length").distinct()
+    unread = files.where("length > 0").join(lines.select("file_name").distinct(), "file_name", "left_anti")
+    names = [r.file_name for r in unread.orderBy("file_name").limit(_REPORTED).collect()]
+    return {"missing": missing_stamps(spark, root, stamps), "unread": unread.count() if names else 0,
+            "unread_files": names, "bad": _by_reason(quarantine(parse_signal_lines(lines)))}
+
+
+def _by_reason(bad: DataFrame) -> dict[str, int]:
+    return {r.reason: r["count"] for r in bad.groupBy("reason").count().collect()}
 
 
 def read_signal(spark: SparkSession, root: str, stamps, missing: str = "empty",
@@ -131,8 +171,8 @@ def read_signal(spark: SparkSession, root: str, stamps, missing: str = "empty",
 def read_signal_quarantine(spark: SparkSession, root: str, stamps) -> DataFrame:
     lines = read_slice_lines(spark, root, stamps)
     if lines is None:
-        return empty_signal(spark, ("file_name",))
-    return quarantine(parse_signal_lines(lines, keep=("file_name",)))
+        return empty_signal(spark, ("value", "file_name", "reason"))
+    return quarantine(parse_signal_lines(lines, keep=("value", "file_name")))
 
 
 def format_signal_lines(signal: DataFrame, width: int = MIN_FIELDS + 1, keep=()) -> DataFrame:
@@ -147,27 +187,64 @@ def format_signal_lines(signal: DataFrame, width: int = MIN_FIELDS + 1, keep=())
 
 # --- partitioned layout -------------------------------------------------------------
 # A Spark-native alternative to one-file-per-slice names: lines under
-# <root>/AGG/AGG_3G_BSSAP/latn=<city>/day=<yyyyMMdd>/ (each 5-minute drop adds files to
-# its day).  A run's slice list becomes a partition filter on the day (only those
-# folders are listed and opened) plus an exact row filter on the slice stamp.
+# <root>/AGG/AGG_3G_BSSAP/latn=<city>/day=<yyyyMMdd>/slice=<yyyyMMddHHmm>/.  A run lists the
+# folders of its days and opens those of its slices.  As with file names, the folder's stamp
+# selects, not the record's own time, so late records select alike in both layouts.
 
-PARTITIONED_SCHEMA = "value string, latn string, day string"
+PARTITIONED_SCHEMA = "value string, latn string, day string, slice string"
+_NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_slices(signal: DataFrame, root: str, mode: str = "append") -> None:
-    """Write signal rows as pipe text partitioned by serving city and day."""
+    """Write signal rows as pipe text partitioned by serving city, day and slice.
+
+    The slice is the column ``slice`` if there is one (the stamp of the file a record came
+    in), else that of the record's start time.  Rows meet by partition first, so a slice is a
+    few files; a large one (a hot city) is split by its measured size.
+    """
+    stamp = F.col("slice") if "slice" in signal.columns else slice_stamp("start_time")
     out = format_signal_lines(signal, keep=(F.col("latn_id").cast("string").alias("latn"),
-                                            F.substring("start_time", 1, 8).alias("day")))
-    out.write.mode(mode).partitionBy("latn", "day").text(f"{root.rstrip('/')}/{SLICE_SUBDIR}")
+                                            F.substring(stamp, 1, 8).alias("day"), stamp.alias("slice")))
+    (out.hint("rebalance", "latn", "day", "slice").write.mode(mode).partitionBy("latn", "day", "slice")
+     .text(f"{root.rstrip('/')}/{SLICE_SUBDIR}"))
+
+
+def _read_days(spark: SparkSession, root: str, days) -> DataFrame | None:
+    base = f"{root.rstrip('/')}/{SLICE_SUBDIR}"
+    paths = [p for p in (f"{base}/latn=*/day={d}" for d in days) if fs.any_match(spark, p)]
+    if not paths:
+        return None
+    return (spark.read.schema(PARTITIONED_SCHEMA).option("basePath", base)
+            .option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true").text(paths))
+
+
+def read_partitioned_lines(spark: SparkSession, root: str, stamps) -> DataFrame | None:
+    """Lines of the stamps (slices, or hour and day prefixes as in T3); None if no day exists."""
+    lines = _read_days(spark, root, sorted({s[:8] for s in stamps}))
+    if lines is None:
+        return None
+    whole = all(len(s) == 12 for s in stamps)
+    return lines.where(stamps_predicate("slice", stamps) if whole else prefix_predicate("slice", stamps))
 
 
 def read_signal_partitioned(spark: SparkSession, root: str, stamps) -> DataFrame:
-    """Signal rows of the given slice stamps from the partitioned layout, with ``slice``.
+    """Signal rows of the given stamps from the partitioned layout, with ``slice``.
     Missing days or slices simply contribute no rows."""
-    path = f"{root.rstrip('/')}/{SLICE_SUBDIR}"
-    if not stamps or not fs.exists(spark, path):
+    lines = read_partitioned_lines(spark, root, list(stamps))
+    if lines is None:
         return empty_signal(spark, ("slice",))
-    days = sorted({s[:8] for s in stamps})
-    lines = spark.read.schema(PARTITIONED_SCHEMA).text(path).where(F.col("day").isin(days))
-    rows = clean(parse_signal_lines(lines)).withColumn("slice", slice_stamp("start_time"))
-    return rows.where(stamps_predicate("slice", stamps))
+    return clean(parse_signal_lines(lines, keep=("slice",)))
+
+
+def read_partitioned_quarantine(spark: SparkSession, root: str, stamps) -> DataFrame:
+    """Bad lines of the given stamps, and every line in a folder without a stamp."""
+    cols = ("value", "slice")
+    out = empty_signal(spark, (*cols, "reason"))
+    lines = read_partitioned_lines(spark, root, list(stamps))
+    if lines is not None:
+        out = quarantine(parse_signal_lines(lines, keep=cols))
+    lost = _read_days(spark, root, [_NO_PARTITION])
+    if lost is not None:
+        parsed = parse_signal_lines(lost, keep=cols).drop("_n_fields").withColumn("reason", F.lit("stamp"))
+        out = out.unionByName(parsed.where(F.col("slice").isNull()))
+    return out

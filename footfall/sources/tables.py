@@ -24,11 +24,6 @@ def read_residence(spark: SparkSession, table: str = "residence", fmt: str = "or
     return _table(spark, table, fmt).select("district_id", "imsi")
 
 
-def residence_keys(residence: DataFrame) -> DataFrame:
-    """S6 over an in-memory residence frame."""
-    return residence.select("district_id", "imsi")
-
-
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """An empty frame with a schema."""
     return spark.createDataFrame([], schema)

@@ -17,7 +17,7 @@ def test_seed_residence_and_visitor_commands(spark, tmp_root):
         "start_time >= '20240107230000' and start_time < '20240110130000'")
     write_slice_files(signal_rows(sig), tmp_root)
     cells = os.path.join(tmp_root, "cells")
-    fixtures.dim_district_full(spark, SF_MID).write.parquet(cells)
+    fixtures.dim_district_full(spark, SF_MID).write.orc(cells)
     dim_path = os.path.join(tmp_root, "dim")
     jobs.main(["seed-dim", "--cells", cells, "--out", dim_path])
     res_path = os.path.join(tmp_root, "residence")
@@ -37,3 +37,21 @@ def test_seed_residence_and_visitor_commands(spark, tmp_root):
     got = spark.read.parquet(out_dur).select("timestamp", "city_id", "district_id", "section_id",
                                               "visitor_number")
     assert sorted(map(tuple, got.collect())) == want and want
+
+
+def test_commands_set_the_tested_options_unless_given(spark):
+    from footfall.session import RECOMMENDED_CONF
+    new = spark.newSession()
+    new.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    jobs.apply_recommended(new)
+    given = spark.sparkContext.getConf()
+    for key, value in RECOMMENDED_CONF.items():
+        if key.startswith("spark.sql.") and not given.contains(key):
+            assert new.conf.get(key) == value
+
+
+def test_jdbc_options_come_from_the_environment(monkeypatch):
+    assert jobs._jdbc() is None
+    monkeypatch.setenv("FOOTFALL_JDBC_URL", "jdbc:x")
+    monkeypatch.setenv("FOOTFALL_JDBC_PROPS", '{"user": "u"}')
+    assert jobs._jdbc() == ("jdbc:x", {"user": "u"})

@@ -184,3 +184,12 @@ def test_labelling_properties(spark, data, days):
     at_least = set(map(tuple, residence.residence_table(df, dim, days, match="at_least",
                                                         dim_broadcast=False).collect()))
     assert set(one) <= at_least
+
+
+def test_empty_home_has_no_say(spark):
+    from footfall.operators.visits import merge_summaries
+    df = spark.createDataFrame([("a", 1, None, None, 1, 2), ("a", 1, "", 0, 1, 2), ("a", 1, "P", 7, 1, 2), ("b", 1, None, None, 1, 2)],
+                               "imsi string, district_id int, home_province string, home_city int, "
+                               "min_end_time bigint, max_end_time bigint")
+    got = {r.imsi: (r.home_province, r.home_city) for r in merge_summaries(df).collect()}
+    assert got == {"a": ("P", 7), "b": (None, None)}

@@ -1,17 +1,20 @@
 """Day state, the 15-minute job, the availableNow stream and the sinks."""
 
+import itertools
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from footfall.plans.job import run_visitor_job
 from footfall.plans.reports import dwell_report, home_report, visits
-from footfall.sinks.state import latest_state_path, load_state, prune_states, save_state
-from footfall.sinks.tables import append_report, save_residence
+from footfall.sinks.state import StatePruned, latest_state, latest_state_path, load_state, prune_states, read_state, save_state
+from footfall.sinks.tables import append_report, save_quarantine, save_residence, save_residence_two_pass
 from footfall.sources import fixtures
 from footfall.sources.signal_text import read_signal
+from footfall.sources.tables import read_residence
 from footfall.functions.slices import until_now_slices
-from footfall.streaming.slices_stream import start_visitor_stream
+from footfall.streaming.slices_stream import merge_batch, stamp_in_name, start_visitor_stream
 from tests.conftest import SF_MID
 from tests.slice_files import signal_rows, write_slice_files
 
@@ -31,14 +34,94 @@ def test_state_versions(spark, tmp_root):
     root = os.path.join(tmp_root, "state")
     p1 = save_state(df, root, "202401100015")
     p2 = save_state(df, root, "202401100030")
-    os.makedirs(os.path.join(root, "run=202401100045-deadbeef"))  # crashed run: no _SUCCESS
+    os.makedirs(os.path.join(root, "run=202401100045-0000000003-deadbeef"))  # crashed run: no _SUCCESS
     assert latest_state_path(spark, root) == p2
     assert latest_state_path(spark, root, before="202401100030") == p1
     assert latest_state_path(spark, root, day="20240111") is None
     assert load_state(spark, os.path.join(tmp_root, "absent")) is None
-    save_state(df, root, "202401100100")
-    assert prune_states(spark, root, keep=2) == 1
-    assert latest_state_path(spark, root, before="202401100030") is None
+    # of two versions with one stamp, the later commit is the newer, whatever the ids
+    for _ in range(4):
+        last = save_state(df, root, "202401100030")
+        assert latest_state(spark, root) == ("202401100030", last)
+
+
+def test_pruning_keeps_days_and_marks_what_is_gone(spark, tmp_root):
+    df = spark.createDataFrame([("a", 1)], "imsi string, district_id int")
+    root = os.path.join(tmp_root, "state")
+    old = [save_state(df, root, f"202401{d:02d}1200") for d in (9, 10, 11)]
+    assert prune_states(spark, root, keep_days=2) == 1
+    assert latest_state_path(spark, root, before="202401101300") == old[1]
+    with pytest.raises(StatePruned):
+        latest_state_path(spark, root, before="202401101200")
+    with pytest.raises(StatePruned):
+        latest_state_path(spark, root, day="20240109")
+    assert latest_state_path(spark, root, before="202401091200") is None  # nothing before was pruned
+    late = save_state(df, root, "202401091215")
+    assert prune_states(spark, root, keep_days=2, protect=(late,)) == 0
+    assert read_state(spark, late).count() == 1
+    assert prune_states(spark, os.path.join(tmp_root, "none")) == 0
+
+
+def test_older_run_again_and_readable_reports(spark, tmp_root):
+    dim = _day_files(spark, tmp_root)
+    state_root = os.path.join(tmp_root, "state")
+    first = {}
+    for as_of, n in (("202401100900", 0), ("202401101200", 36), ("202401101500", 36), ("202401101800", 36)):
+        out = run_visitor_job(spark, tmp_root, as_of, dim, None, state_root, n=n)
+        first[as_of] = _rows(out.dwell)
+    again = run_visitor_job(spark, tmp_root, "202401101500", dim, None, state_root, n=36)
+    assert _rows(again.dwell) == first["202401101500"] and first["202401101500"]
+
+
+def _lines(spark, stamp_rows):
+    """Lines of (imsi, station, end minute) under a file stamp."""
+    return spark.createDataFrame([("|".join(["m", "1", imsi, f"202401101{m}", f"202401101{m}", "P", "7", "200", "", str(st),
+                                             "1", "", "", "133"] + [""] * 14 + ["2024011012", ""]), stamp)
+                                  for stamp, imsi, st, m in stamp_rows], "value string, slice string")
+
+
+def _cells(spark):
+    return spark.createDataFrame([(200, 5, 1, 1001, "D")], "city_id int, base_statn_id int, sector_id int, "
+                                                           "district_id int, district_name string")
+
+
+def test_batches_in_any_order_lose_nothing(spark, tmp_root):
+    parts = [[("202401101205", "a", 5, "20500")], [("202401101205", "b", 5, "20501")],
+             [("202401101150", "c", 5, "15000")], [("202401101210", "d", 5, "21000")]]
+    want = None
+    for k, order in enumerate(itertools.islice(itertools.permutations(range(4)), 0, 24, 5)):
+        root, got = os.path.join(tmp_root, f"s{k}"), []
+        for epoch, i in enumerate(order):
+            merge_batch(_lines(spark, parts[i]), _cells(spark), None, root,
+                        sink=lambda d, h, s: got.append((s, _rows(d))), epoch=epoch)
+        # a replay of the last epoch changes nothing
+        merge_batch(_lines(spark, parts[order[-1]]), _cells(spark), None, root, epoch=3)
+        stamp, path = latest_state(spark, root)
+        people = sorted(r.imsi for r in read_state(spark, path).collect())
+        assert stamp == "202401101210" and people == ["a", "b", "c", "d"]
+        assert [s for s, _ in got] == sorted(s for s, _ in got)  # never back
+        want = want or got[-1]
+        assert got[-1] == want
+
+
+def test_poison_lines_do_not_stop_a_batch(spark, tmp_root):
+    good = _lines(spark, [("202401101205", "a", 5, "20500")])
+    bad = spark.createDataFrame([("short|line", "202401101205"), ("short", None),
+                                 (good.first().value.replace("20240110120500", "20249910120500"), ""),
+                                 (good.first().value.replace("|5|1|", "|x|1|"), "202401101205")],
+                                "value string, slice string")
+    seen = []
+    merge_batch(good.unionByName(bad), _cells(spark), None, os.path.join(tmp_root, "s"), epoch=0,
+                bad_sink=lambda df, epoch: seen.extend(r.reason for r in df.collect()))
+    assert sorted(seen) == ["integer", "short", "short", "time"]
+    assert read_state(spark, latest_state_path(spark, os.path.join(tmp_root, "s"))).count() == 1
+
+
+def test_stamp_in_name(spark):
+    names = [("sig_202401101205.txt", "202401101205"), ("x1234202401101205_2.txt", "202401101205"),
+             ("sig_20240110120500.txt", "202401101205"), ("part-0001.txt", None), ("n_209999999999.txt", None)]
+    df = spark.createDataFrame(names, "name string, want string")
+    assert all(r.got == r.want for r in df.withColumn("got", stamp_in_name(F.col("name"))).collect())
 
 
 def test_incremental_runs_equal_rebuild(spark, tmp_root):
@@ -108,6 +191,23 @@ def test_table_sinks(spark, tmp_root):
     append_report(rep, out)
     append_report(rep, out)  # a re-run replaces its own stamp
     assert spark.read.parquet(out).count() == 1
+    append_report(rep.limit(0), out, stamp="202401101205")  # nor does an empty re-run leave the old rows
+    assert spark.read.parquet(out).count() == 0
+
+
+def test_catalog_tables_and_two_pass_residence(spark):
+    res = spark.createDataFrame([("a", 1001, 1), ("b", 1002, 2)], "imsi string, district_id int, user_attr int")
+    spark.sql("DROP TABLE IF EXISTS footfall_residence_test")
+    save_residence_two_pass(res.where("user_attr = 1"), res.where("user_attr = 2"), "footfall_residence_test")
+    assert _rows(read_residence(spark, "footfall_residence_test")) == [(1001, "a"), (1002, "b")]
+    spark.sql("DROP TABLE footfall_residence_test")
+
+
+def test_quarantine_sink_replaces_its_own_run(spark, tmp_root):
+    bad = spark.createDataFrame([("x", "short")], "value string, reason string")
+    for _ in range(2):
+        save_quarantine(bad, os.path.join(tmp_root, "bad"), "7")
+    assert spark.read.parquet(os.path.join(tmp_root, "bad")).count() == 1
 
 
 def test_stream_batch_across_midnight(spark, tmp_root):
