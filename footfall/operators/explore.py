@@ -1,4 +1,7 @@
-"""The exploratory queries that exist only as drafts in the original jobs."""
+"""The exploratory queries that exist only as drafts in the original jobs.
+
+Fixed values: their keys and result names.
+"""
 
 from __future__ import annotations
 

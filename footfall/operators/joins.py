@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 from footfall.schemas import DIM_COLUMNS, ENRICHED_COLUMNS, SIGNAL_COLUMNS
 
 # A cell dimension of a whole network is a few hundred thousand rows of ~5 small
-# columns; above this row count the join falls back to a shuffle join.
+# columns; above either bound the join falls back to a shuffle join (same rows, other plan).
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 * 2**20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only if it provably has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows and ``max_bytes`` bytes
+    (as JSON, which is no smaller than the rows in memory for short columns).
 
-    The check is a limited count (stops after ``max_rows + 1`` rows).  Beyond the
-    bound the frame is returned unmarked and the planner uses a shuffle join (AQE may
-    still convert it at run time from measured sizes).
+    The check is one distributed aggregate.  Beyond a bound the frame is returned unmarked
+    and the planner uses a shuffle join (AQE may still convert it at run time from measured
+    sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    n, used = df.select(F.count("*"), size).first()
+    return (F.broadcast(df), True) if n <= max_rows and used <= max_bytes else (df, False)
 
 
 def district_join(signal: DataFrame, dim: DataFrame, broadcast: bool | None = None,

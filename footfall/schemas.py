@@ -1,4 +1,7 @@
-"""Table schemas of the visitor-flow data model."""
+"""Table schemas of the visitor-flow data model.
+
+Fixed values: field names, types and order are the data contract.
+"""
 
 from pyspark.sql.types import (
     DoubleType,

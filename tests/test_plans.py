@@ -124,3 +124,26 @@ def test_row_level_removal_broadcasts_a_checked_residence(spark):
         assert "BroadcastHashJoin" in _plan(checked)
         assert [r.imsi for r in checked.collect()] == ["b"]
         assert "BroadcastHashJoin" not in _plan(drop_residents(rows, res, broadcast=None, max_rows=0))
+
+
+def test_report_plans_scan_the_events_of_their_window_only(spark):
+    for name in ("visitor_flow_dur", "visitor_flow_home", "rolling_rebuild"):
+        scans = [ln for ln in _plan(registry.queries()[name](spark, SF_SMALL)).splitlines() if "events.parquet" in ln]
+        assert scans and all("GreaterThanOrEqual(ts" in ln for ln in scans), name
+        assert len(scans) == 1, name
+
+
+def test_the_last_band_occurs_over_the_whole_signal(spark):
+    from tests.conftest import SF_MID
+    sections = {r.section_id for r in registry.queries()["dwell_section"](spark, SF_MID).select("section_id").distinct().collect()}
+    assert 6 in sections
+
+
+def test_bounded_broadcast_counts_bytes_too(spark):
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) AS s")
+    assert bounded_broadcast(wide, max_bytes=20_000)[1] and not bounded_broadcast(wide, max_bytes=5_000)[1]
+
+
+def test_dense_people_grow_with_the_customers(spark, tmp_root):
+    spark.range(9000).selectExpr("id AS c_custkey").write.parquet(f"{tmp_root}/customer.parquet")
+    assert fixtures._dense_people(spark, tmp_root) == 90 and fixtures._dense_people(spark, SF_SMALL) == 15
