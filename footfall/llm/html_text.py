@@ -4,13 +4,13 @@ A page becomes a tree; elements that are never article text (scripts, menus, for
 comments, ...) are cut off by tag, role and class words.  Each paragraph of text gives points
 for its length and commas to its ancestors, fewer the further up; points are discounted by
 the share of link text.  The best container is kept, with siblings that look like parts of
-the same article; if the best container lies in an article or main element, that whole
-element is kept.  The page's blocks come out in page order.
+the same article; an article or main element with a fair part of all points is kept whole
+instead.  The page's blocks come out in page order.
 
 One page is handled at a time in memory proportional to it, without recursion; no shuffle.
 
 Defined cases: a null or empty page has the empty text; markup that is not closed is closed
-by the end of the page; a page without any text outside the cut elements has the empty text;
+by the end of the page, a tag whose quotes are not closed by its first ``>``; a page without any text outside the cut elements has the empty text;
 repeated rows are treated alike; other columns pass through (``text`` and ``n_chars`` are
 overwritten).
 """
@@ -55,11 +55,11 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "attributes", "score", "length", "links")
+    __slots__ = ("tag", "parent", "items", "attributes", "score", "total", "length", "links")
 
     def __init__(self, tag, parent, attributes=""):
         self.tag, self.parent, self.attributes = tag, parent, attributes
-        self.items, self.score, self.length, self.links = [], 0.0, 0, 0
+        self.items, self.score, self.total, self.length, self.links = [], 0.0, 0.0, 0, 0
 
 
 def _unwanted(node: Node) -> bool:
@@ -224,15 +224,33 @@ def _score(root: Node) -> list[Node]:
             continue
         words = " ".join(_blocks([node]))
         points = (1 + words.count(",") + min(3.0, len(words) / 100)) * (1 - node.links / max(1, node.length))
+        node.total = points
         up, share = node.parent, 1.0
         for level in range(1, 6):
             if up is None:
                 break
             up.score += points * share
             up, share = up.parent, 1 / (2 * level)
+    for node in reversed(order):
+        if node.parent:
+            node.parent.total += node.total
     return order
 
 
+def _home(order: list[Node]) -> Node | None:
+    """The article or main element with a fair part of the page's points, the innermost that
+    has most of them."""
+    homes = [x for x in order if x.tag in HOMES and x.total >= 0.3 * order[0].total and x.total > 0]
+    best = max(homes, key=lambda x: x.total, default=None)
+    for x in homes:  # in page order, so inner ones follow outer ones
+        up = x.parent
+        while up and up is not best:
+            up = up.parent
+        if up and x.total >= 0.6 * best.total:
+            best = x
+    return best
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -243,10 +261,7 @@ def main_text(page: str | None) -> str:
     if best.score <= 0:
         homes = [x for x in order if x.tag in HOMES and x.length]
         return "\n".join(_blocks([max(homes, key=lambda x: x.length)] if homes else [root]))
-    home = best
-    while home.parent and home.tag not in HOMES:
-        home = home.parent
-    if home.parent:
+    if (home := _home(order)) is not None:
         return "\n".join(_blocks([home]))
     if best.parent is None:
         return "\n".join(_blocks([best]))

@@ -11,7 +11,7 @@ meet the short list of lines to remove.
 
 Defined cases: null and empty texts have no lines and come back as they are (null: null);
 blank lines are neither counted nor removed; a null site is one site of its own; a null key
-sorts before all others; repeated rows (same key and text) are cleaned alike.  All other
+sorts after all others; repeated rows (same key and text) are cleaned alike.  All other
 columns pass through; working columns are nested, so input names cannot clash, except that
 ``n_lines`` and ``n_removed`` are overwritten.
 """
