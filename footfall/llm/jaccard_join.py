@@ -13,7 +13,8 @@ token bitmaps, size ranges and the largest number of shingles that share a bit;
 traversal prunes pairs of nodes by the largest overlap they could have, and pairs of nodes
 already known to be connected.  What is left is verified exactly.
 
-Scale: offers are a fixed share of the shingles and shuffle as two longs each, combined
+Joins with offers, texts and results always shuffle both sides (an input small enough for a
+broadcast is no reason for another plan).  Scale: offers are a fixed share of the shingles and shuffle as two longs each, combined
 before the shuffle; texts of candidates travel once.  A candidate component of more than
 ``BLOCK`` shingles is dealt into blocks and every pair of blocks is a task of its own, so
 memory is bounded; links are never expanded into pairs, only enough of them to connect.
@@ -28,13 +29,12 @@ empty table gives an empty result.  Other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import map_batches, map_groups, table, written
+from footfall.llm.common import map_batches, table, written
 from footfall.llm.components import components
 from footfall.llm.shingles import mix, set_hash, shingle_set
 
@@ -129,7 +129,7 @@ class SignatureTree:
             flags[at] = True
             maps[i] = np.packbits(flags)
         maps = maps.view(np.uint64)
-        self.order = np.lexsort((maps[:, 1], maps[:, 0], sizes)).tolist()
+        self.order = np.lexsort((maps[:, -1], maps[:, 0], sizes)).tolist()
         self.maps, self.sizes = maps[self.order], sizes[self.order]
         self.shared = self.sizes - np.bitwise_count(self.maps).sum(1, dtype=np.int64)
         # node: (first, last, OR bitmap, smallest, largest, most shared, left, right)
@@ -234,7 +234,7 @@ def _candidates(classes: DataFrame, sketched: DataFrame) -> DataFrame:
     offered = sketched.where(F.col("h").isNotNull()).select("h", F.explode("offers").alias("offer"))
     shared = offered.groupBy("offer").agg(F.min("h").alias("low"), F.max("h").alias("high")).where(
         F.col("low") != F.col("high")).select("offer", "low")
-    edges = offered.join(shared, "offer").where(F.col("h") != F.col("low")).select(
+    edges = offered.join(shared.hint("merge"), "offer").where(F.col("h") != F.col("low")).select(
         F.col("h").alias("a"), F.col("low").alias("b")).distinct()
     return components(edges).select(F.col("id").alias("h"), F.col("component").alias("cluster"))
 
@@ -252,21 +252,65 @@ def block_pairs(members: DataFrame) -> DataFrame:
     return members.select("*", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
 
-def tree_links(tasks: DataFrame, sets, percent: int) -> DataFrame:
+def _few_links(members: list[tuple], percent: int, two_blocks: bool) -> list[tuple]:
+    """``_links`` of a handful of members, which would share one leaf: every pair that is not
+    connected yet."""
+    sets, root, out = [set(s.tolist()) for _, _, s in members], list(range(len(members))), []
+    for j in range(1, len(members)):
+        for i in range(j):
+            small, large = sorted((len(sets[i]), len(sets[j])))
+            if root[i] == root[j] or 100 * small < percent * large or two_blocks and members[i][1] == members[j][1]:
+                continue
+            both = len(sets[i] & sets[j])
+            if 100 * both >= percent * (small + large - both):
+                out.append((members[i][0], members[j][0]))
+                gone, to = max(root[i], root[j]), min(root[i], root[j])
+                root = [to if r == gone else r for r in root]
+    return out
+
+
+def _links(members: list[tuple], percent: int, two_blocks: bool) -> list[tuple]:
+    """Links (a, b) that connect the members (id, block, set) of one task."""
+    if len(members) < 2:
+        return []
+    if len(members) <= LEAF // 4:
+        return _few_links(members, percent, two_blocks)
+    ids, sides, arrays = zip(*members)
+    tree = SignatureTree(list(arrays), percent)
+    found = tree.join(sides if two_blocks else None)
+    return [(ids[tree.find(a)], ids[b]) for a, b in found for b in (a, b) if tree.find(a) != b]
+
+
+def tree_links(tasks: DataFrame, member, percent: int) -> DataFrame:
     """Links ``a``, ``b`` that connect the sets of each cluster, one signature tree per pair of
-    blocks; ``sets`` yields (id, block, set) of the rows of a task."""
+    blocks; ``member`` makes (id, block, set) of a row, or None.
 
-    def links(rows: pd.DataFrame) -> pd.DataFrame:
-        members = list(sets(rows))
-        if len(members) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        ids, sides, arrays = zip(*members)
-        tree = SignatureTree(list(arrays), percent)
-        found = tree.join(sides if rows["i"].iat[0] != rows["j"].iat[0] else None)
-        return pd.DataFrame([(ids[tree.find(a)], ids[b]) for a, b in found for b in (a, b) if tree.find(a) != b],
-                            columns=["a", "b"], dtype="int64")
+    Rows are dealt by cluster and blocks and sorted, so a task meets one tree's members after
+    the other and holds one tree at a time, however many clusters there are.
+    """
+    keys = ["cluster", "i", "j"]
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def run(batches):
+        at, members = None, []
+
+        def batch(found):
+            cols = [*zip(*found)] or [(), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+
+        for b in batches:
+            found = []
+            for row in b.to_pylist():
+                key = row["cluster"], row["i"], row["j"]
+                if key != at:
+                    found += _links(members, percent, at is not None and at[1] != at[2])
+                    at, members = key, []
+                if (m := member(row)) is not None:
+                    members.append(m)
+            yield batch(found)
+        yield batch(_links(members, percent, at is not None and at[1] != at[2]))
 
-    return map_groups(tasks, ["cluster", "i", "j"], links, "a long, b long")
+    return map_batches(tasks.repartition(*keys).sortWithinPartitions(*keys), run, schema)
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
@@ -278,23 +322,21 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = written(known.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "classes")
     clustered = _candidates(classes, known).join(classes, "h")
     clustered = written(clustered, "clustered")
-    texts = blocked(clustered, block).join(docs.withColumnRenamed("doc_id", "rep"), "rep")
+    texts = blocked(clustered, block).join(docs.withColumnRenamed("doc_id", "rep").hint("merge"), "rep")
     tasks = block_pairs(texts)
 
-    def sets(rows: pd.DataFrame):
-        for h, rep, side, t in zip(rows["h"], rows["rep"], rows["own"], rows["text"]):
-            s = shingle_set(t, size)
-            if len(s) and set_hash(s) == h:
-                yield rep, side, s
+    def member(row: dict):
+        s = shingle_set(row["text"], size)
+        return (row["rep"], row["own"], s) if len(s) and set_hash(s) == row["h"] else None
 
-    edges = tree_links(tasks, sets, percent)
+    edges = tree_links(tasks, member, percent)
     # rows of one id are one document, whatever their texts
     twice = known.groupBy("doc_id").agg(F.min("h").alias("x"), F.max("h").alias("y")).where("x != y").select("doc_id")
     same = known.join(twice, "doc_id", "left_semi").join(classes, "h").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = components(written(edges.unionByName(same), "links"))
-    out = sketched.join(classes.select("h", "rep"), "h", "left").join(
-        found.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    out = sketched.drop("offers").join(classes.select("h", "rep").hint("merge"), "h", "left").join(
+        found.select(F.col("id").alias("rep"), "component").hint("merge"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
         "component", "rep", "doc_id")).alias("component_id"))
 

@@ -27,7 +27,6 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -111,14 +110,17 @@ def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REA
 
 
 def _verified(docs: DataFrame, members: DataFrame, percent: int, words: int, block: int) -> DataFrame:
-    """``h`` and ``component`` of the classes of paragraphs that are similar to another class."""
-    edges = members.where(F.col("h") != F.col("low")).select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
-    clusters = components(edges).select(F.col("id").alias("h"), F.col("component").alias("cluster"))
-    first = members.groupBy("h").agg(F.min(F.struct("doc_id", "start")).alias("at"))
-    wanted = clusters.join(first, "h").groupBy(F.col("at.doc_id").alias("doc_id")).agg(
-        F.collect_list(F.struct("h", "cluster", F.col("at.start").alias("start"))).alias("wanted"))
-    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("cluster", T.LongType()),
-                           T.StructField("members", T.BinaryType()), T.StructField("n", T.LongType())])
+    """``h`` and ``component`` of the classes of paragraphs that are similar to another class.
+
+    Every band's classes are verified among themselves, by a tree per band (split into blocks
+    if it is large); bands of one class only have nothing to verify.
+    """
+    mixed = members.where("mixed")
+    first = mixed.groupBy("h").agg(F.min(F.struct("doc_id", "start")).alias("at"))
+    wanted = first.groupBy(F.col("at.doc_id").alias("doc_id")).agg(
+        F.collect_list(F.struct("h", F.col("at.start").alias("start"))).alias("wanted"))
+    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("members", T.BinaryType()),
+                           T.StructField("n", T.LongType())])
 
     def cut(batches):
         for b in batches:
@@ -131,18 +133,18 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, words: int, blo
                     for r, s, h in zip(rows, found, paragraph_hashes(found).tolist()):
                         if h == r["h"]:
                             s = np.unique(s)
-                            out.append((h, r["cluster"], s.tobytes(), len(s)))
-            cols = [*zip(*out)] or [()] * 4
+                            out.append((h, s.tobytes(), len(s)))
+            cols = [*zip(*out)] or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64()))], schema.names)
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64()))], schema.names)
 
-    def sets(rows: pd.DataFrame):
-        for h, side, s in zip(rows["h"], rows["own"], rows["members"]):
-            yield h, side, np.frombuffer(s, np.uint64)
+    def member(row: dict):
+        return row["h"], row["own"], np.frombuffer(row["members"], np.uint64)
 
-    texts = docs.join(wanted, "doc_id").select("text", "wanted")
+    texts = docs.join(wanted.hint("merge"), "doc_id").select("text", "wanted")
     found = written(map_batches(texts, cut, schema).dropDuplicates(["h"]), "paragraph-sets")
-    links = tree_links(block_pairs(blocked(found, block)), sets, percent)
+    bands = found.join(mixed.select("h", F.col("band").alias("cluster")).distinct().hint("merge"), "h")
+    links = tree_links(block_pairs(blocked(bands, block)), member, percent)
     return components(written(links, "paragraph-links")).select(F.col("id").alias("h"), "component")
 
 
@@ -155,8 +157,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     rows = paragraphs(docs, tune(percent, recall), words, reach)
     met = rows.groupBy("band").agg(F.min("h").alias("low"), F.max("h").alias("high"),
                                    F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    met = met.where((F.col("low") != F.col("high")) | (F.col("first") != F.col("last"))).select("band", "low")
-    members = written(rows.join(met, "band").select("doc_id", "start", "h", "low"), "colliding")
+    met = met.where((F.col("low") != F.col("high")) | (F.col("first") != F.col("last"))).select(
+        "band", (F.col("low") != F.col("high")).alias("mixed"))
+    members = written(rows.join(met.hint("merge"), "band").select("doc_id", "start", "h", "band", "mixed"), "colliding")
     similar = _verified(docs, members, percent, words, block)
     places = members.select("doc_id", "start", "h").distinct().join(similar, "h", "left").select(
         "doc_id", "start", F.coalesce("component", "h").alias("cluster_id"))
@@ -191,16 +194,17 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
 
 def remove_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the spans of ``repeated_spans``."""
-    gone = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    held = docs.join(gone, F.col(key) == F.col("_id"), "left").drop("_id")
+    gone = spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     names = docs.columns
+    held = docs.select(F.struct("*").alias("d"), F.col(key).alias("id")).join(gone, "id", "left").select("d", "spans")
 
     def run(batches):
         for b in batches:
-            texts, lists = b.column(text).to_pylist(), b.column("_spans").to_pylist()
+            row, lists = b.column(0), b.column(1).to_pylist()
+            texts = row.field(names.index(text)).to_pylist()
             out = [cut_words(t, [(s["start"], s["end"]) for s in x]) if x and t else t for t, x in zip(texts, lists)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.string()) if c == text else b.column(c) for c in names], names)
+                [pa.array(out, pa.string()) if c == text else row.field(i) for i, c in enumerate(names)], names)
 
     return map_batches(held, run, docs.schema)
 
