@@ -44,7 +44,7 @@ from footfall.llm.shingles import mix, word_hashes, word_list
 
 ORDER = 2
 MAX_DISCOUNTED = 5
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: The end token's key: a string with a space in it is no word.
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"the end"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_KNOWN = 1_000_000
+_KNOWN = 300_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
