@@ -14,8 +14,8 @@ traversal prunes pairs of nodes by the largest overlap they could have, and pair
 already known to be connected.  What is left is verified exactly.
 
 Joins with offers, texts and results always shuffle both sides (an input small enough for a
-broadcast is no reason for another plan).  Scale: offers are a fixed share of the shingles and shuffle as two longs each, combined
-before the shuffle; texts of candidates travel once.  A candidate component of more than
+broadcast is no reason for another plan).  Scale: offers are a fixed share of the shingles and shuffle once, as two longs each; texts
+travel once.  A candidate component of more than
 ``BLOCK`` shingles is dealt into blocks and every pair of blocks is a task of its own, so
 memory is bounded; links are never expanded into pairs, only enough of them to connect.
 Shingles and sets are identified by 64-bit hashes.
@@ -231,7 +231,8 @@ class SignatureTree:
 
 def _candidates(classes: DataFrame, sketched: DataFrame) -> DataFrame:
     """``h`` and ``cluster`` of the classes that share an offer with another class."""
-    offered = sketched.where(F.col("h").isNotNull()).select("h", F.explode("offers").alias("offer"))
+    # one shuffle: the sums and the join both use the rows dealt by offer
+    offered = sketched.where(F.col("h").isNotNull()).select("h", F.explode("offers").alias("offer")).repartition("offer")
     shared = offered.groupBy("offer").agg(F.min("h").alias("low"), F.max("h").alias("high")).where(
         F.col("low") != F.col("high")).select("offer", "low")
     edges = offered.join(shared.hint("merge"), "offer").where(F.col("h") != F.col("low")).select(
