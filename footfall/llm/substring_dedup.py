@@ -10,8 +10,10 @@ Paragraphs are banded by MinHash over shingles of five words (``tune`` finds the
 bands for a similarity and recall), paragraphs that collide with others are joined, unequal
 ones are verified by exact Jaccard similarity with signature trees, and clusters are the
 components of what was verified.  The first paragraph of a cluster, by document and place,
-stays; its copies in other documents are removed.  Paragraphs that follow each other and go
-back to the same place of the same document make one removed span.
+stays; its copies in other documents are removed.  Two removed paragraphs make one span with
+the words between them only if they are neighbours in their text as in the kept one and those
+words are the same there (every paragraph carries a hash of the words up to the next), or if
+they overlap; words that stand nowhere else stay.
 
 Scale: paragraphs travel as a few longs each; collisions are found by pre-aggregated minima
 and maxima, never by collecting a band; texts travel once, to be verified.
@@ -78,15 +80,24 @@ def paragraph_hashes(rows: np.ndarray) -> np.ndarray:
     return mix(np.where(fresh, mix(rows + np.uint64(1)), np.uint64(0)).sum(1, dtype=np.uint64)).view(np.int64)
 
 
+def stretches(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash of the words from each of ``starts`` up to the next, wherever they stand."""
+    lengths = np.diff(starts, append=len(hashes))
+    offsets = starts - starts[0]
+    place = np.arange(len(hashes) - starts[0]) - np.repeat(offsets, lengths)
+    return mix(np.add.reduceat(mix(hashes[starts[0]:] + mix(place.astype(np.uint64))), offsets)).view(np.int64)
+
+
 def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REACH) -> DataFrame:
-    """One row per paragraph and band: ``doc_id``, ``start`` (word), ``h``, ``band`` (key)."""
+    """One row per paragraph and band: ``doc_id``, ``start`` (word), ``next`` (where the next
+    paragraph starts), ``link`` (hash of the words up to there), ``h``, ``band`` (key)."""
     schema = T.StructType([T.StructField("doc_id", T.LongType())] + [
-        T.StructField(c, T.ArrayType(T.LongType())) for c in ("start", "h", *[f"b{i}" for i in range(bands)])])
+        T.StructField(c, T.ArrayType(T.LongType())) for c in ("start", "next", "link", "h", *[f"b{i}" for i in range(bands)])])
     seeds = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def run(batches):
         for b in batches:
-            sizes, cols = [0], [[] for _ in range(bands + 2)]
+            sizes, cols = [0], [[] for _ in range(bands + 4)]
             for text in b.column(1):
                 hashes = word_hashes(word_list(text.as_py()))
                 starts = anchors(hashes, words, reach)
@@ -94,9 +105,11 @@ def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REA
                 if len(starts):
                     rows = paragraph_shingles(hashes, starts, words)
                     cols[0].append(starts)
-                    cols[1].append(paragraph_hashes(rows))
+                    cols[1].append(np.append(starts[1:], len(hashes)))
+                    cols[2].append(stretches(hashes, starts))
+                    cols[3].append(paragraph_hashes(rows))
                     for i, seed in enumerate(seeds):
-                        cols[2 + i].append(mix(mix(rows ^ seed).min(1) + np.uint64(i)).view(np.int64))
+                        cols[4 + i].append(mix(mix(rows ^ seed).min(1) + np.uint64(i)).view(np.int64))
             offsets = pa.array(sizes, pa.int32())
             values = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols]
             yield pa.RecordBatch.from_arrays(
@@ -104,8 +117,8 @@ def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REA
 
     cut = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
     keys = [f"b{i}" for i in range(bands)]
-    one = cut.select("doc_id", F.explode(F.arrays_zip("start", "h", *keys)).alias("p"))
-    return one.select("doc_id", F.col("p.start").alias("start"), F.col("p.h").alias("h"),
+    one = cut.select("doc_id", F.explode(F.arrays_zip("start", "next", "link", "h", *keys)).alias("p"))
+    return one.select("doc_id", *[F.col(f"p.{c}").alias(c) for c in ("start", "next", "link", "h")],
                       F.explode(F.array(*[F.col(f"p.{k}") for k in keys])).alias("band"))
 
 
@@ -159,23 +172,37 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", per
                                    F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     met = met.where((F.col("low") != F.col("high")) | (F.col("first") != F.col("last"))).select(
         "band", (F.col("low") != F.col("high")).alias("mixed"))
-    members = written(rows.join(met.hint("merge"), "band").select("doc_id", "start", "h", "band", "mixed"), "colliding")
+    members = written(rows.join(met.hint("merge"), "band").select(*rows.columns, "mixed"), "colliding")
     similar = _verified(docs, members, percent, words, block)
-    places = members.select("doc_id", "start", "h").distinct().join(similar, "h", "left").select(
-        "doc_id", "start", F.coalesce("component", "h").alias("cluster_id"))
+    places = members.select("doc_id", "start", "next", "link", "h").distinct().join(similar, "h", "left").select(
+        "doc_id", "start", "next", "link", F.coalesce("component", "h").alias("cluster_id"))
     places = written(places, "paragraphs")
-    kept = places.groupBy("cluster_id").agg(F.min(F.struct("doc_id", "start")).alias("kept"), F.max("doc_id").alias("last"))
+    kept = places.groupBy("cluster_id").agg(F.min(F.struct("doc_id", "start", "next", "link")).alias("kept"),
+                                            F.max("doc_id").alias("last"))
     kept = kept.where(F.col("kept.doc_id") != F.col("last")).select("cluster_id", "kept")
     gone = places.join(kept, "cluster_id").where(F.col("doc_id") != F.col("kept.doc_id")).select(
-        "doc_id", "start", "cluster_id", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.start").alias("kept_start"))
+        "doc_id", "start", "next", (F.col("link") == F.col("kept.link")).alias("same"), "cluster_id",
+        *[F.col(f"kept.{c}").alias(f"kept_{c}") for c in ("start", "next")], F.col("kept.doc_id").alias("kept_doc"))
     order = Window.partitionBy("doc_id").orderBy("start")
-    shift = F.col("start") - F.col("kept_start")
-    follows = ((F.col("kept_doc") == F.lag("kept_doc").over(order)) & (shift == F.lag(shift).over(order))) | (
-        F.col("start") < F.lag("start").over(order) + words)
-    gone = gone.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("span", F.sum("new").over(order))
-    return gone.groupBy("doc_id", "span").agg(
+    lag = lambda c: F.lag(c).over(order)
+    follows = lag("same") & (F.col("kept_doc") == lag("kept_doc")) & (F.col("start") == lag("next")) & (
+        F.col("kept_start") == lag("kept_next"))
+    gone = gone.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
+    runs = gone.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), (F.max("start") + words).alias("end"), F.min_by("kept_doc", "start").alias("kept_doc"),
-        F.min_by("kept_start", "start").alias("kept_start"), F.min_by("cluster_id", "start").alias("cluster_id")).drop("span")
+        F.min_by("kept_start", "start").alias("kept_start"), F.min_by("cluster_id", "start").alias("cluster_id"))
+    return _united(runs)
+
+
+def _united(runs: DataFrame) -> DataFrame:
+    """Runs of a document that overlap or touch, as one span each."""
+    before = Window.partitionBy("doc_id").orderBy("start", "end")
+    new = F.col("start") > F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("new", F.when(new, 1).otherwise(0)).withColumn(
+        "span", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    first = F.min(F.struct("start", "kept_doc", "kept_start", "cluster_id")).alias("first")
+    return runs.groupBy("doc_id", "span").agg(first, F.max("end").alias("end")).select(
+        "doc_id", "first.start", "end", "first.kept_doc", "first.kept_start", "first.cluster_id")
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")

@@ -220,6 +220,24 @@ def test_passages_inside_other_texts_are_found_and_clean_texts_left(spark):
             assert out[i].text.split() == left
 
 
+def test_words_between_repeated_passages_stay(spark):
+    random.seed(11)
+    word = lambda: f"v{random.randrange(50000)}"
+    rows, own = [], {}
+    for i in range(0, 80, 2):
+        first, last = [[word() for _ in range(90)] for _ in range(2)]
+        n = random.randrange(1, 60)
+        rows += [(k, " ".join([*first, *[f"own{k}-{j}" for j in range(n)], *last])) for k in (i, i + 1)]
+        own[i + 1] = range(90, 90 + n)
+    spans = repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    gone = collections.defaultdict(set)
+    for r in spans:
+        gone[r.doc_id] |= set(range(r.start, r.end))
+    # a paragraph of 16 words may differ in its first or last word and still be 0.8 alike
+    assert set(gone) == set(own) and all(len(gone[i] & set(own[i][2:-2])) == 0 for i in own)
+    assert all(len(gone[i]) >= 100 for i in own)
+
+
 def test_bands_and_cuts(spark):
     assert tune(80, 0.95) == 2 and tune(80, 0.99) == 3 and tune(90, 0.95) == 2 and tune(80, 0.9, rows=2) == 3
     assert cut_words(" a  b\nc d ", [(1, 2)]) == " a  c d " and cut_words("a b", [(0, 2)]) == "" and cut_words("a b", [(5, 9)]) == "a b"
