@@ -1,30 +1,36 @@
 """Repeated passages by paragraph MinHash banding (operator 7).
 
-A document is cut into paragraphs at places that its words themselves fix, so that a passage
-copied into the middle of another text gives the same paragraphs there: a paragraph is the
-``WORDS`` words from an anchor on, an anchor being a place whose hash of three words is the
-least within ``REACH`` words on either side.  Two texts that share a run of about fifty words
-share a paragraph almost surely, and runs of fewer than ``WORDS + REACH`` words do not count.
-
-Paragraphs are banded by MinHash over shingles of five words (``tune`` finds the number of
-bands for a similarity and recall), paragraphs that collide with others are joined, unequal
-ones are verified by exact Jaccard similarity with signature trees, and clusters are the
-components of what was verified.  The first paragraph of a cluster, by document and place,
-stays; its copies in other documents are removed.  Two removed paragraphs make one span with
-the words between them only if they are neighbours in their text as in the kept one and those
-words are the same there (every paragraph carries a hash of the words up to the next), or if
-they overlap; words that stand nowhere else stay.
+A document is cut into paragraphs of two kinds.  Lines of at least ``WORDS + REACH`` words are
+paragraphs as they stand.  Others lie at places that the words themselves fix, so that a
+passage copied into the middle of another text gives the same paragraphs there: the ``WORDS``
+words from an anchor on, an anchor being a place whose hash of three words is the least within
+``REACH`` words on either side.  Two texts that share a run of about fifty words share such a
+paragraph almost surely, and runs of fewer than ``WORDS`` words do not count.
+
+Paragraphs of a kind are banded by MinHash over shingles of five words (``tune`` finds the
+number of bands for a similarity and recall), paragraphs that collide with others are joined,
+unequal ones are verified by exact Jaccard similarity with signature trees, and clusters are
+the components of what was verified.  The first paragraph of a cluster, by document and place,
+stays; its copies in other documents are removed.  Neighbours that are neighbours in the kept
+text too, with the same words up to the next (every paragraph carries their hash), make a run.
+Runs are extended to both sides as far as the words equal those of the kept text: the kept
+words beside a run travel to it, ``CONTEXT`` of them first, more in further rounds for the
+runs that used them up, no more than lie before the next run from the same kept text.  Runs that overlap or touch make one removed span; words that stand
+nowhere else stay, but for those by which similar paragraphs differ.
 
 Scale: paragraphs travel as a few longs each; collisions are found by pre-aggregated minima
-and maxima, never by collecting a band; texts travel once, to be verified.
+and maxima, never by collecting a band; texts travel once to be verified,
+and for each round of extension twice (as kept text and as copy).
 
 Defined cases: rows without id or text, and texts shorter than a paragraph, have none; rows
-that share an id count as one document, whose paragraphs are not removed for each other; an
+that share an id count as one document, whose paragraphs are not removed for each other, and
+their runs are extended as far as all of these rows agree; an
 empty table gives no spans; other columns are ignored here and kept by ``remove_spans``.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 
@@ -42,9 +48,11 @@ from footfall.llm.shingles import mix, shingle_hashes, word_hashes, word_list
 WORDS = 16
 REACH = 8
 SHINGLE = 5
+CONTEXT = 48
 PERCENT = 80
 RECALL = 0.95
 _ANCHOR = 3
+_LINE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def tune(percent: int, recall: float, rows: int = 1) -> int:
@@ -67,17 +75,39 @@ def anchors(hashes: np.ndarray, words: int, reach: int) -> np.ndarray:
     return at[at + words <= len(hashes)]
 
 
-def paragraph_shingles(hashes: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
-    """Sorted shingle hashes of each paragraph, one row per paragraph."""
-    k = words - SHINGLE + 1
-    return np.sort(shingle_hashes(hashes, SHINGLE)[starts[:, None] + np.arange(k)], axis=1)
+def lined_words(text: str | None) -> tuple[list[bytes], np.ndarray]:
+    """The words of ``word_list`` and the number of them in each line."""
+    lines = [line.split() for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
+    return list(itertools.chain.from_iterable(lines)), np.array([len(x) for x in lines], np.int64)
 
 
-def paragraph_hashes(rows: np.ndarray) -> np.ndarray:
-    """Hash of the set of shingles of each row."""
+def _set_hashes(sums: np.ndarray, line: bool) -> np.ndarray:
+    """Hashes of sets of shingles by the sums of their mixed members; those of lines are others."""
+    return mix(sums ^ _LINE if line else sums).view(np.int64)
+
+
+def anchored(shingles: np.ndarray, minima: list[np.ndarray], starts: np.ndarray, words: int):
+    """Set hash and least mixed shingle by seed of the paragraphs at anchors."""
+    at = starts[:, None] + np.arange(words - SHINGLE + 1)
+    rows = np.sort(shingles[at], axis=1)
     fresh = np.ones(rows.shape, bool)
     fresh[:, 1:] = rows[:, 1:] != rows[:, :-1]
-    return mix(np.where(fresh, mix(rows + np.uint64(1)), np.uint64(0)).sum(1, dtype=np.uint64)).view(np.int64)
+    sums = np.where(fresh, mix(rows + np.uint64(1)), np.uint64(0)).sum(1, dtype=np.uint64)
+    return _set_hashes(sums, False), [m[at].min(1) for m in minima]
+
+
+def lined(shingles: np.ndarray, minima: list[np.ndarray], starts: np.ndarray, lengths: np.ndarray):
+    """Set hash and least mixed shingle by seed of the paragraphs that are lines."""
+    sizes = lengths - SHINGLE + 1
+    offsets = np.cumsum(sizes) - sizes
+    at = np.arange(sizes.sum()) + np.repeat(starts - offsets, sizes)
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    values = shingles[at]
+    values = values[np.lexsort((values, line))]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (line[1:] != line[:-1])
+    sums = np.add.reduceat(np.where(fresh, mix(values + np.uint64(1)), np.uint64(0)), offsets)
+    return _set_hashes(sums, True), [np.minimum.reduceat(m[at], offsets) for m in minima]
 
 
 def stretches(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -89,27 +119,38 @@ def stretches(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REACH) -> DataFrame:
-    """One row per paragraph and band: ``doc_id``, ``start`` (word), ``next`` (where the next
-    paragraph starts), ``link`` (hash of the words up to there), ``h``, ``band`` (key)."""
+    """One row per paragraph and band: ``doc_id``, ``start`` (word), ``n`` (words; more than
+    ``words`` for lines), ``next`` (where the next paragraph starts, of lines the end), ``link``
+    (hash of the words up to there, of lines 0), ``h``, ``band`` (key)."""
     schema = T.StructType([T.StructField("doc_id", T.LongType())] + [
-        T.StructField(c, T.ArrayType(T.LongType())) for c in ("start", "next", "link", "h", *[f"b{i}" for i in range(bands)])])
+        T.StructField(c, T.ArrayType(T.LongType())) for c in ("start", "n", "next", "link", "h", *[f"b{i}" for i in range(bands)])])
     seeds = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def run(batches):
         for b in batches:
-            sizes, cols = [0], [[] for _ in range(bands + 4)]
+            sizes, cols = [0], [[] for _ in range(bands + 5)]
             for text in b.column(1):
-                hashes = word_hashes(word_list(text.as_py()))
+                found, counts = lined_words(text.as_py())
+                hashes = word_hashes(found)
                 starts = anchors(hashes, words, reach)
-                sizes.append(sizes[-1] + len(starts))
+                long = np.flatnonzero(counts >= words + reach)
+                sizes.append(sizes[-1] + len(starts) + len(long))
+                if not len(starts) and not len(long):
+                    continue
+                shingles = shingle_hashes(hashes, SHINGLE)
+                minima = [mix(shingles ^ seed) for seed in seeds]
                 if len(starts):
-                    rows = paragraph_shingles(hashes, starts, words)
-                    cols[0].append(starts)
-                    cols[1].append(np.append(starts[1:], len(hashes)))
-                    cols[2].append(stretches(hashes, starts))
-                    cols[3].append(paragraph_hashes(rows))
-                    for i, seed in enumerate(seeds):
-                        cols[4 + i].append(mix(mix(rows ^ seed).min(1) + np.uint64(i)).view(np.int64))
+                    h, low = anchored(shingles, minima, starts, words)
+                    keys = [mix(m + np.uint64(i)).view(np.int64) for i, m in enumerate(low)]
+                    row = (starts, np.full(len(starts), words), np.append(starts[1:], len(hashes)), stretches(hashes, starts), h, *keys)
+                    for c, v in zip(cols, row):
+                        c.append(v)
+                if len(long):
+                    at, n = (np.cumsum(counts) - counts)[long], counts[long]
+                    h, low = lined(shingles, minima, at, n)
+                    keys = [mix(mix(m ^ _LINE) + np.uint64(i)).view(np.int64) for i, m in enumerate(low)]
+                    for c, v in zip(cols, (at, n, at + n, np.zeros(len(at), np.int64), h, *keys)):
+                        c.append(v)
             offsets = pa.array(sizes, pa.int32())
             values = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols]
             yield pa.RecordBatch.from_arrays(
@@ -117,8 +158,8 @@ def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REA
 
     cut = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
     keys = [f"b{i}" for i in range(bands)]
-    one = cut.select("doc_id", F.explode(F.arrays_zip("start", "next", "link", "h", *keys)).alias("p"))
-    return one.select("doc_id", *[F.col(f"p.{c}").alias(c) for c in ("start", "next", "link", "h")],
+    one = cut.select("doc_id", F.explode(F.arrays_zip("start", "n", "next", "link", "h", *keys)).alias("p"))
+    return one.select("doc_id", *[F.col(f"p.{c}").alias(c) for c in ("start", "n", "next", "link", "h")],
                       F.explode(F.array(*[F.col(f"p.{k}") for k in keys])).alias("band"))
 
 
@@ -129,9 +170,9 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, words: int, blo
     if it is large); bands of one class only have nothing to verify.
     """
     mixed = members.where("mixed")
-    first = mixed.groupBy("h").agg(F.min(F.struct("doc_id", "start")).alias("at"))
+    first = mixed.groupBy("h").agg(F.min(F.struct("doc_id", "start", "n")).alias("at"))
     wanted = first.groupBy(F.col("at.doc_id").alias("doc_id")).agg(
-        F.collect_list(F.struct("h", F.col("at.start").alias("start"))).alias("wanted"))
+        F.collect_list(F.struct("h", "at.start", "at.n")).alias("wanted"))
     schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("members", T.BinaryType()),
                            T.StructField("n", T.LongType())])
 
@@ -140,13 +181,14 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, words: int, blo
             out = []
             for text, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 hashes = word_hashes(word_list(text))
-                rows = [r for r in rows if r["start"] + words <= len(hashes)]
-                if rows:
-                    found = paragraph_shingles(hashes, np.array([r["start"] for r in rows]), words)
-                    for r, s, h in zip(rows, found, paragraph_hashes(found).tolist()):
-                        if h == r["h"]:
-                            s = np.unique(s)
-                            out.append((h, s.tobytes(), len(s)))
+                shingles = shingle_hashes(hashes, SHINGLE)
+                rows = [r for r in rows if r["start"] + r["n"] <= len(hashes)]
+                sets = [np.unique(shingles[r["start"]:r["start"] + r["n"] - SHINGLE + 1]) for r in rows]
+                sums = np.array([mix(s + np.uint64(1)).sum(dtype=np.uint64) for s in sets], np.uint64)
+                line = np.array([r["n"] > words for r in rows], bool)
+                for r, s, h in zip(rows, sets, np.where(line, _set_hashes(sums, True), _set_hashes(sums, False)).tolist()):
+                    if h == r["h"]:
+                        out.append((h, s.tobytes(), len(s)))
             cols = [*zip(*out)] or [()] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64()))], schema.names)
@@ -174,35 +216,125 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", per
         "band", (F.col("low") != F.col("high")).alias("mixed"))
     members = written(rows.join(met.hint("merge"), "band").select(*rows.columns, "mixed"), "colliding")
     similar = _verified(docs, members, percent, words, block)
-    places = members.select("doc_id", "start", "next", "link", "h").distinct().join(similar, "h", "left").select(
-        "doc_id", "start", "next", "link", F.coalesce("component", "h").alias("cluster_id"))
+    names = ("start", "n", "next", "link")
+    places = members.select("doc_id", *names, "h").distinct().join(similar, "h", "left").select(
+        "doc_id", *names, F.coalesce("component", "h").alias("cluster_id"))
     places = written(places, "paragraphs")
-    kept = places.groupBy("cluster_id").agg(F.min(F.struct("doc_id", "start", "next", "link")).alias("kept"),
-                                            F.max("doc_id").alias("last"))
+    kept = places.groupBy("cluster_id").agg(F.min(F.struct("doc_id", *names)).alias("kept"), F.max("doc_id").alias("last"))
     kept = kept.where(F.col("kept.doc_id") != F.col("last")).select("cluster_id", "kept")
     gone = places.join(kept, "cluster_id").where(F.col("doc_id") != F.col("kept.doc_id")).select(
-        "doc_id", "start", "next", (F.col("link") == F.col("kept.link")).alias("same"), "cluster_id",
-        *[F.col(f"kept.{c}").alias(f"kept_{c}") for c in ("start", "next")], F.col("kept.doc_id").alias("kept_doc"))
-    order = Window.partitionBy("doc_id").orderBy("start")
+        "doc_id", (F.col("n") > words).alias("line"), "start", (F.col("start") + F.col("n")).alias("end"), "next",
+        (F.col("link") == F.col("kept.link")).alias("same"), "cluster_id", F.col("kept.doc_id").alias("kept_doc"),
+        F.col("kept.start").alias("kept_start"), (F.col("kept.start") + F.col("kept.n")).alias("kept_end"),
+        F.col("kept.next").alias("kept_next"))
+    order = Window.partitionBy("doc_id", "line").orderBy("start")
     lag = lambda c: F.lag(c).over(order)
     follows = lag("same") & (F.col("kept_doc") == lag("kept_doc")) & (F.col("start") == lag("next")) & (
         F.col("kept_start") == lag("kept_next"))
     gone = gone.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
-    runs = gone.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), (F.max("start") + words).alias("end"), F.min_by("kept_doc", "start").alias("kept_doc"),
-        F.min_by("kept_start", "start").alias("kept_start"), F.min_by("cluster_id", "start").alias("cluster_id"))
-    return _united(runs)
+    runs = gone.groupBy("doc_id", "line", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kept_doc", "start").alias("kept_doc"),
+        F.min("kept_start").alias("kept_start"), F.max("kept_end").alias("kept_end"),
+        F.min_by("cluster_id", "start").alias("cluster_id")).drop("line", "run")
+    shift, last = F.col("kept_start") - F.col("start"), F.col("kept_end") - F.col("end")
+    runs = runs.select("*", shift.alias("shift"), last.alias("last"), F.when(shift != last, F.col("start")).alias("own"))
+    runs = written(_united(runs, "kept_doc", "shift", "last", "own"), "runs")
+    found = ("doc_id", "start", "end", "kept_doc", "kept_start", "cluster_id")
+    return _united(_extended(docs, runs).unionByName(runs.select(*found))).select(*found)
+
+
+def _contexts(docs: DataFrame, ends: DataFrame, length: int) -> DataFrame:
+    """Hashes of up to ``length`` words before (``after`` false) or after places of kept documents
+    (in reverse order before), and whether there are ``more``."""
+    wanted = ends.groupBy("kept_doc", "after", "kept_at").agg(F.least(F.max("room"), F.lit(length)).alias("size"))
+    wanted = wanted.groupBy(F.col("kept_doc").alias("doc_id")).agg(
+        F.collect_list(F.struct("after", "kept_at", "size")).alias("wanted"))
+    schema = T.StructType([T.StructField("kept_doc", T.LongType()), T.StructField("after", T.BooleanType()),
+                           T.StructField("kept_at", T.LongType()), T.StructField("context", T.BinaryType()),
+                           T.StructField("more", T.BooleanType())])
 
+    def run(batches):
+        for b in batches:
+            out = []
+            for i, text, rows in zip(*(c.to_pylist() for c in b.columns)):
+                hashes = word_hashes(word_list(text))
+                for r in rows:
+                    at, size = r["kept_at"], r["size"]
+                    side = hashes[at:at + size] if r["after"] else hashes[max(0, at - size):at][::-1]
+                    more = at + size < len(hashes) if r["after"] else at > size
+                    out.append((i, r["after"], at, side.tobytes(), more))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
+                [*zip(*out)] or [()] * 5, pa.schema(list(zip(schema.names, (
+                    pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.bool_())))))], schema.names)
+
+    found = map_batches(docs.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "wanted"), run, schema)
+    return found.groupBy("kept_doc", "after", "kept_at").agg(F.min(F.struct("context", "more")).alias("kept"))
+
+
+def _reached(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """``ends`` moved on by the ``n`` words that equal their contexts, within their ``room``, and
+    whether they may go on (``open``)."""
+    met = ends.groupBy("doc_id").agg(F.collect_list(F.struct(*[c for c in ends.columns if c != "doc_id"])).alias("ends"))
+    held = ("after", "at", "kept_doc", "kept_at", "room", "cluster_id")
+    types = (pa.int64(), pa.bool_(), *[pa.int64()] * 6, pa.bool_())
+    schema = ("doc_id long, after boolean, at long, kept_doc long, kept_at long, room long, cluster_id long, n long, "
+              "open boolean")
 
-def _united(runs: DataFrame) -> DataFrame:
-    """Runs of a document that overlap or touch, as one span each."""
-    before = Window.partitionBy("doc_id").orderBy("start", "end")
-    new = F.col("start") > F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    def run(batches):
+        for b in batches:
+            out = []
+            for i, text, rows in zip(*(c.to_pylist() for c in b.columns)):
+                hashes = word_hashes(word_list(text))
+                for r in rows:
+                    at, kept = r["at"], np.frombuffer(r["kept"]["context"], np.uint64)
+                    own = hashes[at:at + len(kept)] if r["after"] else hashes[max(0, at - len(kept)):at][::-1]
+                    differ = np.flatnonzero(own != kept[:len(own)])
+                    n = min(int(differ[0]) if len(differ) else len(own), r["room"])
+                    out.append((i, *[r[c] for c in held], n, n == len(kept) and n < r["room"] and r["kept"]["more"]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*zip(*out)] or [()] * 9, types)],
+                                             ["doc_id", *held, "n", "open"])
+
+    found = map_batches(docs.join(met.hint("merge"), "doc_id").select("doc_id", "text", "ends"), run, schema)
+    found = found.groupBy("doc_id", *held).agg(F.min("n").alias("n"), F.min("open").alias("open"))
+    return found.withColumns({c: F.when(F.col("after"), F.col(c) + F.col("n")).otherwise(F.col(c) - F.col("n"))
+                              for c in ("at", "kept_at")})
+
+
+def _extended(docs: DataFrame, runs: DataFrame, length: int = CONTEXT) -> DataFrame:
+    """What runs gain on either side: spans beside them whose words equal those of the kept text."""
+    order = Window.partitionBy("doc_id", "kept_doc", "shift", "last", "own").orderBy("start")
+    before, after = F.col("start") - F.lag("end").over(order), F.lead("start").over(order) - F.col("end")
+    ends = runs.withColumns({"before": before, "behind": after}).select("doc_id", "kept_doc", "cluster_id", F.inline(F.array(*[
+        F.struct(F.lit(side).alias("after"), at.alias("at"), kept_at.alias("kept_at"),
+                 F.coalesce(room, F.lit(1 << 62)).alias("room"))
+        for side, at, kept_at, room in ((False, F.col("start"), F.col("kept_start"), F.col("before")),
+                                        (True, F.col("end"), F.col("end") + F.col("last"), F.col("behind")))])))
+    gains = None
+    while True:
+        contexts = written(_contexts(docs, ends, length), "contexts")
+        met = ends.join(contexts.hint("merge"), ["kept_doc", "after", "kept_at"])
+        found = written(_reached(docs, met), "reached")
+        back = F.when(F.col("after"), F.col("n")).otherwise(0)
+        gain = found.where(F.col("n") > 0).select(
+            "doc_id", (F.col("at") - back).alias("start"), (F.col("at") - back + F.col("n")).alias("end"), "kept_doc",
+            (F.col("kept_at") - back).alias("kept_start"), "cluster_id")
+        gains = gain if gains is None else gains.unionByName(gain)
+        ends = found.where("open").withColumn("room", F.col("room") - F.col("n")).drop("n", "open")
+        if ends.isEmpty():
+            return gains
+        length *= 8
+
+
+def _united(runs: DataFrame, *keys: str) -> DataFrame:
+    """Runs of a document (and ``keys``) that overlap or touch, as one span each."""
+    order = Window.partitionBy("doc_id", *keys).orderBy("start", "end")
+    new = F.col("start") > F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     runs = runs.withColumn("new", F.when(new, 1).otherwise(0)).withColumn(
-        "span", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    first = F.min(F.struct("start", "kept_doc", "kept_start", "cluster_id")).alias("first")
-    return runs.groupBy("doc_id", "span").agg(first, F.max("end").alias("end")).select(
-        "doc_id", "first.start", "end", "first.kept_doc", "first.kept_start", "first.cluster_id")
+        "span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    first = F.min(F.struct("start", F.col("kept_doc").alias("doc"), "kept_start", "cluster_id")).alias("first")
+    return runs.groupBy("doc_id", *keys, "span").agg(first, F.max("end").alias("end")).select(
+        "doc_id", *[k for k in keys if k != "kept_doc"], "first.start", "end", F.col("first.doc").alias("kept_doc"),
+        "first.kept_start", "first.cluster_id")
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")

@@ -227,7 +227,7 @@ def test_words_between_repeated_passages_stay(spark):
     for i in range(0, 80, 2):
         first, last = [[word() for _ in range(90)] for _ in range(2)]
         n = random.randrange(1, 60)
-        rows += [(k, " ".join([*first, *[f"own{k}-{j}" for j in range(n)], *last])) for k in (i, i + 1)]
+        rows += [(k, "\n".join([*first, *[f"own{k}-{j}" for j in range(n)], *last])) for k in (i, i + 1)]
         own[i + 1] = range(90, 90 + n)
     spans = repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     gone = collections.defaultdict(set)
@@ -238,6 +238,45 @@ def test_words_between_repeated_passages_stay(spark):
     assert all(len(gone[i]) >= 100 for i in own)
 
 
+def test_repeated_passages_go_to_their_last_word(spark):
+    random.seed(12)
+    word = lambda: f"v{random.randrange(50000)}"
+    rows, want = [], {}
+    for i in range(0, 120, 2):
+        n = 51 if i < 100 else 700
+        passage = [word() for _ in range(n)]
+        before = random.randrange(30)
+        rows.append((i, "\n".join([*[f"a{i}-{j}" for j in range(40)], *passage, *[f"b{i}-{j}" for j in range(20)]])))
+        rows.append((i + 1, "\n".join([*[f"c{i}-{j}" for j in range(before)], *passage, *[f"d{i}-{j}" for j in range(20)]])))
+        want[i + 1] = range(before, before + n)
+    same = [*["same"] * 2000, *[f"p{k}" for k in range(60)]]  # no anchor among equal words: several rounds
+    rows += [(200, "\n".join(["x", *same, "y"])), (201, "\n".join(["z", *same, "w"]))]
+    got = collections.defaultdict(set)
+    for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.kept_doc == r.doc_id - 1
+        got[r.doc_id] |= set(range(r.start, r.end))
+    assert got.pop(201) == set(range(1, 2061))
+    # here too the first or last paragraph may have one word of its own
+    assert all(set(want[i]) <= got[i] <= set(range(want[i].start - 1, want[i].stop + 1)) for i in got)
+    assert len(got) >= 0.95 * len(want) and sum(got[i] == set(want[i]) for i in got) >= 0.5 * len(got)
+
+
+def test_lines_with_one_word_changed_are_found(spark):
+    random.seed(13)
+    word = lambda: f"v{random.randrange(50000)}"
+    rows, want = [], {}
+    for i in range(0, 200, 2):
+        line = [word() for _ in range(50)]
+        like = [*line[:25], "other", *line[26:]]
+        rows += [(k, "\n".join([" ".join(f"a{k}-{j}" for j in range(30)), " ".join(x), " ".join(f"b{k}-{j}" for j in range(30))]))
+                 for k, x in ((i, line), (i + 1, like))]
+        want[i + 1] = set(range(30, 80))
+    got = collections.defaultdict(set)
+    for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id] |= set(range(r.start, r.end))
+    assert all(got[i] <= set(range(29, 81)) for i in got) and sum(want[i] <= got[i] for i in want) >= 0.9 * len(want)
+
+
 def test_bands_and_cuts(spark):
     assert tune(80, 0.95) == 2 and tune(80, 0.99) == 3 and tune(90, 0.95) == 2 and tune(80, 0.9, rows=2) == 3
     assert cut_words(" a  b\nc d ", [(1, 2)]) == " a  c d " and cut_words("a b", [(0, 2)]) == "" and cut_words("a b", [(5, 9)]) == "a b"
