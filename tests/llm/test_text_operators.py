@@ -173,6 +173,19 @@ def test_article_element_is_kept_whole():
     assert main_text(page) == f"T\n{PARAGRAPH}\nOne\nTwo\nx"
 
 
+def test_points_choose_before_article_elements():
+    story = "".join(f"<p>{PARAGRAPH} part {k}</p>" for k in range(7))
+    teaser = "".join(f"<p>{PARAGRAPH} teaser {k}</p>" for k in range(3))
+    whole = "\n".join(f"{PARAGRAPH} part {k}" for k in range(7))
+    assert main_text(f"<body><div><div id=a>{story}</div></div><div><article>{teaser}</article></div></body>") == whole
+    parts = "".join(f"<article><p>{PARAGRAPH} part {k}</p></article>" for k in range(7))
+    assert main_text(f"<body><div>{parts}</div></body>") == whole  # a story in several articles
+    two = f"<article><p>{PARAGRAPH} one</p><p>{PARAGRAPH}</p></article><article><p>{PARAGRAPH} two</p></article>"
+    assert main_text(f"<body><section>{two}</section></body>") == f"{PARAGRAPH} one\n{PARAGRAPH}\n{PARAGRAPH} two"
+    assert main_text(f"<body><main><div>{story}</div><p>x</p></main><div><p>{PARAGRAPH}</p></div></body>") == f"{whole}\nx"
+    assert main_text(f"<body><main><div>{story}</div><article><a href=x>{PARAGRAPH}</a></article></main></body>") == whole
+
+
 def test_broken_and_empty_pages():
     assert main_text(None) == main_text("") == main_text("<p>") == main_text("<!-- x") == ""
     assert main_text("a < b and c") == "a < b and c"
