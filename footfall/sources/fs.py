@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
@@ -39,3 +41,25 @@ def delete(spark: SparkSession, path: str) -> bool:
 def make_dir(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.mkdirs(p))
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and length of the files in the folder ``path``, by name."""
+    fs, p = _fs(spark, path)
+    return sorted((s.getPath().toString(), s.getLen()) for s in fs.listStatus(p) if s.isFile())
+
+
+@contextmanager
+def opened(spark: SparkSession, path: str):
+    """A function ``read(at, n)`` of bytes of one file, for small parts of it."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+
+    def read(at: int, n: int) -> bytes:
+        stream.seek(at)
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, n))
+
+    try:
+        yield read
+    finally:
+        stream.close()
