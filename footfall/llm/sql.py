@@ -49,6 +49,39 @@ SELECT d.doc_id, g.text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_rem
 FROM d LEFT JOIN g USING (doc_id)
 """
 
+OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+u AS (SELECT t, min(doc_id) AS first FROM d GROUP BY 1),
+l AS (SELECT doc_id, max((coalesce(quality, 0) = 1)::INT) AS good, max((coalesce(toxic, 0) = 1)::INT) AS toxic FROM labels GROUP BY 1),
+m AS (SELECT doc_id, part, t, regexp_extract_all(t, '{_WORD}') AS w FROM d),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+  (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+  + 4 * (100 * (len(t) - len(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * len(t))::INT
+  + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (doc_id > first)::INT AS mask
+  FROM m JOIN u USING (t) LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, good, toxic, count(*) AS n FROM f GROUP BY part, mask, good, toxic),
+s AS (SELECT x, v FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS y(x, v)),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, a.v AS v1, b.v AS v2, c.v AS v3, d.v AS v4, e.v AS v5
+  FROM s AS a, s AS b, s AS c, s AS d, s AS e WHERE a.v + b.v + c.v + d.v + e.v = 31),
+p AS (SELECT filter_order, 1 AS step, v1 AS bit, 0 AS prior FROM o
+  UNION ALL SELECT filter_order, 2, v2, v1 FROM o
+  UNION ALL SELECT filter_order, 3, v3, v1 + v2 FROM o
+  UNION ALL SELECT filter_order, 4, v4, v1 + v2 + v3 FROM o
+  UNION ALL SELECT filter_order, 5, v5, v1 + v2 + v3 + v4 FROM o),
+g AS (SELECT part, filter_order, step, bit,
+  sum(CASE WHEN (mask & (bit + prior)) = 0 THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN (mask & bit) <> 0 AND (mask & prior) = 0 THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN (mask & bit) <> 0 AND (mask & prior) <> 0 THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN (mask & bit) <> 0 AND (mask & prior) = 0 THEN n * good ELSE 0 END) AS good_lost,
+  sum(CASE WHEN (mask & bit) <> 0 AND (mask & prior) = 0 THEN n * toxic ELSE 0 END) AS toxic_lost
+  FROM p, c GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM g
+"""
+
 
 def oracle():
-    return {"op3_quality_rules": OP3, "op9_line_dedup": OP9}
+    return {"op3_quality_rules": OP3, "op9_line_dedup": OP9, "op11_filter_audit": OP11}
