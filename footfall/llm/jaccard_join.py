@@ -1,24 +1,32 @@
 """Jaccard join of shingle sets with signature trees (operator 5).
 
-Two texts link when the Jaccard similarity of their sets of 3-word shingles is at least a
-percentage.  Equal sets are one class.  Classes that could link are brought together by
-signatures that lose no link: sets of similar size are cut into more parts than two linked
-sets can differ in, so some parts are equal; each class offers its parts (small sets: pairs
-of parts) as hashes, and classes that share an offer are candidates of each other.  Parts of
-fewer than two shingles say nothing; enough parts are cut that they are needed only if a set
-has an unusual number of them.
-
-Candidates are gathered by components.  Within one, a tree over the classes holds OR-combined
-token bitmaps, size ranges and the largest number of shingles that share a bit; a dual
-traversal prunes pairs of nodes by the largest overlap they could have, and pairs of nodes
-already known to be connected.  What is left is verified exactly.
+Two texts link when the Jaccard similarity of their sets of shingles is at least a percentage.
+Equal sets are one class.  Classes that could link are brought together by offers that lose no
+link.  A size class holds the sizes from some number up to the largest that can link with it,
+so a set offers in its own class and, if it can link with larger sets, in the next.  In a
+class, every set is cut by hash ranges into more parts than two linked sets can differ in, so
+some parts are equal:
+
+* a set knows how many of its parts may differ from a partner's.  If no more than the rest of
+  its parts hold fewer than ``k`` shingles, an equal part with ``k`` is left over, and it offers
+  only such parts, for the largest such ``k``.  Of two linked sets, the one with the larger ``k``
+  has an equal part of that many shingles, which the other offers too;
+* sets that differ in up to ``PAIRED`` parts offer pairs of parts instead;
+* sets with too many empty parts for either offer also their least shingles, one more than a
+  partner can lack; so do all sets at less than ``PARTED`` percent.  Empty parts are never offered.
+
+Classes that share an offer are candidates of each other.  Candidates are gathered by
+components.  Within one, a tree over the classes holds OR-combined token bitmaps, size ranges
+and the largest number of shingles that share a bit; a dual traversal prunes pairs of nodes by
+the largest overlap they could have, and pairs of nodes already known to be connected.  What is
+left is verified exactly.
 
 Joins with offers, texts and results always shuffle both sides (an input small enough for a
-broadcast is no reason for another plan).  Scale: offers are a fixed share of the shingles and shuffle once, as two longs each; texts
-travel once.  A candidate component of more than
-``BLOCK`` shingles is dealt into blocks and every pair of blocks is a task of its own, so
-memory is bounded; links are never expanded into pairs, only enough of them to connect.
-Shingles and sets are identified by 64-bit hashes.
+broadcast is no reason for another plan).  Scale: offers are a fixed share of the shingles and
+shuffle once, as two longs each, a set's once a task however many copies the task has; texts
+travel once.  A candidate component of more than ``BLOCK`` shingles is dealt into blocks and
+every pair of blocks is a task of its own, so memory is bounded; links are never expanded into
+pairs, only enough of them to connect.  Shingles and sets are identified by 64-bit hashes.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing (their
 component is their own id); a text of fewer words than a shingle is one shingle; rows of one
@@ -28,6 +36,8 @@ empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,72 +52,88 @@ PERCENT = 90
 SIZE = 3
 BLOCK = 3_000_000
 LEAF = 32
+FEW = 3  # so many sets need no tree
 PAIRED = 8  # up to so many differences, pairs of parts are offered
+PARTED = 75  # below this percentage, parts would be too small
+DIFFER = 0.7  # share of the parts in which two sets that just link differ
 _MAX_SIZE = 1 << 40
+_ODD, _LEAST = np.uint64(0x9E3779B97F4A7C15), 0xD1B54A32D192ED03
 
 
-def size_bounds() -> list[int]:
-    """Smallest sizes of the size classes, each about half as large again as the one before."""
+@lru_cache
+def size_bounds(percent: int) -> list[int]:
+    """Smallest sizes of the size classes: the largest size of a class can just link with the smallest."""
     out = [1]
     while out[-1] < _MAX_SIZE:
-        out.append(max(out[-1] + 1, out[-1] * 3 // 2 + 1))
+        out.append(100 * out[-1] // percent + 1)
     return out
 
 
-_BOUNDS = size_bounds()
+def _differ(percent: int, a: int, b: int) -> int:
+    """Most shingles in which linked sets of these sizes differ."""
+    return (100 - percent) * (a + b) // (100 + percent)
 
 
-def _tags(n: int, percent: int):
-    """(size class, parts, spare parts, pairs) of each size class in which a set of ``n`` is offered:
-    its own, and the one above if sets there can be similar enough."""
-    own = int(np.searchsorted(_BOUNDS, n, "right")) - 1
-    for k in (own, own + 1):
-        if k > own and n * 100 < percent * _BOUNDS[k]:
-            return
-        top = _BOUNDS[k + 1] - 1
-        differ = 2 * top * (100 - percent) // (100 + percent)
-        if differ <= PAIRED:
-            yield k, differ + 2, 0, True
-        else:
-            spare = 2 + -(-differ * 15 // 100)
-            yield k, differ + 1 + spare, spare, False
+def _parts(members: np.ndarray, n_parts: int, tag: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and hashes of the shingles in each range of hashes."""
+    where = ((members >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+    counts = np.bincount(where, minlength=n_parts)
+    full = np.flatnonzero(counts)
+    sums = np.zeros(n_parts, np.uint64)
+    sums[full] = np.add.reduceat(mix(members + np.uint64(1)), (np.cumsum(counts) - counts)[full])
+    return counts, mix(sums + np.arange(n_parts, dtype=np.uint64) * _ODD + tag)
 
 
 def offers(members: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes that a sorted set shares with every set it could link to, as signed integers."""
-    found = []
-    spread = mix(members + np.uint64(1))
-    for k, parts, spare, paired in _tags(len(members), percent):
-        where = (members % np.uint64(parts)).astype(np.int64)
-        counts = np.bincount(where, minlength=parts)
-        order = np.argsort(where, kind="stable")
-        sums = np.zeros(parts, np.uint64)
-        full = np.flatnonzero(counts)
-        sums[full] = np.add.reduceat(spread[order], (np.cumsum(counts) - counts)[full])
-        sums = mix(sums + np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1))
-        if paired:
-            i, j = np.triu_indices(parts, 1)
-            found.append(mix(sums[i] ^ mix(sums[j] + np.uint64(k + 1))))
-        elif (counts < 2).sum() <= spare:
-            found.append(sums[counts >= 2])
+    """Hashes of which a sorted set shares one with every set it could link to, as signed integers."""
+    if percent >= 100:  # every size is a class of its own
+        return np.array([set_hash(members)])
+    n, found, bounds = len(members), [], size_bounds(percent)
+    reach, own = 100 * n // percent, int(np.searchsorted(bounds, n, "right")) - 1
+    for k in (own, own + 1):
+        if bounds[k] > reach:
+            break
+        top, tag = bounds[k + 1] - 1, np.uint64(k + 1)
+        most = _differ(percent, top, top)
+        if most <= PAIRED:
+            counts, hashes = _parts(members, most + 2, tag)
+            i, j = np.triu_indices(most + 2, 1)
+            some = (counts[i] > 0) | (counts[j] > 0)
+            found.append(mix(hashes[i[some]] ^ mix(hashes[j[some]] + tag)))
+            least = (counts == 0).sum() > 1
+        elif percent >= PARTED:
+            n_parts = max(most + 2, int(most / DIFFER) + 1)
+            counts, hashes = _parts(members, n_parts, tag)
+            spare = n_parts - _differ(percent, n, min(top, reach)) - 1
+            fewer = np.cumsum(np.bincount(counts))  # parts of up to so many shingles
+            size = int((fewer <= spare).sum())
+            found.append(hashes[counts >= max(1, size)])
+            least = size == 0
         else:
-            found.append(sums)
+            least = True
+        if least:
+            found.append(mix(members[:n - -(-percent * n // 100) + 1] ^ np.uint64((k + 1) * _LEAST % 2**64)))
     return np.unique(np.concatenate(found)).view(np.int64)
 
 
 def sketch(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``h`` (hash of the set, null if empty), ``offers``."""
+    """``doc_id``, ``n_shingles``, ``h`` (hash of the set, null if empty), ``offers`` (null if an earlier
+    row of the task has them)."""
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("n_shingles", T.LongType()),
                            T.StructField("h", T.LongType()), T.StructField("offers", T.ArrayType(T.LongType()))])
 
     def run(batches):
+        seen = set()
         for b in batches:
             n, h, o = [], [], []
-            for t in b.column(text):
+            for t, named in zip(b.column(text), b.column(key).is_valid().to_pylist()):
                 s = shingle_set(t.as_py(), size)
                 n.append(len(s))
                 h.append(set_hash(s) if len(s) else None)
-                o.append(offers(s, percent) if len(s) else None)
+                fresh = len(s) and named and h[-1] not in seen
+                o.append(offers(s, percent) if fresh else None)
+                if fresh:
+                    seen.add(h[-1])
             yield pa.RecordBatch.from_arrays([b.column(key), pa.array(n, pa.int64()), pa.array(h, pa.int64()),
                                               pa.array(o, pa.list_(pa.int64()))], schema.names)
 
@@ -232,7 +258,7 @@ class SignatureTree:
 def _candidates(classes: DataFrame, sketched: DataFrame) -> DataFrame:
     """``h`` and ``cluster`` of the classes that share an offer with another class."""
     # one shuffle: the sums and the join both use the rows dealt by offer
-    offered = sketched.where(F.col("h").isNotNull()).select("h", F.explode("offers").alias("offer")).repartition("offer")
+    offered = sketched.where(F.col("offers").isNotNull()).select("h", F.explode("offers").alias("offer")).repartition("offer")
     shared = offered.groupBy("offer").agg(F.min("h").alias("low"), F.max("h").alias("high")).where(
         F.col("low") != F.col("high")).select("offer", "low")
     edges = offered.join(shared.hint("merge"), "offer").where(F.col("h") != F.col("low")).select(
@@ -274,7 +300,7 @@ def _links(members: list[tuple], percent: int, two_blocks: bool) -> list[tuple]:
     """Links (a, b) that connect the members (id, block, set) of one task."""
     if len(members) < 2:
         return []
-    if len(members) <= LEAF // 4:
+    if len(members) <= FEW:
         return _few_links(members, percent, two_blocks)
     ids, sides, arrays = zip(*members)
     tree = SignatureTree(list(arrays), percent)

@@ -13,7 +13,7 @@ import corpus_pipeline
 from footfall.llm import katz
 from footfall.llm.common import written
 from footfall.llm.components import components
-from footfall.llm.jaccard_join import SignatureTree, _few_links, jaccard_components, offers
+from footfall.llm.jaccard_join import SignatureTree, _candidates, _few_links, jaccard_components, offers, sketch
 from footfall.llm.registry import queries
 from footfall.llm.shingles import shingle_set, word_hashes, word_list
 from footfall.llm.substring_dedup import (
@@ -96,7 +96,7 @@ def _near_copies(n):
     return out + [(5000, None), (5001, ""), (5002, " \n"), (5003, None)]
 
 
-@pytest.mark.parametrize("size, percent, block", [(3, 90, 3_000_000), (5, 80, 2000)])
+@pytest.mark.parametrize("size, percent, block", [(3, 90, 3_000_000), (5, 80, 2000), (3, 60, 3_000_000)])
 def test_near_copies_equal_brute_force(spark, size, percent, block):
     rows = _near_copies(500)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"h": F.lit("x"), "cluster": F.lit(1)})
@@ -104,19 +104,48 @@ def test_near_copies_equal_brute_force(spark, size, percent, block):
     assert got == _jaccard_groups(rows, size, percent)
 
 
-def test_linked_sets_share_an_offer():
-    random.seed(6)
-    for percent in (80, 90):
-        for n in [*range(1, 40), 57, 90, 128, 129, 300, 1000]:
-            a = np.unique(np.array([random.getrandbits(64) for _ in range(n)], np.uint64))
-            drop = int(n * (100 - percent) / 100)
-            b = a[drop:]  # as small as a linked set can be
+@pytest.mark.parametrize("percent", [30, 40, 50, 60, 70, 74, 75, 80, 85, 90, 95, 100])
+def test_linked_sets_share_an_offer(percent):
+    rng = np.random.default_rng(percent)
+    fresh = lambda n: rng.integers(0, 2**64, n, np.uint64, False)
+    for n in [*range(1, 45), 57, 60, 90, 100, 128, 129, 300, 1000, 3000]:
+        for _ in range(6):
+            a = np.unique(fresh(n))
+            drop = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+            less = int(n * (100 - percent) / 100)
             half = n * (100 - percent) // (100 + percent)
-            c = np.unique(np.concatenate([a[half:], np.array([random.getrandbits(64) for _ in range(half)], np.uint64)]))
-            for other in (b, c):
-                both = len(np.intersect1d(a, other))
-                assert 100 * both >= percent * (len(a) + len(other) - both)
-                assert set(offers(a, percent).tolist()) & set(offers(other, percent).tolist())
+            for b in (a[less:], np.sort(rng.permutation(a)[less:]), np.unique(np.concatenate([a[half:], fresh(half)])),
+                      np.unique(np.concatenate([rng.permutation(a)[drop:], fresh(max(0, (100 * (n - drop) // percent) - n))]))):
+                both = len(np.intersect1d(a, b))
+                assert 100 * both >= percent * (len(a) + len(b) - both) and len(b)
+                assert set(offers(a, percent).tolist()) & set(offers(b, percent).tolist()), (n, len(b))
+
+
+def test_sets_in_one_range_of_hashes_share_an_offer():
+    """Many empty parts: all shingles lie close together."""
+    rng = np.random.default_rng(1)
+    for percent in (80, 90):
+        for n in (3, 5, 12, 30, 60, 400):
+            a = np.unique(rng.integers(0, 2**40, n, np.uint64))
+            b = np.unique(np.concatenate([rng.permutation(a)[n * (100 - percent) // (100 + percent):], np.array([7], np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= percent * (len(a) + len(b) - both):
+                assert set(offers(a, percent).tolist()) & set(offers(b, percent).tolist())
+
+
+def test_candidates_do_not_percolate(spark):
+    """At the settings of the pipeline, texts that share a passage are few to a component."""
+    random.seed(2)
+    word = lambda: f"v{random.randrange(3000)}"
+    passages = [[word() for _ in range(60)] for _ in range(12)]
+    rows = []
+    for i in range(600):
+        w = [word() for _ in range(random.randrange(500, 900))]
+        w[50:50] = random.choice(passages)
+        rows.append((i, " ".join(w)))
+    known = written(sketch(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 5, 80), "s")
+    classes = known.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
+    assert _candidates(classes, known).groupBy("cluster").count().where("count > 25").count() == 0
 
 
 def test_tree_finds_what_all_pairs_find():
@@ -137,14 +166,14 @@ def test_tree_finds_what_all_pairs_find():
 def test_few_members_are_joined_as_by_a_tree():
     rows = _near_copies(200)[:200]
     sets = [shingle_set(t, 3) for _, t in rows]
-    for a in range(0, 200, 8):
-        part = [(i, i % 2, sets[i]) for i in range(a, a + 8)]
+    for a in range(0, 200, 4):
+        part = [(i, i % 2, sets[i]) for i in range(a, a + 4)]
         for two in (False, True):
-            tree, few = SignatureTree([s for _, _, s in part], 80), Groups(range(a, a + 8))
+            tree, few = SignatureTree([s for _, _, s in part], 80), Groups(range(a, a + 4))
             tree.join([k for _, k, _ in part] if two else None)
             for x, y in _few_links(part, 80, two):
                 few.join(x, y)
-            assert all((tree.find(i) == tree.find(j)) == (few.find(a + i) == few.find(a + j)) for i in range(8) for j in range(8))
+            assert all((tree.find(i) == tree.find(j)) == (few.find(a + i) == few.find(a + j)) for i in range(4) for j in range(4))
 
 
 def test_rows_of_one_id_are_one_document(spark):
