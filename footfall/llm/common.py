@@ -39,6 +39,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` as a table bucketed by ``key`` in the shared folder: joins by that key do not move it."""
+    spark, n = df.sparkSession, partitions(df.sparkSession)
+    path = scratch_path(spark, name)
+    known = "footfall_" + path.rsplit("-", 1)[-1]
+    df.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(known)
+    return spark.table(known)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -18,9 +18,10 @@ words beside a run travel to it, ``CONTEXT`` of them first, more in further roun
 runs that used them up, no more than lie before the next run from the same kept text.  Runs that overlap or touch make one removed span; words that stand
 nowhere else stay, but for those by which similar paragraphs differ.
 
-Scale: paragraphs travel as a few longs each; collisions are found by pre-aggregated minima
-and maxima, never by collecting a band; texts travel once to be verified,
-and for each round of extension twice (as kept text and as copy).
+Scale: texts are dealt by document once, as a bucketed table, which the later joins (to verify,
+and for each round of extension the kept texts and the copies) read in place.  Paragraphs
+travel once, as a few longs each; collisions are found by the minima and maxima of a band's
+rows, which Spark streams past and spills.
 
 Defined cases: rows without id or text, and texts shorter than a paragraph, have none; rows
 that share an id count as one document, whose paragraphs are not removed for each other, and
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import map_batches, table, written
+from footfall.llm.common import dealt, map_batches, table, written
 from footfall.llm.components import components
 from footfall.llm.jaccard_join import BLOCK, block_pairs, blocked, tree_links
 from footfall.llm.shingles import mix, shingle_hashes, word_hashes, word_list
@@ -196,7 +197,7 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, words: int, blo
     def member(row: dict):
         return row["h"], row["own"], np.frombuffer(row["members"], np.uint64)
 
-    texts = docs.join(wanted.hint("merge"), "doc_id").select("text", "wanted")
+    texts = docs.join(wanted.hint("shuffle_hash"), "doc_id").select("text", "wanted")
     found = written(map_batches(texts, cut, schema).dropDuplicates(["h"]), "paragraph-sets")
     bands = found.join(mixed.select("h", F.col("band").alias("cluster")).distinct().hint("merge"), "h")
     links = tree_links(block_pairs(blocked(bands, block)), member, percent)
@@ -209,12 +210,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     ``kept_start`` (where the first copy stays), ``cluster_id`` of the first paragraph."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where(
         F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    docs = dealt(docs, "doc_id", "passage-texts")
     rows = paragraphs(docs, tune(percent, recall), words, reach)
-    met = rows.groupBy("band").agg(F.min("h").alias("low"), F.max("h").alias("high"),
-                                   F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    met = met.where((F.col("low") != F.col("high")) | (F.col("first") != F.col("last"))).select(
-        "band", (F.col("low") != F.col("high")).alias("mixed"))
-    members = written(rows.join(met.hint("merge"), "band").select(*rows.columns, "mixed"), "colliding")
+    # one shuffle by band; a band's rows stand together, and its extremes tell whether any two meet
+    band = Window.partitionBy("band")
+    met = rows.withColumns({"mixed": F.min("h").over(band) != F.max("h").over(band),
+                            "shared": F.min("doc_id").over(band) != F.max("doc_id").over(band)})
+    members = written(met.where(F.col("mixed") | F.col("shared")).drop("shared"), "colliding")
     similar = _verified(docs, members, percent, words, block)
     names = ("start", "n", "next", "link")
     places = members.select("doc_id", *names, "h").distinct().join(similar, "h", "left").select(
@@ -267,7 +269,7 @@ def _contexts(docs: DataFrame, ends: DataFrame, length: int) -> DataFrame:
                 [*zip(*out)] or [()] * 5, pa.schema(list(zip(schema.names, (
                     pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.bool_())))))], schema.names)
 
-    found = map_batches(docs.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "wanted"), run, schema)
+    found = map_batches(docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "wanted"), run, schema)
     return found.groupBy("kept_doc", "after", "kept_at").agg(F.min(F.struct("context", "more")).alias("kept"))
 
 
@@ -294,7 +296,7 @@ def _reached(docs: DataFrame, ends: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*zip(*out)] or [()] * 9, types)],
                                              ["doc_id", *held, "n", "open"])
 
-    found = map_batches(docs.join(met.hint("merge"), "doc_id").select("doc_id", "text", "ends"), run, schema)
+    found = map_batches(docs.join(met.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "ends"), run, schema)
     found = found.groupBy("doc_id", *held).agg(F.min("n").alias("n"), F.min("open").alias("open"))
     return found.withColumns({c: F.when(F.col("after"), F.col(c) + F.col("n")).otherwise(F.col(c) - F.col("n"))
                               for c in ("at", "kept_at")})

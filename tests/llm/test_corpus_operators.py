@@ -19,7 +19,7 @@ from footfall.llm.shingles import shingle_set, word_hashes, word_list
 from footfall.llm.substring_dedup import (
     WORDS, anchors, cut_words, remove_spans, repeated_spans, tune,
 )
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 
 def _tokens(text):
@@ -134,18 +134,14 @@ def test_sets_in_one_range_of_hashes_share_an_offer():
 
 
 def test_candidates_do_not_percolate(spark):
-    """At the settings of the pipeline, texts that share a passage are few to a component."""
-    random.seed(2)
-    word = lambda: f"v{random.randrange(3000)}"
-    passages = [[word() for _ in range(60)] for _ in range(12)]
-    rows = []
-    for i in range(600):
-        w = [word() for _ in range(random.randrange(500, 900))]
-        w[50:50] = random.choice(passages)
-        rows.append((i, " ".join(w)))
-    known = written(sketch(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 5, 80), "s")
+    """At the settings of the pipeline, few sets are candidates, in components little larger than
+    those of the links, although many documents share passages and lines."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    known = written(sketch(docs, "doc_id", "text", 5, 80), "s").where("h is not null")
     classes = known.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
-    assert _candidates(classes, known).groupBy("cluster").count().where("count > 25").count() == 0
+    found = _candidates(classes, known)
+    assert 0 < found.count() < known.count() / 4
+    assert found.groupBy("cluster").count().agg(F.max("count")).first()[0] < 25
 
 
 def test_tree_finds_what_all_pairs_find():
