@@ -34,7 +34,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,19 +53,29 @@ INDEX = np.dtype([("id", "<i8"), ("named", "<u1"), ("at", "<u8"), ("size", "<u8"
 _HEADER, _HEADER_SIZE = "<4sI32s", 40
 _TRAILER, _TRAILER_SIZE = "<QQQQ4s", 36
 
+SLICE_ROWS = 512  # rows encoded at a time
+
 _codecs: dict[int, Codec] = {}
 
 
+def byte_signs() -> dict[int, str]:
+    """The characters that byte-level vocabularies use for the 256 bytes: printable Latin-1 characters
+    stand for themselves, the other bytes for the characters from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
+
+
 def library_codec(content: str) -> Codec:
-    """Encoder of a ``tokenizers`` file, one per worker: the library encodes each piece once."""
+    """Encoder of a ``tokenizers`` file, one per worker: the library's model encodes each piece of the
+    pattern that is not cached."""
     from tokenizers import Tokenizer
 
     key = hash(content)
     if key not in _codecs:
         _codecs.clear()
-        tokenizer = Tokenizer.from_str(content)
-        tokenizer.encode_special_tokens = True
-        _codecs[key] = Codec({}, lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids)
+        model, signs = Tokenizer.from_str(content).model, byte_signs()
+        _codecs[key] = Codec({}, lambda piece: [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(signs))])
     return _codecs[key]
 
 
@@ -89,8 +99,14 @@ def train(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _shared(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(dictionary) if len(dictionary) >= 8 else None
+def _shared(dictionary: bytes, level: int | None = None) -> zstandard.ZstdCompressionDict | None:
+    """The dictionary, made ready once for a level."""
+    if len(dictionary) < 8:
+        return None
+    shared = zstandard.ZstdCompressionDict(dictionary)
+    if level is not None:
+        shared.precompute_compress(level=level)
+    return shared
 
 
 def _as_files(rows: DataFrame, path: str) -> None:
@@ -106,7 +122,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
         content = f.read()
     width, end = _width(content), struct.pack("<I", end_id)
     d = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows, size = d.select(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    seen = Observation()
+    d_seen = d.observe(seen, F.sum(F.octet_length("text")).alias("bytes"))
 
     def ids_of(batches):
         codec = library_codec(content)
@@ -115,16 +132,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
             yield pa.RecordBatch.from_arrays([pa.array([_serial((i + end)[:4 * SAMPLE_IDS], width) for i in found], pa.binary())], ["ids"])
 
     chance = F.xxhash64(F.lit(7), "id", "text")
-    some = d.where(F.pmod(chance, F.lit(max(1, rows // (4 * SAMPLE_ROWS)))) == 0).orderBy(chance).limit(SAMPLE_ROWS).select("text")
+    some = written(d_seen.orderBy(chance, "id").limit(SAMPLE_ROWS).select("text"), "token-sample")
+    size = seen.get["bytes"] or 0
     dictionary = train([r.ids for r in map_batches(some, ids_of, "ids binary").collect()])
     mark = hashlib.sha256(dictionary).digest()
     _as_files(spark.createDataFrame([(dictionary,)], "row binary").coalesce(1), f"{path}/dictionary")
 
     def run(batches):
-        codec, packer = library_codec(content), zstandard.ZstdCompressor(level=LEVEL, dict_data=_shared(dictionary))
+        codec, packer = library_codec(content), zstandard.ZstdCompressor(level=LEVEL, dict_data=_shared(dictionary, LEVEL))
         header = struct.pack(_HEADER, MAGIC, width, mark)
         at, total, index, first = len(header) + 1, 0, [], [header]
-        for b in batches:
+        for b in (b.slice(low, SLICE_ROWS) for b in batches for low in range(0, b.num_rows, SLICE_ROWS)):
             out, first = first, []
             for k, ids in zip(b.column(0).to_pylist(), codec.encode(b.column(1).to_pylist())):
                 ids += end
@@ -182,8 +200,8 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                 data = memoryview(cell.as_buffer())
                 index, _ = read_index(lambda at, n: data[at:at + n], len(data))
                 width = _width_of(data[:_HEADER_SIZE], dictionary)
-                for low in range(0, len(index), 1 << 12):
-                    part = index[low:low + (1 << 12)]
+                for low in range(0, len(index), SLICE_ROWS):
+                    part = index[low:low + SLICE_ROWS]
                     arrays = [_ids(reader.decompress(data[a:a + s]), width) for a, s in zip(part["at"].tolist(), part["size"].tolist())]
                     cols = [pa.array([number] * len(part), pa.int64()),
                             pa.array(part["id"].astype(np.int64), mask=part["named"] == 0), pa.array(part["before"].astype(np.int64)),
