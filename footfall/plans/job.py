@@ -4,7 +4,8 @@
            -> save new state version -> {dwell report, home-flow report} -> sinks
 
 * The run's slices are one multi-path (or partition-pruned) read — no per-slice jobs.
-* The merged state is *written* before the reports read it: the write is the lineage
+* A run writes what its slices add to the state; reading merges the chain of versions.
+* The state is *written* before the reports read it: the write is the lineage
   cut (the reports and the next run read the same committed files), so a lost executor
   never forces a recomputation from the raw slices, and no ``persist`` is needed.
 * The state is the per-visitor summary (bounded by people x districts), not raw rows.
@@ -20,7 +21,7 @@ from footfall.constants import DEFAULT_LAST_N
 from footfall.functions.slices import batch_stamp, last_n_slices, state_day, until_now_slices
 from footfall.plans import rolling
 from footfall.plans.reports import dwell_report, home_report
-from footfall.sinks.state import latest_state_path, prune_states, read_state, save_state
+from footfall.sinks.state import latest_state_path, prune_states, read_state
 from footfall.sources.signal_text import read_signal, read_signal_partitioned, slice_outcome
 
 
@@ -61,15 +62,12 @@ def run_visitor_job(spark: SparkSession, root: str, as_of: str, dim: DataFrame,
     else:
         raise ValueError(layout)
 
-    old = None
+    old_path = None
     if rolling.use_old_state(as_of, n, reset):
         day = state_day(stamp) if reset == "by_day" else None
-        path = latest_state_path(spark, state_root, before=stamp, day=day)
-        old = read_state(spark, path) if path else None
-    state = rolling.step(old, rows, dim, residence, mode=mode, refilter=refilter,
-                         dim_broadcast=dim_broadcast)
-
-    path = save_state(state, state_root, stamp)
+        old_path = latest_state_path(spark, state_root, before=stamp, day=day)
+    path = rolling.save_step(old_path, rows, dim, residence, state_root, stamp, mode=mode, refilter=refilter,
+                             dim_broadcast=dim_broadcast)
     visits = rolling.state_visits(read_state(spark, path))
     dur, home = dwell_report(visits, stamp), home_report(visits, stamp)
     if sink is not None:

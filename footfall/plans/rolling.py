@@ -10,6 +10,9 @@ Two layouts:
 
 Rows are cleaned of residents/staff when they arrive; a later residence table does not
 clean older state unless ``refilter=True``.
+
+``step`` computes a whole state; ``save_step`` writes a version, as a rule only what the run's
+slices add (``sinks.state``).
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from footfall.functions.slices import needs_reset
 from footfall.operators.joins import district_join, drop_residents
 from footfall.operators.visits import merge_summaries, visit_summary
 from footfall.plans.reports import HOME_ATTRS, visits
+from footfall.sinks.state import compaction_due, read_state, save_state
 
 MODES = ("aggregate", "raw")
 # What both reports read; ALL_ATTRS (footfall.operators.visits) also keeps user_number
@@ -43,16 +47,21 @@ def is_raw(state: DataFrame) -> bool:
     return "end_time" in state.columns
 
 
+def _attrs(state: DataFrame) -> tuple[str, ...]:
+    """The attributes that a state carries."""
+    return tuple(a for a in ("user_number", "city_id", "district_name") if a in state.columns) + \
+        (("home",) if "home_province" in state.columns else ())
+
+
 def step(state: DataFrame | None, new_rows: DataFrame, dim: DataFrame,
          residence: DataFrame | None, mode: str = "aggregate", refilter: bool = False,
-         dim_broadcast: bool | None = None, attrs=STATE_ATTRS) -> DataFrame:
+         dim_broadcast: bool | None = None, attrs=STATE_ATTRS, watch=None) -> DataFrame:
     """State after one run = old state ∪ the run's cleaned rows (merged).
     In the aggregate layout the new summary carries the same attributes as the state."""
     if state is not None and mode == "aggregate" and not is_raw(state):
-        have = set(state.columns)
-        attrs = tuple(a for a in ("user_number", "city_id", "district_name") if a in have) + \
-            (("home",) if "home_province" in have else ())
+        attrs = _attrs(state)
     new = initial_state(new_rows, dim, residence, mode, dim_broadcast, attrs)
+    new = watch(new) if watch else new
     if state is None:
         merged = new
     elif mode == "aggregate":
@@ -64,6 +73,24 @@ def step(state: DataFrame | None, new_rows: DataFrame, dim: DataFrame,
     return merged
 
 
+def save_step(old_path: str | None, new_rows: DataFrame, dim: DataFrame, residence: DataFrame | None,
+              state_root: str, stamp: str, mode: str = "aggregate", refilter: bool = False,
+              dim_broadcast: bool | None = None, epoch: int | None = None, watch=None) -> str:
+    """``step`` as a new state version on ``old_path``: a delta with the new slices' rows only, unless
+    there is no version to build on, it is of the other layout, everything is filtered anew, or
+    its chain is due for compaction.  ``watch`` (new state -> new state) may observe what is added."""
+    spark, watch = new_rows.sparkSession, watch or (lambda df: df)
+    if old_path is not None:
+        old = read_state(spark, old_path)
+        if not refilter and is_raw(old) == (mode == "raw") and not compaction_due(spark, old_path):
+            new = initial_state(new_rows, dim, residence, mode, dim_broadcast, _attrs(old))
+            return save_state(watch(new), state_root, stamp, epoch=epoch, on=old_path)
+        state = step(old, new_rows, dim, residence, mode, refilter, dim_broadcast, watch=watch)
+    else:
+        state = step(None, new_rows, dim, residence, mode, refilter, dim_broadcast, watch=watch)
+    return save_state(state, state_root, stamp, epoch=epoch)
+
+
 def state_visits(state: DataFrame) -> DataFrame:
     """The per-visitor summary both reports read, from either layout."""
     return visit_summary(state) if is_raw(state) else state

@@ -63,3 +63,15 @@ def opened(spark: SparkSession, path: str):
         yield read
     finally:
         stream.close()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, p = _fs(spark, path)
+    fs.create(p).close()
