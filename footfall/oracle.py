@@ -323,6 +323,9 @@ GROUP BY latn_id, base_statn_id, sector_id""",
     out["visitor_job_home"] = out["visitor_flow_home"]
     for name in ("visitor_job_files", "job_rerun_older", "stream_same_stamp", "stream_late_batch"):
         out[name] = out["visitor_flow_dur"]
+    out["report_copartitioned"] = out["visitor_flow_dur"]
+    # the newest slice is empty: the rows are those until 12:05, the stamp is its own
+    out["stream_restarted"] = _report("dur", until, "202401101215", res_stamps=sig_range, res_days=RES_DAYS_SIGNAL)
     out["signal_quarantine"] = _with() + """SELECT
   CASE v WHEN 0 THEN 'short' WHEN 1 THEN 'integer' ELSE 'time' END AS reason, message_type, imsi,
   CASE v WHEN 2 THEN substr(start_time, 1, 4) || '99' || substr(start_time, 7) ELSE start_time END AS start_time
@@ -338,4 +341,5 @@ SELECT imsi, district_id, user_number, city_id, district_name, home.p AS home_pr
        home.c AS home_city, CAST(min_end_time AS BIGINT) AS min_end_time,
        CAST(max_end_time AS BIGINT) AS max_end_time
 FROM vis"""
+    out["state_deltas"] = out["state_roundtrip"]
     return out

@@ -16,5 +16,6 @@ WEEK_RANGE_DAYS = 5
 ROLLING_N = 3                       # slices per run of the rolling job
 JOB_FIRST_AS_OF = "202401101150"    # visitor_job: rebuild at 11:50, then the 12:05 run
 JOB_LATER = ["202401101220", "202401101235"]  # job_rerun_older: later runs, then 12:05 again
+STREAM_EXTRA = ["202401101210", "202401101215"]  # stream_restarted: a slice of bad lines, an empty one
 CELL_LOAD_HOUR = 2024011018
 X_STAY_SECONDS = 4 * 3600

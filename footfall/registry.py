@@ -38,9 +38,10 @@ from footfall.plans import reports, residence, rolling
 from footfall.plans.job import run_visitor_job
 from footfall.schemas import SIGNAL_COLUMNS
 from footfall.session import scratch_path
+from footfall.sinks.state import BUCKETS as STATE_BUCKETS
 from footfall.sinks.state import latest_state, load_state, read_state, save_state
-from footfall.sinks.tables import save_dim, save_residence, save_residence_two_pass
-from footfall.sources import fixtures
+from footfall.sinks.tables import save_dim, save_residence, save_residence_bucketed, save_residence_two_pass
+from footfall.sources import fixtures, fs
 from footfall.sources.signal_text import (
     SLICE_SUBDIR,
     format_signal_lines,
@@ -49,8 +50,8 @@ from footfall.sources.signal_text import (
     read_signal_quarantine,
     write_slices,
 )
-from footfall.sources.tables import read_dim, read_residence, seed_dim
-from footfall.streaming.slices_stream import merge_batch
+from footfall.sources.tables import read_dim, read_residence, read_residence_bucketed, seed_dim
+from footfall.streaming.slices_stream import merge_batch, stamped_files, start_visitor_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -444,14 +445,21 @@ def q_job_rerun_older(spark, sf_dir):
     return run(P.AS_OF, P.ROLLING_N).dwell
 
 
+def _newest_report(spark, state_root):
+    """The dwell report of the newest state version."""
+    stamp, path = latest_state(spark, state_root)
+    return reports.dwell_report(rolling.state_visits(read_state(spark, path)), stamp)
+
+
 def _streamed(spark, sf_dir, batches):
-    """The dwell report after micro-batches (lines with their file stamp) in the given order."""
+    """The dwell report after micro-batches in the given order: lines with their file stamp, and the
+    stamps of the batch's slices."""
     state_root = scratch_path(spark, "stream-state")
     dim, res = _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False)
-    for epoch, batch in enumerate(batches):
-        merge_batch(batch, dim, res, state_root, epoch=epoch)
-    stamp, path = latest_state(spark, state_root)
-    return reports.dwell_report(rolling.state_visits(read_state(spark, path)), stamp)
+    for epoch, (lines, stamps) in enumerate(batches):
+        files = stamped_files(spark.createDataFrame([(f"sig_{s}.txt",) for s in stamps], "file string"))
+        merge_batch(lines, dim, res, state_root, epoch=epoch, files=files)
+    return _newest_report(spark, state_root)
 
 
 def q_stream_same_stamp(spark, sf_dir):
@@ -459,16 +467,68 @@ def q_stream_same_stamp(spark, sf_dir):
     rows = slice_rows(spark, sf_dir, P.UNTIL_NOW)
     part = lambda k: format_signal_lines(rows.where(F.pmod(F.xxhash64("imsi", "end_time"), F.lit(2)) == k),
                                          keep=(F.lit(P.AS_OF).alias("slice"),))
-    return _streamed(spark, sf_dir, [part(0), part(1)])
+    return _streamed(spark, sf_dir, [(part(0), [P.AS_OF]), (part(1), [P.AS_OF])])
 
 
 def q_stream_late_batch(spark, sf_dir):
     """I4: the newest slices first, older ones in a late micro-batch, an early one last."""
-    lines = lambda stamps: format_signal_lines(slice_rows(spark, sf_dir, stamps, keep_stamp=True), keep=("slice",))
+    def lines(stamps):
+        return format_signal_lines(slice_rows(spark, sf_dir, stamps, keep_stamp=True), keep=("slice",)), stamps
+
     n = P.ROLLING_N
     return _streamed(spark, sf_dir, [lines(P.UNTIL_NOW[:n]), lines(P.UNTIL_NOW[4 * n:]), lines(P.UNTIL_NOW[n:4 * n])])
 
 
+def q_stream_restarted(spark, sf_dir):
+    """I4: a stream over slice files, a few files a batch, stopped and started again from its
+    checkpoint when more have come: a late slice, one whose lines are all cut off, and an empty
+    one, which is the newest and names the report."""
+    root, n = scratch_path(spark, "stream-files"), P.ROLLING_N
+    state_root, checkpoint = f"{root}-state", f"{root}-checkpoint"
+    dim, res = _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False)
+
+    def put(stamps, name):
+        _write_files(format_signal_lines(slice_rows(spark, sf_dir, stamps)), root, name)
+
+    def go():
+        start_visitor_stream(spark, root, dim, res, state_root, checkpoint, max_files=6).awaitTermination()
+
+    put(P.UNTIL_NOW[4 * n:], P.UNTIL_NOW[4 * n])
+    put(P.UNTIL_NOW[:n], P.AS_OF)
+    go()
+    put(P.UNTIL_NOW[n:4 * n], P.UNTIL_NOW[n])
+    bad, empty = P.STREAM_EXTRA
+    cut = F.substring_index("value", "|", 5).alias("value")
+    _write_files(format_signal_lines(slice_rows(spark, sf_dir, P.UNTIL_NOW[:n])).select(cut), root, bad)
+    fs.touch(spark, f"{root}/{SLICE_SUBDIR}/200/sig_{empty}.txt")
+    go()
+    return _newest_report(spark, state_root)
+
+
+def q_state_deltas(spark, sf_dir):
+    """A whole day state, then runs that each write only what their slices add; the newest
+    version read back by merging its chain."""
+    root, n = scratch_path(spark, "delta-state"), P.ROLLING_N
+    dim, res = _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False)
+    path = save_state(rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW[4 * n:]), dim, res, dim_broadcast=NO_CHECK,
+                                            attrs=ALL_ATTRS), root, P.UNTIL_NOW[4 * n])
+    for k in range(3, -1, -1):
+        stamps = P.UNTIL_NOW[k * n:(k + 1) * n]
+        path = rolling.save_step(path, slice_rows(spark, sf_dir, stamps), dim, res, root, stamps[0], dim_broadcast=NO_CHECK)
+    return load_state(spark, root, before="999912312359")
+
+
+def q_report_copartitioned(spark, sf_dir):
+    """J2 without a shuffle: a stored state of all people against a stored residence, both
+    bucketed by person and district -> R1."""
+    root = scratch_path(spark, "bucketed")
+    visits = reports.visits(slice_rows(spark, sf_dir, P.UNTIL_NOW), _dim(spark, sf_dir), None, NO_CHECK, reports.DWELL_ATTRS)
+    path = save_state(visits, f"{root}/state", P.AS_OF)
+    save_residence_bucketed(_residence_frame(spark, sf_dir, dense=False), f"{root}/residence", STATE_BUCKETS)
+    stored = read_residence_bucketed(spark, f"{root}/residence", STATE_BUCKETS)
+    return reports.dwell_report(drop_residents(read_state(spark, path), stored), P.AS_OF)
+
+
 def q_visitor_job(spark, sf_dir):
     return _visitor_job(spark, sf_dir).dwell
 
@@ -560,6 +620,9 @@ def queries() -> dict[str, Query]:
         "job_rerun_older": q_job_rerun_older,
         "stream_same_stamp": q_stream_same_stamp,
         "stream_late_batch": q_stream_late_batch,
+        "stream_restarted": q_stream_restarted,
+        "state_deltas": q_state_deltas,
+        "report_copartitioned": q_report_copartitioned,
         "x_week_range": q_x_week_range,
         "x_residents_unshifted": q_x_residents_unshifted,
         "x_stay_4h": q_x_stay_4h,

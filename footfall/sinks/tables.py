@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.visits import VISIT_KEY
+from footfall.sinks.bucketed import save_bucketed
+
 
 def with_audit(df: DataFrame) -> DataFrame:
     """``update_time`` = time of the write."""
@@ -34,6 +37,12 @@ def save_residence_two_pass(residents: DataFrame, staff: DataFrame, target: str,
     write_table(staff, target, "append", fmt)
 
 
+def save_residence_bucketed(residence: DataFrame, path: str, buckets: int, fmt: str = "orc") -> None:
+    """K4: the residence table in a new folder, bucketed and sorted like the day state (same keys,
+    same number of buckets), so that removing residents (J2) moves neither side."""
+    save_bucketed(with_audit(residence), path, VISIT_KEY, buckets, fmt)
+
+
 def save_dim(dim: DataFrame, target: str, fmt: str = "orc") -> None:
     """K6: overwrite the district dimension."""
     write_table(dim, target, "overwrite", fmt)

@@ -75,3 +75,18 @@ def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     fs, p = _fs(spark, path)
     fs.create(p).close()
+
+
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    """A small text file."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p)
+    out.write(bytearray(content.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file's content."""
+    fs, p = _fs(spark, path)
+    with opened(spark, path) as read:
+        return read(0, fs.getFileStatus(p).getLen()).decode()

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from footfall.operators.visits import VISIT_KEY
 from footfall.schemas import DIM_COLUMNS, DIM_DISTRICT
+from footfall.sinks.bucketed import read_bucketed
 
 
 def _table(spark: SparkSession, table: str, fmt: str) -> DataFrame:
@@ -24,6 +26,11 @@ def read_residence(spark: SparkSession, table: str = "residence", fmt: str = "or
     return _table(spark, table, fmt).select("district_id", "imsi")
 
 
+def read_residence_bucketed(spark: SparkSession, path: str, buckets: int, fmt: str = "orc") -> DataFrame:
+    """S6 from ``sinks.tables.save_residence_bucketed``; the number of buckets is the writer's."""
+    return read_bucketed(spark, [path.rstrip("/")], VISIT_KEY, buckets, fmt).select("district_id", "imsi")
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """An empty frame with a schema."""
     return spark.createDataFrame([], schema)

@@ -147,3 +147,10 @@ def test_bounded_broadcast_counts_bytes_too(spark):
 def test_dense_people_grow_with_the_customers(spark, tmp_root):
     spark.range(9000).selectExpr("id AS c_custkey").write.parquet(f"{tmp_root}/customer.parquet")
     assert fixtures._dense_people(spark, tmp_root) == 90 and fixtures._dense_people(spark, SF_SMALL) == 15
+
+
+def test_copartitioned_removal_moves_neither_side(spark):
+    with _conf(spark, **NO_AUTO):
+        plan = _plan(registry.queries()["report_copartitioned"](spark, SF_SMALL))
+    join = plan[plan.index("LeftAnti"):]
+    assert "SortMergeJoin" in plan and "Exchange" not in join and join.count("Bucketed: true") == 2

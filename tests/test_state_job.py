@@ -6,14 +6,16 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from footfall.plans import rolling
 from footfall.plans.job import run_visitor_job
 from footfall.plans.reports import dwell_report, home_report, visits
-from footfall.sinks.state import StatePruned, latest_state, latest_state_path, load_state, prune_states, read_state, save_state
+from footfall.sinks.state import StatePruned, compaction_due, latest_state, latest_state_path, load_state, prune_states, read_state, save_state
 from footfall.sinks.tables import append_report, save_quarantine, save_residence, save_residence_two_pass
-from footfall.sources import fixtures
-from footfall.sources.signal_text import read_signal
+from footfall.sources import fixtures, fs
+from footfall.sources.signal_text import clean, parse_signal_lines, read_signal
 from footfall.sources.tables import read_residence
 from footfall.functions.slices import until_now_slices
+from footfall.streaming.ledger import admitted_files, slices_so_far
 from footfall.streaming.slices_stream import merge_batch, stamp_in_name, start_visitor_stream
 from tests.conftest import SF_MID
 from tests.slice_files import signal_rows, write_slice_files
@@ -62,6 +64,52 @@ def test_pruning_keeps_days_and_marks_what_is_gone(spark, tmp_root):
     assert prune_states(spark, os.path.join(tmp_root, "none")) == 0
 
 
+def _summary(spark, people):
+    return spark.createDataFrame([(i, d, 200, "P", 7, t, t + 100) for i, d, t in people],
+                                 "imsi string, district_id int, city_id int, home_province string, home_city int, "
+                                 "min_end_time long, max_end_time long")
+
+
+def test_delta_versions_merge_on_read(spark, tmp_root):
+    root = os.path.join(tmp_root, "state")
+    base = save_state(_summary(spark, [(f"p{i}", 1, 20240110100000) for i in range(3000)]), root, "202401101200")
+    one = save_state(_summary(spark, [("p1", 1, 20240110090000), ("new", 1, 20240110100000)]), root, "202401101205", on=base)
+    os.makedirs(os.path.join(root, "run=202401101207-0000000003-dead-on0000000002"))  # crashed delta
+    two = save_state(_summary(spark, [("p1", 1, 20240110113000)]), root, "202401101210", on=one)
+    assert latest_state(spark, root) == ("202401101210", two) and fs.size(spark, two) < fs.size(spark, base) / 4
+    rows = {r.imsi: (r.min_end_time, r.max_end_time) for r in read_state(spark, two).collect()}
+    assert len(rows) == 3001 and rows["p1"] == (20240110090000, 20240110113100) and rows["p2"] == (20240110100000, 20240110100100)
+    assert read_state(spark, one).where("imsi = 'p1'").first().max_end_time == 20240110100100  # a late run's view
+    assert read_state(spark, base).count() == 3000 and not compaction_due(spark, two)
+    assert compaction_due(spark, two, max_deltas=2)
+    plan = read_state(spark, two)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # the chain is merged bucket by bucket
+    # a chain that crosses into the days that go keeps what it needs
+    later = save_state(_summary(spark, [("x", 1, 20240114100000)]), root, "202401141200", on=two)
+    save_state(_summary(spark, [("y", 1, 20240113100000)]), root, "202401131200")
+    assert prune_states(spark, root, keep_days=2) == 1  # the crashed delta only
+    assert read_state(spark, later).count() == 3002
+
+
+def test_runs_write_in_proportion_to_their_slices(spark, tmp_root):
+    dim = _day_files(spark, tmp_root)
+    state_root, sizes, paths = os.path.join(tmp_root, "state"), [], []
+    for as_of, n in (("202401101200", 0), ("202401101205", 1), ("202401101210", 1), ("202401101200", 0)):
+        paths.append(run_visitor_job(spark, tmp_root, as_of, dim, None, state_root, n=n).state_path)
+        sizes.append(fs.size(spark, paths[-1]))
+    assert max(sizes[1:3]) < sizes[0] / 4 and "-on" in paths[1] and "-on" not in paths[3]
+
+
+def test_chains_are_compacted(spark, tmp_root):
+    root, path = os.path.join(tmp_root, "state"), None
+    for k in range(6):
+        rows = _lines(spark, [("s", f"p{k}", 5, "20500")]).select("value")
+        path = rolling.save_step(path, clean(parse_signal_lines(rows)), _cells(spark), None, root, f"2024011012{k:02d}")
+    assert sorted(r.imsi for r in read_state(spark, path).collect()) == [f"p{k}" for k in range(6)]
+    whole = [n for n in os.listdir(root) if n.startswith("run=") and "-on" not in n]
+    assert 2 <= len(whole) <= 4  # deltas as large as the whole version make the next one whole
+
+
 def test_older_run_again_and_readable_reports(spark, tmp_root):
     dim = _day_files(spark, tmp_root)
     state_root = os.path.join(tmp_root, "state")
@@ -153,6 +201,49 @@ def test_empty_run_and_reset(spark, tmp_root):
     assert _rows(fresh.dwell) == _rows(dwell_report(only, "202401100015"))
 
 
+def test_empty_and_bad_slices_name_the_report(spark, tmp_root):
+    root, got = os.path.join(tmp_root, "in"), []
+    folder = os.path.join(root, "AGG", "AGG_3G_BSSAP", "200")
+    os.makedirs(folder)
+
+    def put(stamp, content):
+        with open(os.path.join(folder, f"sig_{stamp}.txt"), "w") as f:
+            f.write(content)
+
+    def go():
+        start_visitor_stream(spark, root, _cells(spark), None, os.path.join(tmp_root, "state"), os.path.join(tmp_root, "ckpt"),
+                             sink=lambda d, h, s: got.append((s, d.count())), max_files=1).awaitTermination(600)
+
+    put("202401101205", _lines(spark, [("s", "a", 5, "20500")]).first().value + "\n")
+    go()
+    assert got == [("202401101205", 1)]
+    put("202401101210", "cut|off\n")
+    go()  # a restart from the checkpoint, with a slice of bad lines
+    put("202401101215", "")
+    go()  # and one with an empty slice only
+    put("202401101150", "")
+    go()  # an early empty slice does not move the stamp back
+    assert got == [("202401101205", 1), ("202401101210", 1), ("202401101215", 1), ("202401101215", 1)]
+    seen = {r.slice: r.epoch for r in slices_so_far(spark, os.path.join(tmp_root, "state")).collect()}
+    assert sorted(seen) == ["202401101150", "202401101205", "202401101210", "202401101215"] and len(set(seen.values())) == 4
+
+
+def test_files_of_a_batch_after_the_source_log_is_compacted(spark, tmp_root):
+    ckpt = os.path.join(tmp_root, "ckpt")
+    os.makedirs(os.path.join(ckpt, "sources", "0"))
+    os.makedirs(os.path.join(ckpt, "offsets"))
+    entry = lambda n: '{"path":"file:///in/sig%%20%d.txt","timestamp":1,"batchId":%d}' % (n, n)
+    for name, ids in (("2.compact", (0, 1, 2)), ("3", (3,)), ("4", (4,))):
+        with open(os.path.join(ckpt, "sources", "0", name), "w") as f:
+            f.write("\n".join(["v1", *map(entry, ids)]))
+    for epoch, last in ((0, 0), (1, 2), (2, 3)):
+        with open(os.path.join(ckpt, "offsets", str(epoch)), "w") as f:
+            f.write('v1\n{"batchWatermarkMs":0}\n{"logOffset":%d}' % last)
+    files = lambda epoch: sorted(r.file for r in admitted_files(spark, ckpt, epoch).collect())
+    assert files(0) == ["file:///in/sig 0.txt"] and files(1) == ["file:///in/sig 1.txt", "file:///in/sig 2.txt"]
+    assert files(2) == ["file:///in/sig 3.txt"]
+
+
 def test_available_now_stream_equals_batch(spark, tmp_root):
     dim = _day_files(spark, tmp_root)
     # keep only today's slices up to 12:05 so the stream and the batch see the same files
