@@ -12,12 +12,15 @@ guard bit each), 4 hold a lane, the last the number of units modulo 2^32.
 
 Defined cases: a null text counts as empty; the empty text has the zero vector, equal to
 itself (likeness 1) and unlike any other text (0).  Repeated rows get equal fingerprints;
-other columns pass through ``fingerprinted``, where ``fp`` is overwritten.  More than 2^20
+other columns pass through, whatever their names; a column named like a result is overwritten.  More than 2^20
 units of one text wrap around, as defined by the sums; equality is unaffected.
 """
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,16 +112,35 @@ def likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """``df`` with one column per pair of fingerprint columns: the estimated share of units
     in common, 2|A and B| / (|A| + |B|), from the vectors alone; 1 for equal, 0 at least."""
     for name, (a, b) in pairs.items():
-        d = df.withColumns({"_x": _centred(F.col(a)), "_y": _centred(F.col(b))})
+        held = [c for c in df.columns if c != name]
+        d = df.select(F.struct(*df.columns).alias("d"), _centred(F.col(a)).alias("x"), _centred(F.col(b)).alias("y"))
         sq = lambda c: F.aggregate(c, F.lit(0.0), lambda t, v: t + v * v)
-        d = d.withColumns({"_d": sq(F.zip_with("_x", "_y", lambda x, y: (x - y).cast("double"))),
-                           "_n": sq(F.col("_x").cast("array<double>")) + sq(F.col("_y").cast("array<double>"))})
-        est = F.greatest(F.lit(0.0), 1 - F.col("_d") / F.nullif(F.col("_n"), F.lit(0.0)))
-        df = d.withColumn(name, F.when(F.col(a) == F.col(b), 1.0).otherwise(F.coalesce(est, F.lit(0.0)))).drop(
-            "_x", "_y", "_d", "_n")
+        d = d.select("d", sq(F.zip_with("x", "y", lambda x, y: (x - y).cast("double"))).alias("apart"),
+                     (sq(F.col("x").cast("array<double>")) + sq(F.col("y").cast("array<double>"))).alias("all"))
+        est = F.greatest(F.lit(0.0), 1 - F.col("apart") / F.nullif(F.col("all"), F.lit(0.0)))
+        same = F.col("d")[a] == F.col("d")[b]
+        df = d.select(*[F.col("d")[c].alias(c) for c in held],
+                      F.when(same, 1.0).otherwise(F.coalesce(est, F.lit(0.0))).alias(name))
     return df
 
 
+def _range(key: str, kind: str, ends: list) -> tuple[Column, Column]:
+    """Number of the range that ``key`` falls in (0 for null), and whether it is the range's end.
+
+    The ends are one literal, whatever their number, in groups: a row looks through the groups'
+    last ends and through one group.
+    """
+    step = max(1, math.isqrt(len(ends)))
+    groups = [ends[i:i + step] for i in range(0, len(ends), step)]
+    held = F.from_json(F.lit(json.dumps([{"last": g[-1], "ends": g} for g in groups])), f"array<struct<last: {kind}, ends: array<{kind}>>>")
+    k = F.col(key)
+    before = lambda x: F.coalesce(F.size(F.filter(x, lambda e: e < k)), F.lit(0))
+    group = F.coalesce(F.size(F.filter(held, lambda g: g["last"] < k)), F.lit(0))
+    inside = before(F.get(held, group)["ends"])
+    return (F.when(k.isNull(), 0).otherwise(group * step + inside),
+            F.coalesce(F.get(F.get(held, group)["ends"], inside) == k, F.lit(False)))
+
+
 def with_next(df: DataFrame, key: str, carry: list[str]) -> DataFrame:
     """``df`` with ``next``: a struct of ``carry`` of the next row in descending ``key``, that
     of the first row after the last.
@@ -133,19 +155,18 @@ def with_next(df: DataFrame, key: str, carry: list[str]) -> DataFrame:
     ends = df.select(F.percentile_approx(key, [(i + 1) / n for i in range(n)], 100_000).alias("q"),
                      F.max(key).alias("m")).first()
     ends = sorted({*(ends["q"] or []), ends["m"]} - {None})
-    at = F.lit(0) if not ends else F.coalesce(
-        F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e < F.col(key))), F.lit(0))
-    d = df.select(F.struct(*df.columns).alias("d"), F.struct(*carry).alias("c"), F.col(key).alias("k"),
-                  at.alias("r"))
+    d = df.select(F.struct(*df.columns).alias("d"), F.struct(*carry).alias("c"), F.col(key).alias("k"))
+    if not ends:  # null keys only
+        w = Window.orderBy(F.col("c")[carry[0]])
+        return d.select("d.*", F.coalesce(F.lead("c").over(w), F.first("c").over(w)).alias("next"))
+    at, is_end = _range("k", df.schema[key].dataType.simpleString(), ends)
+    d = d.withColumns({"r": at, "end": is_end})
     copies = F.array(F.struct(F.col("r").alias("r"), F.lit(False).alias("copy")))
-    if ends:
-        end = F.element_at(F.array(*map(F.lit, ends)), F.col("r") + 1)
-        copies = F.when(F.col("k") == end, F.concat(copies, F.array(F.struct(
-            ((F.col("r") + 1) % len(ends)).alias("r"), F.lit(True).alias("copy"))))).otherwise(copies)
-    d = d.select("d", "c", "k", F.explode(copies).alias("x")).select("d", "c", "k", "x.r", "x.copy")
+    more = F.array(F.struct(((F.col("r") + 1) % len(ends)).alias("r"), F.lit(True).alias("copy")))
+    d = d.select("d", "c", "k", F.explode(F.when(F.col("end"), F.concat(copies, more)).otherwise(copies)).alias("x"))
+    d = d.select("d", "c", "k", "x.r", "x.copy")
     w = Window.partitionBy("r").orderBy("copy", F.col("k").desc_nulls_last(), F.col("c")[carry[0]])
-    d = d.withColumn("next", F.lead("c").over(w)).withColumn("first", F.first("c").over(w))
-    return d.where(~F.col("copy")).select("d.*", F.coalesce("next", "first").alias("next"))
+    return d.withColumn("next", F.lead("c").over(w)).where(~F.col("copy")).select("d.*", "next")
 
 
 def op1_fingerprints(spark, sf_dir):

@@ -1,7 +1,10 @@
 """Main text of web pages by tree scoring (operator 8).
 
 A page becomes a tree; elements that are never article text (scripts, menus, forms, reader
-comments, ...) are cut off by tag, role and class words.  Each paragraph of text gives points
+comments, ...) are cut off by tag, role, and class names or ids made up of such words
+(``ad-box``).  A name that has one among other words (``notice-of-death``) only makes its element
+doubtful: its text gives a quarter of the points, and it is left out beside the chosen
+container, or inside it if half of its text is links.  Each paragraph of text gives points
 for its length and commas to its ancestors, fewer the further up; points are discounted by
 the share of link text.  The best container is kept, with siblings that look like parts of
 the same article.  Article and main elements help to choose: containers in them count a
@@ -48,20 +51,27 @@ CUT_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertis
              "pagination", "popup", "promo", "promotion", "related", "recommended", "replies", "respond", "share",
              "sharing", "sidebar", "sidebars", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
              "subscription", "toolbar", "topbar", "widget"}
+#: Words that say nothing about the content in a class name or id.
+LAYOUT_WORDS = {"area", "bar", "block", "body", "bottom", "box", "col", "column", "container", "content", "footer", "group",
+                "header", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "panel", "right",
+                "row", "section", "site", "slot", "text", "title", "top", "unit", "wrap", "wrapper", "zone"}
 HOMES = {"article", "main"}
+DOUBT = 0.25
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?![\w-])\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")  # an unquoted value may end in a slash
 _WORD_ENDS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "attributes", "score", "total", "length", "links")
+    __slots__ = ("tag", "parent", "items", "attributes", "score", "total", "length", "links", "doubtful")
 
     def __init__(self, tag, parent, attributes=""):
         self.tag, self.parent, self.attributes = tag, parent, attributes
         self.items, self.score, self.total, self.length, self.links = [], 0.0, 0.0, 0, 0
+        self.doubtful = False
 
 
 def _unwanted(node: Node) -> bool:
@@ -83,9 +93,13 @@ def _unwanted(node: Node) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and node.tag not in HOMES and not CUT_WORDS.isdisjoint(
-                _WORD_ENDS.split(_CAMEL.sub(" ", value).lower())):
-            return True
+        if name in ("class", "id") and node.tag not in HOMES:
+            for label in value.split():
+                words = {w for w in _WORD_ENDS.split(_CAMEL.sub(" ", label).lower()) if w and not w.isdigit()}
+                if not CUT_WORDS.isdisjoint(words):
+                    if words <= CUT_WORDS | LAYOUT_WORDS:
+                        return True
+                    node.doubtful = True
     return False
 
 
@@ -171,7 +185,7 @@ def parse(page: str) -> Node:
                 cut = node
             else:
                 here.items.append(node)
-        if tag not in VOID and not attributes.endswith("/"):
+        if tag not in VOID and not _SELF_CLOSED.search(attributes):
             here = node
         elif cut is node:
             cut = None
@@ -219,6 +233,8 @@ def _score(root: Node) -> list[Node]:
         inner = [x for x in node.items if not isinstance(x, str)]
         node.length = len(" ".join(own.split())) + sum(x.length for x in inner)
         node.links = node.length if node.tag == "a" else sum(x.links for x in inner)
+    for node in order:  # parents before children
+        node.doubtful = node.doubtful or node.parent is not None and node.parent.doubtful
     for node in order:
         inline = all(isinstance(x, str) or x.tag not in BLOCKS for x in node.items)
         direct = sum(len(x.strip()) for x in node.items if isinstance(x, str))
@@ -226,6 +242,7 @@ def _score(root: Node) -> list[Node]:
             continue
         words = " ".join(_blocks([node]))
         points = (1 + words.count(",") + min(3.0, len(words) / 100)) * (1 - node.links / max(1, node.length))
+        points *= DOUBT if node.doubtful else 1
         node.total = points
         up, share = node.parent, 1.0
         for level in range(1, 6):
@@ -261,6 +278,9 @@ def main_text(page: str | None) -> str:
     order = _score(root)
     density = lambda x: x.links / max(1, x.length)
     homes = _homes(order)
+    for x in order:
+        if x.doubtful and density(x) >= 0.5:
+            x.items = []
     best = max(order, key=lambda x: x.score * (1 - density(x)) * (1.25 if id(x) in homes else 1))
     if best.score <= 0:
         found = [x for x in order if x.tag in HOMES and x.length]
@@ -273,7 +293,7 @@ def main_text(page: str | None) -> str:
     for x in best.parent.items:
         if x is best:
             kept.append(x)
-        elif not isinstance(x, str) and density(x) < 0.3 and (
+        elif not isinstance(x, str) and not x.doubtful and density(x) < 0.3 and (
                 x.score * (1 - density(x)) >= floor and (x.tag in HOMES or best.tag not in HOMES) or x.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") and x.length > 0):
             kept.append(x)
     return "\n".join(_blocks(kept))

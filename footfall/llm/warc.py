@@ -177,8 +177,11 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kinds = to_arrow_schema(RECORD)
-    raw = spark.read.option("lineSep", END).text(path).select(
+    raw = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path).select(
         F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"))
+    # files that are not compressed would be cut anywhere: they are read whole
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "*[!z]").load(path).where("length > 0")
+    raw = raw.unionByName(whole.select(F.col("content").alias("value"), F.col("path").alias("file")))
 
     def run(batches):
         archive, name = Archive(), None
@@ -206,7 +209,9 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: ``capture_id``, ``response``, ``request``, ``metadata``.
+    """One nested row per capture: ``capture_id``, ``response``, ``request``, ``metadata`` (those of
+    least id) and ``records``: all other records of the capture than its response, by id, of any type.
+    Records that name no capture, directly or through one record in between, are one of their own.
 
     ``records`` is used more than once; pass a written table.
     """
@@ -231,7 +236,9 @@ def assemble(records: DataFrame) -> DataFrame:
               .withColumn("capture_id", F.coalesce("capture", "far", "id")))
     side = linked.groupBy("capture_id").agg(
         F.min_by(F.when(F.col("kind") == "request", F.col("r")), F.when(F.col("kind") == "request", F.col("id"))).alias("request"),
-        F.min_by(F.when(F.col("kind") == "metadata", F.col("r")), F.when(F.col("kind") == "metadata", F.col("id"))).alias("metadata"))
+        F.min_by(F.when(F.col("kind") == "metadata", F.col("r")), F.when(F.col("kind") == "metadata", F.col("id"))).alias("metadata"),
+        F.transform(F.array_sort(F.collect_list(F.struct("id", "r")), lambda a, b: F.when(a["id"] < b["id"], -1).when(
+            a["id"] > b["id"], 1).otherwise(0)), lambda x: x["r"]).alias("records"))
     return anchors.join(side, "capture_id", "full")
 
 

@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import re
+import struct
 
 import duckdb
+import xxhash
 from pyspark.sql import functions as F
 
 from footfall.llm import sql
@@ -114,6 +116,48 @@ def test_fingerprint_sums_do_not_depend_on_order_and_can_be_undone(spark):
     assert r.s == s[1] and r.t == s[3]
 
 
+def _plain_fingerprint(text):
+    """The sums over the units in plain Python; a unit's hashes chain xxHash64 over a number and the unit."""
+    found = [u for u in re.split(r"\n+|(?<=[.!?])[\x20\t]+", text) if u]
+    out = [0] * 47
+    for u in found:
+        p, q, r, s = (xxhash.xxh64_intdigest(u.encode(), xxhash.xxh64_intdigest(struct.pack("<i", k), 42)) for k in range(4))
+        for part, h in enumerate((p, q)):
+            for i in range(21):
+                for at in (0, 21, 42):
+                    old = out[part * 21 + i] >> at & (2**20 - 1)
+                    new = (old + (h >> i + at & 1)) % 2**20
+                    out[part * 21 + i] += (new - old) << at
+        for k, h in enumerate((r, r >> 32, s, s >> 32)):
+            out[42 + k] = (out[42 + k] + h) % 2**32
+    return "".join(f"{x:016x}" for x in [*out[:46], len(found) % 2**32])
+
+
+def test_fingerprints_equal_plain_sums(spark):
+    texts = ["", "One unit", "A a. B b! C c?\nD d.\n\nA a.", "é 中. 🎉 x\ty.  z", " ".join(f"Sentence {i % 7} of many." for i in range(60))]
+    got = fingerprinted(_docs(spark, list(enumerate(texts)), "id long, text string"), "text").select("id", as_string(F.col("fp")).alias("s"))
+    assert {r.id: r.s for r in got.collect()} == {i: _plain_fingerprint(t) for i, t in enumerate(texts)}
+
+
+def test_likeness_leaves_other_columns(spark):
+    df = fingerprinted(_docs(spark, [(1, "A.", "B.")], "id long, a string, _d string"), "a", "x").withColumn("near", F.lit(7))
+    out = likeness(df, {"near": ("x", "x")})
+    assert sorted(out.columns) == sorted(df.columns) and out.first()._d == "B." and out.first().near == 1.0
+
+
+def test_ranges_are_planned_alike_at_any_number_of_partitions(spark):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(3000)], "k long, v string")
+    before, sizes = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (8, 2000):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            plan = with_next(df, "k", ["v"])._jdf.queryExecution().analyzed()
+            sizes.append(plan.toString().count("("))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sizes[1] <= sizes[0]
+
+
 def test_likeness_estimates_shared_units(spark):
     part = lambda a, b: " ".join(f"Unit {i} of the text." for i in range(a, b))
     rows = [(0, part(0, 300), part(0, 300)), (1, part(0, 300), part(150, 450)), (2, part(0, 300), part(1000, 1300)), (3, "", ""), (4, "", "x")]

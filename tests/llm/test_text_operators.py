@@ -208,6 +208,18 @@ def test_op8_takes_the_article_of_every_page(spark):
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+def test_class_words_are_evidence_only():
+    other = PARAGRAPH.replace(",", ";")
+    page = (f'<body><div class="story"><p class="notice-of-death">{PARAGRAPH}</p><p id="share-of-market-2020">{other}</p>'
+            '<div class="ad">Buy, buy, buy this now, it is cheap</div><div class="ad-box-2"><p>Buy more, and more</p></div>'
+            '<div class="comments-by-readers"><a href="/1">first</a> <a href="/2">second</a></div></div>'
+            f'<div class="related-to-this"><p>{PARAGRAPH} elsewhere</p></div><ul class="adList"><li>buy</li></ul></body>')
+    assert main_text(page) == f"{PARAGRAPH}\n{other}"
+    for around in ("main", "article", "section"):
+        assert main_text(f'<body><nav>x</nav><{around}><p class="menu-of-the-day">{PARAGRAPH}</p><p>{other}</p></{around}></body>') == f"{PARAGRAPH}\n{other}"
+    assert main_text(f'<main><p class=ads/>{other}</p><div data-x=/a/><p>{PARAGRAPH}</p></div><p>{other}</p></main>') == f"{PARAGRAPH}\n{other}"
+
+
 def test_extract_frame(spark):
     df = spark.createDataFrame([(1, f"<p>{PARAGRAPH}</p>", "old"), (None, None, None)], "page_id long, html string, text string")
     out = {r.page_id: (r.text, r.n_chars) for r in extract(df).collect()}
@@ -259,6 +271,34 @@ def test_links_in_other_directions_and_broken_records(spark):
     assert [(b, bad) for _, b, bad in found] == [(b"junk", True), (b"ab", False), (b"WARC/1.0\r\nContent-", True)]
 
 
+def test_all_records_of_a_capture_are_kept(spark):
+    rec = lambda i, t, to: (i, t, "u", "d", to, None, {}, {}, None, 0, "x", False)
+    from footfall.llm.warc import RECORD
+    rows = [rec("r1", "response", []), rec("m2", "metadata", ["r1"]), rec("m1", "metadata", ["r1"]), rec("q1", "request", ["r1"]),
+            rec("q2", "request", ["r1"]), rec("c1", "conversion", ["r1"])]
+    r, = assemble(spark.createDataFrame(rows, RECORD)).collect()
+    assert (r.metadata.record_id, r.request.record_id) == ("m1", "q1")
+    assert [(x.record_id, x.type) for x in r.records] == [("c1", "conversion"), ("m1", "metadata"), ("m2", "metadata"), ("q1", "request"), ("q2", "request")]
+
+
+def test_plain_files_are_read_whole(spark, tmp_root):
+    import gzip
+    import os
+    write_archive(spark.createDataFrame([(i, None, ODD[3] * 3000) for i in range(4)], "page_id long, url string, html string").coalesce(1), f"{tmp_root}/a")
+    os.makedirs(f"{tmp_root}/b")
+    for name in os.listdir(f"{tmp_root}/a"):
+        if name.startswith("part") and name.endswith(".gz"):
+            with gzip.open(f"{tmp_root}/a/{name}") as f, open(f"{tmp_root}/b/{name[:-3]}", "wb") as g:
+                g.write(f.read())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        key = lambda p: sorted((r.record_id, r.payload_digest, r.malformed) for r in read_archive(spark, p).collect())
+        assert key(f"{tmp_root}/a") == key(f"{tmp_root}/b") and len(key(f"{tmp_root}/b")) == 12
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_op4_pages(spark):
     pages = {r.page_id: (r.html or "").encode() for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     first = {}
