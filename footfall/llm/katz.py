@@ -39,12 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_batches, map_groups, partitions, scratch_path, table
+from footfall.llm.common import dealt, map_batches, map_groups, partitions, scratch_path, ship, table
 from footfall.llm.shingles import mix, word_hashes, word_list
 
 ORDER = 2
 MAX_DISCOUNTED = 5
 CHUNK = 1_000_000
+BUCKET_WORDS = 4_000_000  # of the corpus to a bucket, at most
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: The end token's key: a string with a space in it is no word.
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"the end"))
@@ -76,21 +77,16 @@ def _table_of(x: np.ndarray) -> tuple[bytes, bytes]:
     return _pack(values), _pack(at)
 
 
-def _chunks(batches, buckets: int, tokens: int):
-    """(name, ids, null ids, held out, lengths, vocabulary keys, word places) of each chunk;
-    the vocabulary is ordered by bucket and key."""
+def _chunks(batches, tokens: int):
+    """(name, ids, null ids, held out, lengths, vocabulary keys, word places) of each chunk."""
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     ids, none, held, lengths, parts, n, k = [], [], [], [], [], 0, 0
 
     def flush():
         nonlocal ids, none, held, lengths, parts, n, k
         keys, at = np.unique(np.concatenate(parts), return_inverse=True)
-        order = np.lexsort((keys, keys % np.uint64(buckets)))
-        place = np.empty(len(keys), np.int64)
-        place[order] = np.arange(len(keys))
-        at = place[at]
         name = f"{part}-{k}-{xxhash.xxh3_64_hexdigest(at.tobytes() + keys.tobytes() + repr(ids).encode())}"
-        out = name, np.array(ids, np.int64), np.array(none, bool), np.array(held, bool), np.array(lengths), keys[order], at
+        out = name, np.array(ids, np.int64), np.array(none, bool), np.array(held, bool), np.array(lengths), keys, at
         ids, none, held, lengths, parts, n, k = [], [], [], [], [], 0, k + 1
         return out
 
@@ -109,18 +105,21 @@ def _chunks(batches, buckets: int, tokens: int):
         yield flush()
 
 
-def _first_messages(docs: DataFrame, buckets: int, tokens: int) -> DataFrame:
+def _first_messages(contents: DataFrame, buckets: int) -> DataFrame:
     """Words and their training counts, by chunk and bucket."""
 
     def run(batches):
-        for name, _, _, held, lengths, keys, at in _chunks(batches, buckets, tokens):
-            counts = np.bincount(at[np.repeat(~held, lengths)], minlength=len(keys))
-            cuts = np.searchsorted(keys % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
-            rows = [(name, 1, b, keys[x:y].tobytes(), _pack(counts[x:y]), None, None, None)
-                    for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y]
-            yield _batch(rows)
+        for batch in batches:
+            for name, vocabulary, at, lengths, flags in zip(*(batch.column(c).to_pylist() for c in ("chunk", "e", "a", "b", "c"))):
+                keys, held = np.frombuffer(vocabulary, np.uint64), _unpack(flags).astype(np.int64) % 2 == 1
+                trained = _unpack(at).astype(np.int64)[np.repeat(~held, _unpack(lengths).astype(np.int64))]
+                counts, bucket = np.bincount(trained, minlength=len(keys)), keys % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")  # within a bucket, keys stay in order
+                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+                yield _batch([(name, 1, b, keys[order[x:y]].tobytes(), _pack(counts[order[x:y]]), None, None, None)
+                              for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y])
 
-    return map_batches(docs, run, _ROW)
+    return map_batches(contents.select("chunk", "a", "b", "c", "e"), run, _ROW)
 
 
 def _batch(rows) -> pa.RecordBatch:
@@ -130,12 +129,12 @@ def _batch(rows) -> pa.RecordBatch:
                                       ["chunk", "level", "bucket", "a", "b", "c", "d", "e"])
 
 
-def _contents(docs: DataFrame, buckets: int, tokens: int) -> DataFrame:
-    """The chunks themselves: word places, lengths, flags, ids."""
+def _contents(docs: DataFrame, tokens: int) -> DataFrame:
+    """The chunks themselves: number of words, word places, lengths, flags, ids, vocabulary."""
 
     def run(batches):
-        for name, ids, none, held, lengths, keys, at in _chunks(batches, buckets, tokens):
-            yield _batch([(name, 0, len(keys), _pack(at), _pack(lengths), _pack(held + 2 * none), ids.tobytes(), None)])
+        for name, ids, none, held, lengths, keys, at in _chunks(batches, tokens):
+            yield _batch([(name, 0, len(at), _pack(at), _pack(lengths), _pack(held + 2 * none), ids.tobytes(), keys.tobytes())])
 
     return map_batches(docs, run, _ROW)
 
@@ -241,7 +240,7 @@ class _Chunk:
         content = rows[rows["level"] == 0]
         if len(content) != 1:
             raise RuntimeError("the chunks of this reading differ from those of the last; the input changed")
-        _, _, size, a, b, c, d, _ = content.iloc[0][["chunk", "level", "bucket", "a", "b", "c", "d", "e"]]
+        a, b, c, d, e = content.iloc[0][["a", "b", "c", "d", "e"]]
         self.name = content["chunk"].iat[0]
         self.at = _unpack(a).astype(np.int64)
         self.lengths = _unpack(b).astype(np.int64)
@@ -249,10 +248,13 @@ class _Chunk:
         self.held, self.none, self.ids = flags % 2 == 1, flags >= 2, np.frombuffer(d, np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         first = rows[rows["level"] == 1].sort_values("bucket")
-        self.word_ids = np.concatenate([_unpack(x).astype(np.uint64) for x in first["a"]])
-        self.word_counts = np.concatenate([_unpack(x).astype(np.int64) for x in first["b"]])
-        if len(self.word_ids) != size:
+        order = np.argsort(np.frombuffer(e, np.uint64) % np.uint64(buckets), kind="stable")
+        ids = np.concatenate([_unpack(x).astype(np.uint64) for x in first["a"]])
+        if len(ids) != len(order):
             raise RuntimeError("a chunk's answers are incomplete")
+        self.word_ids, self.word_counts = np.empty_like(ids), np.empty(len(ids), np.int64)
+        self.word_ids[order] = ids
+        self.word_counts[order] = np.concatenate([_unpack(x).astype(np.int64) for x in first["b"]])
         p = params[0]
         self.gram, self.gram_ids, self.gram_counts = self.at, self.word_ids, self.word_counts
         self.gram_probs = np.where(self.word_counts > 0, _discounted(p["discounts"], self.word_counts) / p["whole"],
@@ -387,6 +389,16 @@ def _stats(stored: DataFrame) -> list[int]:
     return [r["n"] for r in found.orderBy("pos").collect()] or [0] * (MAX_DISCOUNTED + 3)
 
 
+def _met(contents: DataFrame, answers: DataFrame, run, schema) -> DataFrame:
+    """``run`` on each chunk with its answers; the chunks stay where they lie."""
+    ship(contents.sparkSession)
+
+    def both(content: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        return run(pd.concat([content, own], ignore_index=True))
+
+    return contents.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(both, schema)
+
+
 def _ask(params: list[dict], buckets: int, level: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_Chunk(rows, params, buckets).messages(level), columns=_ANSWER_NAMES[:8])
@@ -398,10 +410,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: st
           chunk: int = CHUNK) -> DataFrame:
     """Scores of all rows under the model of those that are not held out (null counts as not)."""
     spark = docs.sparkSession
-    buckets = partitions(spark)
     docs = docs.select(F.col(key).cast("long"), F.col(held_out), F.col(text))
-    first = _stored(map_groups(_first_messages(docs, buckets, chunk), ["bucket"], _answer_first(buckets), _ANSWER),
-                    "katz-1")
+    contents = dealt(_contents(docs, chunk), "chunk", "katz-chunks")
+    size = contents.agg(F.sum("bucket")).first()[0] or 0
+    buckets = max(partitions(spark), -(-size // BUCKET_WORDS))
+    first = _stored(map_groups(_first_messages(contents, buckets), ["bucket"], _answer_first(buckets), _ANSWER), "katz-1")
     tokens, words, *n = _stats(first)
     d = discounts(n)
     used = sum(d[j] * j * n[j - 1] for j in range(1, MAX_DISCOUNTED + 1)) + (
@@ -411,16 +424,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: st
     params = [{"discounts": d, "whole": whole, "unknown": 1 - used / whole, "tokens": tokens, "words": words, "texts": texts}]
     answers = first.where(F.col("kind") == "answer").drop("kind", "stats")
     for level in range(2, order + 1):
-        met = _contents(docs, buckets, chunk).unionByName(answers)
-        asked = map_groups(met, ["chunk"], _ask(list(params), buckets, level), _ROW)
+        asked = _met(contents, answers, _ask(list(params), buckets, level), _ROW)
         stored = _stored(map_groups(asked, ["bucket"], _answer(level, buckets), _ANSWER), f"katz-{level}")
         _, _, *n = _stats(stored)
         params.append({"discounts": discounts(n)})
         answers = answers.unionByName(stored.where(F.col("kind") == "answer").drop("kind", "stats"))
-    met = _contents(docs, buckets, chunk).unionByName(answers)
-    return map_groups(met, ["chunk"], lambda rows: _Chunk(rows, params, buckets).scores(),
-                      "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                      "base_score double, score double")
+    return _met(contents, answers, lambda rows: _Chunk(rows, params, buckets).scores(),
+                "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                "base_score double, score double")
 
 
 def op2_katz(spark, sf_dir):

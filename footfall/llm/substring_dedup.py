@@ -31,7 +31,6 @@ empty table gives no spans; other columns are ignored here and kept by ``remove_
 
 from __future__ import annotations
 
-import itertools
 import math
 import re
 
@@ -44,7 +43,7 @@ from pyspark.sql import types as T
 from footfall.llm.common import dealt, map_batches, table, written
 from footfall.llm.components import components
 from footfall.llm.jaccard_join import BLOCK, block_pairs, blocked, tree_links
-from footfall.llm.shingles import mix, shingle_hashes, word_hashes, word_list
+from footfall.llm.shingles import hashed_words, mix, shingle_hashes
 
 WORDS = 16
 REACH = 8
@@ -69,17 +68,22 @@ def anchors(hashes: np.ndarray, words: int, reach: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     marks = shingle_hashes(hashes, _ANCHOR)
     top = np.uint64(np.iinfo(np.uint64).max)
-    wide = np.concatenate([np.full(reach, top), marks, np.full(reach, top)])
-    lows = np.lib.stride_tricks.sliding_window_view(wide, reach).min(1)
+    lows = np.concatenate([np.full(reach, top), marks, np.full(reach, top)])
+    width = 1
+    while width < reach:  # minima of windows of ``reach``, by doubling
+        step = min(width, reach - width)
+        lows = np.minimum(lows[:-step], lows[step:])
+        width += step
     before, after = lows[:len(marks)], lows[reach + 1:reach + 1 + len(marks)]
     at = np.flatnonzero((marks < before) & (marks <= after))
     return at[at + words <= len(hashes)]
 
 
-def lined_words(text: str | None) -> tuple[list[bytes], np.ndarray]:
-    """The words of ``word_list`` and the number of them in each line."""
-    lines = [line.split() for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
-    return list(itertools.chain.from_iterable(lines)), np.array([len(x) for x in lines], np.int64)
+def lined_words(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words, and of each line with words the place of its first word and their number."""
+    hashes, lines = hashed_words(text)
+    first = np.flatnonzero(np.diff(lines, prepend=-1))
+    return hashes, first, np.diff(first, append=len(hashes))
 
 
 def _set_hashes(sums: np.ndarray, line: bool) -> np.ndarray:
@@ -131,8 +135,7 @@ def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REA
         for b in batches:
             sizes, cols = [0], [[] for _ in range(bands + 5)]
             for text in b.column(1):
-                found, counts = lined_words(text.as_py())
-                hashes = word_hashes(found)
+                hashes, firsts, counts = lined_words(text.as_py())
                 starts = anchors(hashes, words, reach)
                 long = np.flatnonzero(counts >= words + reach)
                 sizes.append(sizes[-1] + len(starts) + len(long))
@@ -147,7 +150,7 @@ def paragraphs(docs: DataFrame, bands: int, words: int = WORDS, reach: int = REA
                     for c, v in zip(cols, row):
                         c.append(v)
                 if len(long):
-                    at, n = (np.cumsum(counts) - counts)[long], counts[long]
+                    at, n = firsts[long], counts[long]
                     h, low = lined(shingles, minima, at, n)
                     keys = [mix(mix(m ^ _LINE) + np.uint64(i)).view(np.int64) for i, m in enumerate(low)]
                     for c, v in zip(cols, (at, n, at + n, np.zeros(len(at), np.int64), h, *keys)):
@@ -181,7 +184,7 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, words: int, blo
         for b in batches:
             out = []
             for text, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                hashes = word_hashes(word_list(text))
+                hashes, _ = hashed_words(text)
                 shingles = shingle_hashes(hashes, SHINGLE)
                 rows = [r for r in rows if r["start"] + r["n"] <= len(hashes)]
                 sets = [np.unique(shingles[r["start"]:r["start"] + r["n"] - SHINGLE + 1]) for r in rows]
@@ -259,7 +262,7 @@ def _contexts(docs: DataFrame, ends: DataFrame, length: int) -> DataFrame:
         for b in batches:
             out = []
             for i, text, rows in zip(*(c.to_pylist() for c in b.columns)):
-                hashes = word_hashes(word_list(text))
+                hashes, _ = hashed_words(text)
                 for r in rows:
                     at, size = r["kept_at"], r["size"]
                     side = hashes[at:at + size] if r["after"] else hashes[max(0, at - size):at][::-1]
@@ -286,7 +289,7 @@ def _reached(docs: DataFrame, ends: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for i, text, rows in zip(*(c.to_pylist() for c in b.columns)):
-                hashes = word_hashes(word_list(text))
+                hashes, _ = hashed_words(text)
                 for r in rows:
                     at, kept = r["at"], np.frombuffer(r["kept"]["context"], np.uint64)
                     own = hashes[at:at + len(kept)] if r["after"] else hashes[max(0, at - len(kept)):at][::-1]
