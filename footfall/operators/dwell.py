@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.constants import STAMP_FORMAT
@@ -16,11 +16,16 @@ def batch_timestamp(stamp: str):
     return F.to_timestamp_ntz(F.lit(stamp), F.lit(STAMP_FORMAT))
 
 
+def dwell_duration() -> Column:
+    """Seconds from the first to the last end time of a visit summary."""
+    return time_epoch("max_end_time") - time_epoch("min_end_time")
+
+
 def dwell(visits: DataFrame) -> DataFrame:
     """A1: duration = last end time - first end time (seconds) per (imsi, district)."""
     keep = [c for c in ("imsi", "district_id", "user_number", "city_id", "district_name")
             if c in visits.columns]
-    return visits.select(*keep, (time_epoch("max_end_time") - time_epoch("min_end_time")).alias("duration"))
+    return visits.select(*keep, dwell_duration().alias("duration"))
 
 
 def with_section(dwell_df: DataFrame) -> DataFrame:

@@ -13,12 +13,13 @@ from footfall.operators.visits import time_epoch
 from footfall.schemas import VISITOR_FLOW_HOME
 
 
-def recency(visits: DataFrame, stamp: str) -> DataFrame:
-    """A3: seconds from the visitor's last end time to the run's stamp (may be negative)."""
-    keep = [c for c in ("imsi", "district_id", "user_number", "city_id", "district_name",
-                        "home_province", "home_city") if c in visits.columns]
+def recency(visits: DataFrame, stamp: str, keep=()) -> DataFrame:
+    """A3: seconds from the visitor's last end time to the run's stamp (may be negative).
+    ``keep``: further columns to carry."""
+    own = [c for c in ("imsi", "district_id", "user_number", "city_id", "district_name",
+                       "home_province", "home_city") if c in visits.columns]
     return visits.select(
-        *keep,
+        *own, *keep,
         (epoch_seconds(F.lit(stamp), STAMP_FORMAT) - time_epoch("max_end_time")).alias("duration"))
 
 

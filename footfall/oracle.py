@@ -217,6 +217,27 @@ def _rolling_reset_sql() -> str:
                       f"FROM sig0")
 
 
+def _job_counts_sql(until: str, sig_range: str) -> str:
+    broken = "substr(end_time, 1, 4) || '99' || substr(end_time, 7)"
+    missing = ROLLING_N - 1  # of the run's slices only the newest has a file
+    return _with(
+        f"lined AS (SELECT *, (base_statn_id + home_latn_id) % 7 AS v FROM sig0 WHERE {_range_pred('slice_stamp', until)})",
+        f"""usable AS (SELECT * REPLACE (CASE WHEN v = 3 THEN {broken} ELSE end_time END AS end_time)
+  FROM lined WHERE v NOT IN (0, 1))""",
+        _enriched("enr", "usable"), _residence_ctes("sig0", sig_range, RES_DAYS_SIGNAL), _visits_ctes("enr", "r_res"),
+        f"dw AS (SELECT {_epoch('max_end_time')} - {_epoch('min_end_time')} AS duration FROM vis)") + f"""
+SELECT name, CAST(n AS BIGINT) AS n FROM (
+  SELECT 'lines' AS name, count(*) AS n FROM lined
+  UNION ALL SELECT 'short', count(*) FROM lined WHERE v = 0 HAVING count(*) > 0
+  UNION ALL SELECT 'integer', count(*) FROM lined WHERE v = 1 HAVING count(*) > 0
+  UNION ALL SELECT 'time', count(*) FROM lined WHERE v IN (2, 3) HAVING count(*) > 0
+  UNION ALL SELECT 'found', count(*) FROM v_all
+  UNION ALL SELECT 'residents', (SELECT count(*) FROM v_all) - (SELECT count(*) FROM vis)
+  UNION ALL SELECT 'dwell_negative', count(*) FROM dw WHERE duration < 0
+  UNION ALL SELECT 'dwell_unknown', count(*) FROM dw WHERE duration IS NULL
+  UNION ALL SELECT 'missing_slices', {missing})"""
+
+
 def queries() -> dict[str, str]:
     until, dense_range, sig_range = UNTIL, RANGE_DENSE, RANGE_SIGNAL
     enr_all = _enriched("enr", "sig0")
@@ -342,4 +363,11 @@ SELECT imsi, district_id, user_number, city_id, district_name, home.p AS home_pr
        CAST(max_end_time AS BIGINT) AS max_end_time
 FROM vis"""
     out["state_deltas"] = out["state_roundtrip"]
+    numbers = "visitor_number1, visitor_number2, visitor_number3"
+    out["reports_one_pass"] = f"""SELECT 'dwell' AS report, timestamp, city_id, district_id, section_id,
+       NULL AS home_province, NULL AS home_city, visitor_number, {', '.join(f'NULL AS {n}' for n in numbers.split(', '))}
+FROM ({out['visitor_flow_dur']})
+UNION ALL SELECT 'home', timestamp, city_id, district_id, NULL, home_province, home_city, NULL, {numbers}
+FROM ({out['visitor_flow_home']})"""
+    out["job_counts"] = _job_counts_sql(until, sig_range)
     return out

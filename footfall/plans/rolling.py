@@ -20,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from footfall.functions.slices import needs_reset
+from footfall.operators.counts import RunCounts
 from footfall.operators.joins import district_join, drop_residents
 from footfall.operators.visits import merge_summaries, visit_summary
-from footfall.plans.reports import HOME_ATTRS, visits
+from footfall.plans.reports import HOME_ATTRS, visits, without_residents
 from footfall.sinks.state import compaction_due, read_state, save_state
 
 MODES = ("aggregate", "raw")
@@ -33,13 +34,13 @@ STATE_ATTRS = HOME_ATTRS
 
 def initial_state(rows: DataFrame, dim: DataFrame, residence: DataFrame | None,
                   mode: str = "aggregate", dim_broadcast: bool | None = None,
-                  attrs=STATE_ATTRS) -> DataFrame:
-    """State built from scratch from signal rows (I3 when the rows are all of today)."""
+                  attrs=STATE_ATTRS, counts: RunCounts | None = None) -> DataFrame:
+    """State built from scratch from signal rows (I3 when the rows are all of today).  ``counts``
+    gets its rows before and after the removal."""
     if mode == "aggregate":
-        return visits(rows, dim, residence, dim_broadcast, attrs)
+        return visits(rows, dim, residence, dim_broadcast, attrs, counts)
     if mode == "raw":
-        enriched = district_join(rows, dim, dim_broadcast)
-        return enriched if residence is None else drop_residents(enriched, residence)
+        return without_residents(district_join(rows, dim, dim_broadcast), residence, counts)
     raise ValueError(mode)
 
 
@@ -55,13 +56,13 @@ def _attrs(state: DataFrame) -> tuple[str, ...]:
 
 def step(state: DataFrame | None, new_rows: DataFrame, dim: DataFrame,
          residence: DataFrame | None, mode: str = "aggregate", refilter: bool = False,
-         dim_broadcast: bool | None = None, attrs=STATE_ATTRS, watch=None) -> DataFrame:
+         dim_broadcast: bool | None = None, attrs=STATE_ATTRS,
+         counts: RunCounts | None = None) -> DataFrame:
     """State after one run = old state ∪ the run's cleaned rows (merged).
     In the aggregate layout the new summary carries the same attributes as the state."""
     if state is not None and mode == "aggregate" and not is_raw(state):
         attrs = _attrs(state)
-    new = initial_state(new_rows, dim, residence, mode, dim_broadcast, attrs)
-    new = watch(new) if watch else new
+    new = initial_state(new_rows, dim, residence, mode, dim_broadcast, attrs, counts)
     if state is None:
         merged = new
     elif mode == "aggregate":
@@ -75,19 +76,21 @@ def step(state: DataFrame | None, new_rows: DataFrame, dim: DataFrame,
 
 def save_step(old_path: str | None, new_rows: DataFrame, dim: DataFrame, residence: DataFrame | None,
               state_root: str, stamp: str, mode: str = "aggregate", refilter: bool = False,
-              dim_broadcast: bool | None = None, epoch: int | None = None, watch=None) -> str:
+              dim_broadcast: bool | None = None, epoch: int | None = None,
+              counts: RunCounts | None = None) -> str:
     """``step`` as a new state version on ``old_path``: a delta with the new slices' rows only, unless
     there is no version to build on, it is of the other layout, everything is filtered anew, or
-    its chain is due for compaction.  ``watch`` (new state -> new state) may observe what is added."""
-    spark, watch = new_rows.sparkSession, watch or (lambda df: df)
+    its chain is due for compaction.  ``counts`` gets the new slices' people before and after the
+    removal."""
+    spark = new_rows.sparkSession
     if old_path is not None:
         old = read_state(spark, old_path)
         if not refilter and is_raw(old) == (mode == "raw") and not compaction_due(spark, old_path):
-            new = initial_state(new_rows, dim, residence, mode, dim_broadcast, _attrs(old))
-            return save_state(watch(new), state_root, stamp, epoch=epoch, on=old_path)
-        state = step(old, new_rows, dim, residence, mode, refilter, dim_broadcast, watch=watch)
+            new = initial_state(new_rows, dim, residence, mode, dim_broadcast, _attrs(old), counts)
+            return save_state(new, state_root, stamp, epoch=epoch, on=old_path)
+        state = step(old, new_rows, dim, residence, mode, refilter, dim_broadcast, counts=counts)
     else:
-        state = step(None, new_rows, dim, residence, mode, refilter, dim_broadcast, watch=watch)
+        state = step(None, new_rows, dim, residence, mode, refilter, dim_broadcast, counts=counts)
     return save_state(state, state_root, stamp, epoch=epoch)
 
 

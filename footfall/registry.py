@@ -529,6 +529,33 @@ def q_report_copartitioned(spark, sf_dir):
     return reports.dwell_report(drop_residents(read_state(spark, path), stored), P.AS_OF)
 
 
+def q_reports_one_pass(spark, sf_dir):
+    """Both reports from one scan of a saved day state."""
+    root = scratch_path(spark, "one-pass-state")
+    state = rolling.initial_state(slice_rows(spark, sf_dir, P.UNTIL_NOW), _dim(spark, sf_dir),
+                                  _residence(spark, sf_dir, dense=False), dim_broadcast=NO_CHECK)
+    return reports.both_reports(read_state(spark, save_state(state, root, P.AS_OF)), P.AS_OF)
+
+
+def q_job_counts(spark, sf_dir):
+    """What a run of the job counts on the way, over slices in which lines are cut off or
+    hold an unreadable station, start time or end time."""
+    root, state_root = scratch_path(spark, "counted"), scratch_path(spark, "counted-state")
+    v = (F.col("base_statn_id") + F.col("home_latn_id")) % 7
+    month_99 = lambda c: F.concat(F.substring(c, 1, 4), F.lit("99"), F.substring(c, 7, 8))
+    sig = slice_rows(spark, sf_dir, P.UNTIL_NOW).withColumn("v", v).withColumns({
+        "base_statn_id": F.when(F.col("v") == 1, F.lit("x")).otherwise(F.col("base_statn_id").cast("string")),
+        "start_time": F.when(F.col("v") == 2, month_99("start_time")).otherwise(F.col("start_time")),
+        "end_time": F.when(F.col("v") == 3, month_99("end_time")).otherwise(F.col("end_time"))})
+    cut = F.when(F.col("v") == 0, F.substring_index("value", "|", 5)).otherwise(F.col("value"))
+    _write_files(format_signal_lines(sig, keep=("v",)).select(cut.alias("value")), root, P.AS_OF)
+    out = run_visitor_job(spark, root, P.AS_OF, _dim(spark, sf_dir), _residence(spark, sf_dir, dense=False),
+                          state_root, n=P.ROLLING_N, dim_broadcast=NO_CHECK).outcome
+    numbers = {**out["bad"], **{k: out[k] for k in ("lines", "found", "residents", "dwell_negative", "dwell_unknown")},
+               "missing_slices": len(out["missing"])}
+    return spark.createDataFrame(list(numbers.items()), "name string, n long")
+
+
 def q_visitor_job(spark, sf_dir):
     return _visitor_job(spark, sf_dir).dwell
 
@@ -623,6 +650,8 @@ def queries() -> dict[str, Query]:
         "stream_restarted": q_stream_restarted,
         "state_deltas": q_state_deltas,
         "report_copartitioned": q_report_copartitioned,
+        "reports_one_pass": q_reports_one_pass,
+        "job_counts": q_job_counts,
         "x_week_range": q_x_week_range,
         "x_residents_unshifted": q_x_residents_unshifted,
         "x_stay_4h": q_x_stay_4h,

@@ -12,6 +12,8 @@ merge a chain of deltas with its whole version; every version is bucketed by the
 the merge moves no rows.  ``compaction_due`` tells when the chain is long, or its deltas have
 become as large as the whole version; the next run then writes a whole one.
 
+The reports of a version are in ``_reports``, under its name, and go with it.
+
 Pruning drops whole state days and leaves a mark of the newest stamp dropped: a run whose
 predecessor is gone raises ``StatePruned`` instead of taking an empty or older state.  Versions
 that a kept chain needs stay.
@@ -91,6 +93,12 @@ def save_state(state: DataFrame, root: str, stamp: str, fmt: str = "orc", epoch:
     return path
 
 
+def reports_path(path: str) -> str:
+    """The folder of the reports of a version."""
+    root, name = path.rstrip("/").rsplit("/", 1)
+    return f"{root}/_reports/{name}"
+
+
 def compaction_due(spark: SparkSession, path: str, max_deltas: int = MAX_DELTAS) -> bool:
     """Whether the next version on ``path`` should be whole."""
     whole, *deltas = _chain(spark, path)
@@ -149,4 +157,6 @@ def prune_states(spark: SparkSession, root: str, keep_days: int = 2, protect: tu
     old = [r for r in _runs(spark, root, complete=False) if state_day(r[0]) < days[0] and r[2] not in kept]
     if old:
         fs.make_dir(spark, f"{root}/pruned={old[-1][0]}")  # first, so a crash here hides nothing
+    for _, _, name in old:
+        fs.delete(spark, reports_path(f"{root}/{name}"))
     return sum(int(fs.delete(spark, f"{root}/{name}")) for _, _, name in old)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from footfall.constants import FIELD_DELIMITER, MIN_FIELDS, SIGNAL_FIELD_POSITIONS
 from footfall.functions.parse import epoch_seconds, int_or_zero, slice_stamp
 from footfall.functions.slices import prefix_predicate, stamps_predicate
+from footfall.operators.counts import RunCounts
 from footfall.schemas import SIGNAL, SIGNAL_COLUMNS
 from footfall.sources import fs
 
@@ -68,6 +69,21 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("reason", bad_reason()).where(F.col("reason").isNotNull()).drop("_n_fields")
 
 
+#: Values of ``bad_reason``.
+REASONS = ("short", "integer", "time")
+
+
+def counted(parsed: DataFrame, counts: RunCounts | None) -> DataFrame:
+    """Parsed lines; ``counts`` gets their number, the bad ones by reason, and the files they are from."""
+    if counts is None:
+        return parsed
+    rows = parsed.withColumn("_reason", bad_reason())
+    by = {reason: F.count_if(F.col("_reason") == reason) for reason in REASONS}
+    if "file_name" in parsed.columns:
+        by["files"] = F.collect_set("file_name")
+    return counts.observe("lines", rows, lines=F.count(F.lit(1)), **by).drop("_reason")
+
+
 def empty_signal(spark: SparkSession, extra=()) -> DataFrame:
     df = spark.createDataFrame([], SIGNAL)
     for name in extra:
@@ -146,19 +162,36 @@ def _by_reason(bad: DataFrame) -> dict[str, int]:
     return {r.reason: r["count"] for r in bad.groupBy("reason").count().collect()}
 
 
+def observed_outcome(spark: SparkSession, root: str, stamps, counts: RunCounts, layout: str = "files") -> dict:
+    """``slice_outcome`` of a read that took ``counts`` along: the lines are not read again.  The names
+    of the files that gave lines are as many as the slices' files, which the driver lists anyway.
+    Where no counts were taken (an empty dimension: the lines were not read), they are read here."""
+    stamps, seen = list(stamps), counts.get("lines")
+    if not seen:
+        return slice_outcome(spark, root, stamps, layout)
+    bad = {reason: seen[reason] for reason in REASONS if seen.get(reason)}
+    if layout == "partitioned":
+        return {"bad": bad | _by_reason(_lost_lines(spark, root))}
+    files = slice_files(spark, root, stamps).where("length > 0").select("file_name").distinct()
+    unread = sorted({r.file_name for r in files.collect()} - set(seen.get("files", ())))
+    return {"missing": missing_stamps(spark, root, stamps), "unread": len(unread),
+            "unread_files": unread[:_REPORTED], "bad": bad}
+
+
 def read_signal(spark: SparkSession, root: str, stamps, missing: str = "empty",
-                with_file: bool = False, bad: str = "quarantine") -> DataFrame:
+                with_file: bool = False, bad: str = "quarantine", counts: RunCounts | None = None) -> DataFrame:
     """Signal rows of the given slice stamps under ``root``.
 
     ``bad='quarantine'`` drops short lines and leaves unreadable integers null (both are
     listed by ``read_signal_quarantine``); ``bad='fail'`` fails the job on the first
-    such line, as the original job did.
+    such line, as the original job did.  ``counts`` gets the numbers of lines (``counted``).
     """
-    keep = ("file_name",) if with_file else ()
     lines = read_slice_lines(spark, root, stamps, missing)
     if lines is None:
-        return empty_signal(spark, keep)
-    parsed = parse_signal_lines(lines, keep=keep)
+        return empty_signal(spark, ("file_name",) if with_file else ())
+    parsed = counted(parse_signal_lines(lines, keep=("file_name",)), counts)
+    if not with_file:
+        parsed = parsed.drop("file_name")
     if bad == "fail":
         broken = F.col("_n_fields") < MIN_FIELDS
         for name in _INT_COLUMNS:
@@ -227,13 +260,13 @@ def read_partitioned_lines(spark: SparkSession, root: str, stamps) -> DataFrame
     return lines.where(stamps_predicate("slice", stamps) if whole else prefix_predicate("slice", stamps))
 
 
-def read_signal_partitioned(spark: SparkSession, root: str, stamps) -> DataFrame:
+def read_signal_partitioned(spark: SparkSession, root: str, stamps, counts: RunCounts | None = None) -> DataFrame:
     """Signal rows of the given stamps from the partitioned layout, with ``slice``.
-    Missing days or slices simply contribute no rows."""
+    Missing days or slices simply contribute no rows.  ``counts`` as in ``read_signal``."""
     lines = read_partitioned_lines(spark, root, list(stamps))
     if lines is None:
         return empty_signal(spark, ("slice",))
-    return clean(parse_signal_lines(lines, keep=("slice",)))
+    return clean(counted(parse_signal_lines(lines, keep=("slice",)), counts))
 
 
 def read_partitioned_quarantine(spark: SparkSession, root: str, stamps) -> DataFrame:
@@ -243,8 +276,14 @@ def read_partitioned_quarantine(spark: SparkSession, root: str, stamps) -> DataF
     lines = read_partitioned_lines(spark, root, list(stamps))
     if lines is not None:
         out = quarantine(parse_signal_lines(lines, keep=cols))
+    return out.unionByName(_lost_lines(spark, root))
+
+
+def _lost_lines(spark: SparkSession, root: str) -> DataFrame:
+    """The lines in folders without a stamp."""
+    cols = ("value", "slice")
     lost = _read_days(spark, root, [_NO_PARTITION])
-    if lost is not None:
-        parsed = parse_signal_lines(lost, keep=cols).drop("_n_fields").withColumn("reason", F.lit("stamp"))
-        out = out.unionByName(parsed.where(F.col("slice").isNull()))
-    return out
+    if lost is None:
+        return empty_signal(spark, (*cols, "reason"))
+    parsed = parse_signal_lines(lost, keep=cols).drop("_n_fields").withColumn("reason", F.lit("stamp"))
+    return parsed.where(F.col("slice").isNull())

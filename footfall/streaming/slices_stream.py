@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from footfall.functions.slices import state_day_col
 from footfall.plans import rolling
-from footfall.plans.reports import dwell_report, home_report
-from footfall.sinks.state import latest_state, prune_states, read_state
+from footfall.plans.reports import dwell_rows, home_rows, save_reports
+from footfall.sinks.state import latest_state, prune_states, read_state, reports_path
 from footfall.functions.parse import slice_stamp
 from footfall.sources.signal_text import (
     PARTITIONED_SCHEMA,
@@ -113,7 +113,8 @@ def merge_batch(batch: DataFrame, dim: DataFrame, residence: DataFrame | None, s
             written.append(saved)
             visits = rolling.state_visits(read_state(spark, saved))
             if sink is not None:
-                sink(dwell_report(visits, stamp), home_report(visits, stamp), stamp)
+                both = save_reports(visits, stamp, reports_path(saved))
+                sink(dwell_rows(both), home_rows(both), stamp)
             done.append(stamp)
     finally:
         batch.unpersist()

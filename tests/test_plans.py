@@ -154,3 +154,25 @@ def test_copartitioned_removal_moves_neither_side(spark):
         plan = _plan(registry.queries()["report_copartitioned"](spark, SF_SMALL))
     join = plan[plan.index("LeftAnti"):]
     assert "SortMergeJoin" in plan and "Exchange" not in join and join.count("Bucketed: true") == 2
+
+
+def test_both_reports_scan_the_state_once(spark):
+    plan = _plan(registry.queries()["reports_one_pass"](spark, SF_SMALL))
+    assert plan.count("Scan orc") == 1 and "SortAggregate" not in plan and "Expand" in plan
+
+
+def test_a_job_reads_its_slices_and_its_state_once(spark, tmp_root, monkeypatch):
+    """Besides the job's own read, nothing parses the slices, and the reports read their saved rows."""
+    from footfall.plans import job
+    from footfall.sources import signal_text
+    from tests.slice_files import signal_rows, write_slice_files
+
+    write_slice_files(signal_rows(fixtures.signal(spark, SF_SMALL).where("start_time like '2024011011%'")), tmp_root)
+    parses, parse = [], signal_text.parse_signal_lines
+    monkeypatch.setattr(signal_text, "parse_signal_lines", lambda *a, **k: parses.append(a) or parse(*a, **k))
+    out = job.run_visitor_job(spark, tmp_root, "202401101205", fixtures.dim_district(spark, SF_SMALL), None,
+                              f"{tmp_root}/state", n=0)
+    assert len(parses) == 1 and out.outcome["lines"] > 0 and out.outcome["residents"] == 0
+    for report in (out.dwell, out.home):
+        plan = _plan(report)
+        assert plan.count("Scan ") == 1 and "_reports" in plan

@@ -343,3 +343,38 @@ def test_stream_partitioned_layout(spark, tmp_root):
     last = max(got)
     rows = read_signal_partitioned(spark, tmp_root, until_now_slices("202401101205")).drop("slice")
     assert got[last] == _rows(dwell_report(visits(rows, dim, None, False), last))
+
+
+def test_outcome_counts_what_a_run_leaves_out(spark, tmp_root):
+    """Bad lines by reason, residents, and visitors without a dwell band, in both layouts and modes."""
+    from footfall.sources.signal_text import format_signal_lines, write_slices
+    from tests.helpers import dim_df, sig_row, signal_df
+
+    rows = signal_df(spark, [sig_row("home", "20240110120000"), sig_row("guest", "20240110120000"),
+                             sig_row("guest", "20240110120100"), sig_row("wide", "2024011012000", "20240110120000"),
+                             sig_row("late", "20249910120000", "20240110120000")])
+    dim = dim_df(spark, [(200, 1, 0, 1001)])
+    res = spark.createDataFrame([(1001, "home")], "district_id int, imsi string")
+    folder = f"{tmp_root}/files/AGG/AGG_3G_BSSAP/200"
+    os.makedirs(folder)
+    lines = [r.value for r in format_signal_lines(rows).collect()] + ["a|b"]
+    with open(f"{folder}/sig_202401101205.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    write_slices(rows, f"{tmp_root}/parts")
+    for layout, root, bad, n in (("files", "files", {"short": 1, "time": 2}, 6), ("partitioned", "parts", {"time": 2}, 5)):
+        for mode in ("aggregate", "raw"):
+            out = run_visitor_job(spark, f"{tmp_root}/{root}", "202401101205", dim, res, f"{tmp_root}/{layout}-{mode}",
+                                  n=3, layout=layout, mode=mode).outcome
+            assert (out["bad"], out["lines"]) == (bad, n)
+            assert (out["found"], out["residents"]) == ((4, 1) if mode == "aggregate" else (5, 1))
+            assert (out["dwell_negative"], out["dwell_unknown"]) == (0, 2)
+    # all lines bad or of residents: nothing comes of the run, and the counts are there
+    with open(f"{folder}/sig_202401101210.txt", "w") as f:
+        f.write("a|b\n" + lines[0] + "\n")
+    poor = run_visitor_job(spark, f"{tmp_root}/files", "202401101211", dim, res, f"{tmp_root}/poor", n=1).outcome
+    assert (poor["bad"], poor["lines"], poor["found"], poor["residents"], poor["dwell_unknown"]) == ({"short": 1}, 2, 1, 1, 0)
+    blank = run_visitor_job(spark, f"{tmp_root}/files", "202401101211", dim.where("false"), res, f"{tmp_root}/blank", n=1).outcome
+    assert blank["bad"] == {"short": 1} and blank["found"] == 0
+    nothing = run_visitor_job(spark, f"{tmp_root}/none", "202401101205", dim, res, f"{tmp_root}/none-state", n=3)
+    assert nothing.outcome["lines"] is None and nothing.outcome["found"] in (0, None) and len(nothing.outcome["missing"]) == 3
+    assert nothing.dwell.count() == 0 and nothing.home.count() == 0
