@@ -32,20 +32,20 @@ COLOCATE_KEY = ["imsi", "district_id"]
 _ATTRS = ["user_number", "city_id", "district_name"]
 
 
-def calendar_split(signal: DataFrame, city_id: int | None = DEFAULT_CITY_ID) -> DataFrame:
-    """Prune to 7 columns, keep one serving city, split ``hour`` (yyyyMMddHH)
+def calendar_split(signal: DataFrame, city_id: int | None = DEFAULT_CITY_ID, keep=()) -> DataFrame:
+    """Prune to 7 columns (and ``keep``), keep one serving city, split ``hour`` (yyyyMMddHH)
     into ``date`` (DateType) and ``hour`` (hour of day)."""
-    s = signal.select(*PEOPLE_INPUT)
+    s = signal.select(*PEOPLE_INPUT, *keep)
     if city_id is not None:
         s = s.where(F.col("latn_id") == city_id)
-    return s.select(*[c for c in PEOPLE_INPUT if c != "hour"],
+    return s.select(*[c for c in PEOPLE_INPUT if c != "hour"], *keep,
                     hour_of_day("hour").alias("hour"), hour_date("hour").alias("date"))
 
 
 def people(signal: DataFrame, dim: DataFrame, city_id: int | None = DEFAULT_CITY_ID,
-           dim_broadcast: bool | None = None) -> DataFrame:
+           dim_broadcast: bool | None = None, keep=()) -> DataFrame:
     """P1-P3 + J1: calendar-split rows of one city mapped to their districts."""
-    return district_join(calendar_split(signal, city_id), dim, dim_broadcast)
+    return district_join(calendar_split(signal, city_id, keep), dim, dim_broadcast)
 
 
 def is_night(hour: Column) -> Column:

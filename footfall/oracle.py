@@ -354,7 +354,7 @@ FROM (SELECT *, (base_statn_id + home_latn_id) % 5 AS v FROM sig0) WHERE v IN (0
     out["slices_missing"] = out["slices_until_now"]
     out["residence_two_pass"] = out["residence_table"]
     out["resident_outer_join"] = out["resident_anti_join"]
-    out["sink_table"] = out["residence_table"]
+    out["sink_table"] = out["residence_daily"] = out["residence_table"]
     out["state_roundtrip"] = _with(
         _enriched("enr", "sig0", _range_pred("s.slice_stamp", until)),
         _residence_ctes("sig0", sig_range, RES_DAYS_SIGNAL), _visits_ctes("enr", "r_res")) + """

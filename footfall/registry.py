@@ -34,7 +34,7 @@ from footfall.operators.residence import (
     tag_periods,
 )
 from footfall.operators.visits import ALL_ATTRS
-from footfall.plans import reports, residence, rolling
+from footfall.plans import reports, residence, rolling, spans
 from footfall.plans.job import run_visitor_job
 from footfall.schemas import SIGNAL_COLUMNS
 from footfall.session import scratch_path
@@ -281,6 +281,15 @@ def q_residence_table(spark, sf_dir):
     return _residence_frame(spark, sf_dir, dense=True)
 
 
+def q_residence_daily(spark, sf_dir):
+    """R5 from daily summaries: one job per day reduces its slices, the label job reads no slice."""
+    root, dim = scratch_path(spark, "spans"), _dim(spark, sf_dir)
+    for day in sorted({s[:8] for s in P.STAY_RANGE_DENSE}):
+        rows = slice_rows(spark, sf_dir, [day], dense=True, keep_stamp=True)
+        spans.save_day(spans.day_spans(rows, dim, dim_broadcast=NO_CHECK), root, day)
+    return spans.residence_from_spans(spans.read_days(spark, root, P.STAY_RANGE_DENSE), P.RES_DAYS_DENSE)
+
+
 def q_residence_two_pass(spark, sf_dir):
     """R3 ∪ R4 as two passes (the original shape); same rows as residence_table."""
     rows = slice_rows(spark, sf_dir, P.STAY_RANGE_DENSE, dense=True)
@@ -624,6 +633,7 @@ def queries() -> dict[str, Query]:
         "staff": q_staff,
         "residence_table": q_residence_table,
         "residence_two_pass": q_residence_two_pass,
+        "residence_daily": q_residence_daily,
         "district_join": q_district_join,
         "resident_anti_join": q_resident_anti_join,
         "resident_outer_join": q_resident_outer_join,
