@@ -83,10 +83,12 @@ def measures(df: DataFrame, text: str = "text", keep: list[str] | None = None) -
     same = lambda x, i: ((F.get("_sorted", i - 1)["x"] == x["x"])
                          | F.coalesce(F.get("_sorted", i + 1)["x"] == x["x"], F.lit(False)))
     a = a.withColumn("_at", F.sort_array(F.transform(F.filter("_sorted", same), lambda x: x["i"])))
+    # a filter on the measures is not moved below a row number, where it would repeat all of the above
+    here = F.monotonically_increasing_id() >= 0
     return a.select(
         *held, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words",
         "_upper", "_lower",
-        F.coalesce(_covered(F.col("_at"), WINDOW), F.lit(0)).cast("long").alias("n_repeat_words"))
+        F.coalesce(F.when(here, _covered(F.col("_at"), WINDOW)), F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
 def _ratios() -> dict[str, Column]:

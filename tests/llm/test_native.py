@@ -192,3 +192,13 @@ def test_op1_texts(spark):
         assert (r.n_chars, r.edited_sha256) == (n, hashlib.sha256(edited.encode()).hexdigest())
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     assert len({r.fingerprint for r in got}) == len(set(rows.values()))
+
+
+def test_filters_on_the_quality_result_do_not_copy_the_measures(spark):
+    """A filter on the verdict or a measure is planned at once and gives the rows of the plain result."""
+    q = queries()["op3_quality_rules"](spark, SF_SMALL)
+    rows = q.collect()
+    for wanted, keep in (("kept", lambda r: r.kept), ("n_repeat_words > 8", lambda r: r.n_repeat_words > 8)):
+        some = q.where(wanted)
+        assert len(some._jdf.queryExecution().optimizedPlan().toString()) < 60_000
+        assert sorted(some.collect()) == sorted(r for r in rows if keep(r))
