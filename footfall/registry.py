@@ -303,6 +303,11 @@ def q_district_join(spark, sf_dir):
     return district_join(fixtures.signal(spark, sf_dir), _dim(spark, sf_dir), NO_CHECK)
 
 
+def q_district_join_salted(spark, sf_dir):
+    """J1 without a broadcast of the dimension: a shuffle join that spreads hot cells."""
+    return district_join(fixtures.signal(spark, sf_dir), read_dim(spark, _dim_path(spark, sf_dir)), "salted")
+
+
 def q_resident_anti_join(spark, sf_dir):
     rows = fixtures.signal(spark, sf_dir, dense=True)
     enriched = district_join(rows, _dim(spark, sf_dir), NO_CHECK)
@@ -635,6 +640,7 @@ def queries() -> dict[str, Query]:
         "residence_two_pass": q_residence_two_pass,
         "residence_daily": q_residence_daily,
         "district_join": q_district_join,
+        "district_join_salted": q_district_join_salted,
         "resident_anti_join": q_resident_anti_join,
         "resident_outer_join": q_resident_outer_join,
         "dwell": q_dwell,

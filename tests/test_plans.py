@@ -176,3 +176,27 @@ def test_a_job_reads_its_slices_and_its_state_once(spark, tmp_root, monkeypatch)
     for report in (out.dwell, out.home):
         plan = _plan(report)
         assert plan.count("Scan ") == 1 and "_reports" in plan
+
+
+def test_a_hot_cell_is_spread_over_the_tasks(spark):
+    """One cell holds a third of the rows: the same rows as the plain join, and no large task."""
+    from pyspark.sql import functions as F
+
+    from footfall.operators.joins import hot_cells
+
+    dim = spark.range(4000).selectExpr("200 AS city_id", "CAST(id AS int) AS base_statn_id", "0 AS sector_id",
+                                       "CAST(id % 7 AS int) AS district_id", "'D' AS district_name")
+    dim = dim.unionByName(dim.where("base_statn_id = 5").withColumn("district_id", F.lit(99)))  # a cell in two districts
+    cell = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 50 == 1, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(4000)))
+    sig = signal_df(spark, [sig_row("a", "20240110000000")]).drop("base_statn_id").crossJoin(
+        F.broadcast(spark.range(60000).withColumn("base_statn_id", cell.cast("int"))))
+    assert [tuple(r) for r in hot_cells(sig, 1 / 32).collect()] == [(200, 5, 0)]
+    assert hot_cells(sig.where("false"), 1 / 32).count() == 0
+    with _conf(spark, **NO_AUTO):
+        salted, plain = district_join(sig, dim, "salted"), district_join(sig, dim, False)
+        assert "SortMergeJoin" in _plan(salted)
+        assert salted.columns == plain.columns and salted.count() == plain.count()
+        assert salted.exceptAll(plain).count() == 0
+        sizes = lambda df: sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        spread, lumped = sizes(salted), sizes(plain)
+    assert spread[-1] < 2 * spread[len(spread) // 2] and lumped[-1] > 2 * lumped[len(lumped) // 2]
