@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.constants import (
@@ -170,3 +170,14 @@ def stamp_window(stamps) -> tuple[dt.datetime, dt.datetime] | None:
         else:
             raise ValueError(f"not a stamp: {s!r}")
     return min(lo), max(hi)
+
+
+def slice_table(spark: SparkSession, window: tuple[dt.datetime, dt.datetime] | None) -> DataFrame:
+    """The slices of a [from, to) time range (``stamp_window``) as a table with the column ``slice``,
+    made by Spark: the range's two ends are all that the plan holds.  None gives no slices."""
+    lo, hi = window or (dt.datetime(1970, 1, 1),) * 2
+    lo, step = floor_to_slice(lo), dt.timedelta(minutes=SLICE_MINUTES)
+    first = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
+    stamp = F.date_format(F.timestamp_add("MINUTE", F.col("id") * SLICE_MINUTES, first), "yyyyMMddHHmm")
+    # the filter says nothing new, but Spark prunes by a table only if it has one
+    return spark.range(-(-(hi - lo) // step)).select(stamp.alias("slice")).where(F.col("slice") < hi.strftime(_STAMP))

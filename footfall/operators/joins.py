@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.operators.counts import RunCounts
+from footfall.operators.keyfilter import split_by_filter
 from footfall.schemas import DIM_COLUMNS, DIM_KEYS, ENRICHED_COLUMNS, SIGNAL_COLUMNS
 
 # A cell dimension of a whole network is a few hundred thousand rows of ~5 small
@@ -97,7 +98,7 @@ def district_join_salted(signal: DataFrame, dim: DataFrame, salts: int | None =
     return _on_cell(s.select(*signal.columns, "_salt"), d, F.col("_salt") == F.col("_salt_d"), signal.columns)
 
 
-def drop_residents(df: DataFrame, residence: DataFrame, broadcast: bool | None = False,
+def drop_residents(df: DataFrame, residence: DataFrame, broadcast: bool | str | None = False,
                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Keep rows whose (district_id, imsi) is not in the residence table.
 
@@ -108,8 +109,11 @@ def drop_residents(df: DataFrame, residence: DataFrame, broadcast: bool | None =
     ``broadcast=False`` (default) leaves the strategy to the planner and AQE;
     ``None`` checks the residence size first (``bounded_broadcast``) — worth it for
     row-level removal against a stored residence table, so the rows never shuffle;
-    True marks it for broadcast unchecked.
+    True marks it for broadcast unchecked; ``"filtered"`` broadcasts a key filter in its place
+    (``drop_residents_filtered``), for rows against a residence beyond the bound.
     """
+    if broadcast == "filtered":
+        return drop_residents_filtered(df, residence)
     keys = residence.select("district_id", "imsi")
     if broadcast is None:
         keys, _ = bounded_broadcast(keys, max_rows)
@@ -118,6 +122,17 @@ def drop_residents(df: DataFrame, residence: DataFrame, broadcast: bool | None =
     return df.join(keys, ["district_id", "imsi"], "left_anti").select(*df.columns)
 
 
+def drop_residents_filtered(df: DataFrame, residence: DataFrame) -> DataFrame:
+    """J2 on rows against a residence too large to broadcast: rows whose key a Bloom filter of the
+    residence does not know pass around the join; only the others, the residents' own rows and about
+    one in a hundred more, are shuffled and decided exactly.  Same rows as ``drop_residents``.
+
+    ``df`` is read twice, so it should be a scan with narrow steps (J1 with a broadcast dimension is)."""
+    keys = residence.select("district_id", "imsi")
+    may, surely_not = split_by_filter(df, keys, ["district_id", "imsi"])
+    return surely_not.unionByName(drop_residents(may, residence))
+
+
 def drop_residents_outer(df: DataFrame, residence: DataFrame) -> DataFrame:
     """J2 as the original job wrote it: left outer join + null filter (for comparison)."""
     r = residence.select(F.col("district_id").alias("district_id_r"), F.col("imsi").alias("imsi_r"))

@@ -352,9 +352,11 @@ GROUP BY latn_id, base_statn_id, sector_id""",
   CASE v WHEN 2 THEN substr(start_time, 1, 4) || '99' || substr(start_time, 7) ELSE start_time END AS start_time
 FROM (SELECT *, (base_statn_id + home_latn_id) % 5 AS v FROM sig0) WHERE v IN (0, 1, 2)"""
     out["slices_missing"] = out["slices_until_now"]
+    out["slices_pruned"] = out["slices_until_now"]
     out["residence_two_pass"] = out["residence_table"]
     out["district_join_salted"] = out["district_join"]
     out["resident_outer_join"] = out["resident_anti_join"]
+    out["resident_filtered_join"] = out["resident_anti_join"]
     out["sink_table"] = out["residence_daily"] = out["residence_table"]
     out["state_roundtrip"] = _with(
         _enriched("enr", "sig0", _range_pred("s.slice_stamp", until)),

@@ -18,6 +18,7 @@ from footfall.functions.slices import (
     default_start_col,
     needs_reset_col,
     prefix_predicate,
+    slice_table,
     stamp_window,
     stamps_predicate,
 )
@@ -48,6 +49,7 @@ from footfall.sources.signal_text import (
     read_signal,
     read_signal_partitioned,
     read_signal_quarantine,
+    read_signal_sliced,
     write_slices,
 )
 from footfall.sources.tables import read_dim, read_residence, read_residence_bucketed, seed_dim
@@ -314,6 +316,13 @@ def q_resident_anti_join(spark, sf_dir):
     return drop_residents(enriched, _residence(spark, sf_dir, dense=True))
 
 
+def q_resident_filtered_join(spark, sf_dir):
+    """J2 on rows with a Bloom filter of the residence: rows it does not know are not shuffled."""
+    rows = fixtures.signal(spark, sf_dir, dense=True)
+    enriched = district_join(rows, _dim(spark, sf_dir), NO_CHECK)
+    return drop_residents(enriched, _residence(spark, sf_dir, dense=True), "filtered")
+
+
 def q_resident_outer_join(spark, sf_dir):
     """J2 as the original wrote it (left outer + null filter); same rows as the anti join."""
     rows = fixtures.signal(spark, sf_dir, dense=True)
@@ -423,6 +432,12 @@ def q_slices_missing(spark, sf_dir):
     return read_signal_partitioned(spark, root, wanted).withColumnRenamed("slice", "slice_stamp")
 
 
+def q_slices_pruned(spark, sf_dir):
+    """The slices as a table; the scan of the partitioned layout is pruned by it at run time."""
+    wanted = slice_table(spark, stamp_window(P.UNTIL_NOW))
+    return read_signal_sliced(spark, _written_slices(spark, sf_dir), wanted).withColumnRenamed("slice", "slice_stamp")
+
+
 def _visitor_job(spark, sf_dir):
     """The 15-minute job end to end on text slices: a rebuild at 11:50 (n = 0), then a
     regular run at 12:05 (n = 3) that merges 11:55-12:05 into the saved state."""
@@ -642,6 +657,7 @@ def queries() -> dict[str, Query]:
         "district_join": q_district_join,
         "district_join_salted": q_district_join_salted,
         "resident_anti_join": q_resident_anti_join,
+        "resident_filtered_join": q_resident_filtered_join,
         "resident_outer_join": q_resident_outer_join,
         "dwell": q_dwell,
         "dwell_section": q_dwell_section,
@@ -655,6 +671,7 @@ def queries() -> dict[str, Query]:
         "rolling_rebuild": q_rolling_rebuild,
         "sink_table": q_sink_table,
         "slices_missing": q_slices_missing,
+        "slices_pruned": q_slices_pruned,
         "visitor_job": q_visitor_job,
         "visitor_job_home": q_visitor_job_home,
         "state_roundtrip": q_state_roundtrip,

@@ -17,6 +17,7 @@ from footfall.constants import FIELD_DELIMITER, MIN_FIELDS, SIGNAL_FIELD_POSITIO
 from footfall.functions.parse import epoch_seconds, int_or_zero, slice_stamp
 from footfall.functions.slices import prefix_predicate, stamps_predicate
 from footfall.operators.counts import RunCounts
+from footfall.operators.joins import bounded_broadcast
 from footfall.schemas import SIGNAL, SIGNAL_COLUMNS
 from footfall.sources import fs
 
@@ -269,6 +270,23 @@ def read_signal_partitioned(spark: SparkSession, root: str, stamps, counts: RunC
     return clean(counted(parse_signal_lines(lines, keep=("slice",)), counts))
 
 
+def read_signal_sliced(spark: SparkSession, root: str, slices: DataFrame, counts: RunCounts | None = None) -> DataFrame:
+    """``read_signal_partitioned`` for slices given as a table (column ``slice``, ``slice_table`` or a
+    filtered table of slices) in place of a list: the scan opens the folders whose slice the table
+    has, found when it runs (dynamic partition pruning), however long the range.
+
+    The folders of the table's days are listed.  The table is broadcast behind a check of its size;
+    beyond the bound the rows are the same, but the listed folders are all opened.  A table without a
+    filter of its own is not used for pruning by Spark either."""
+    wanted, _ = bounded_broadcast(slices.select("slice"))
+    days = slices.select(F.substring("slice", 1, 8).alias("day")).distinct().collect()
+    lines = _read_days(spark, root, sorted(r.day for r in days if r.day))
+    if lines is None:
+        return empty_signal(spark, ("slice",))
+    lines = lines.join(wanted, "slice", "left_semi").select("value", "slice")
+    return clean(counted(parse_signal_lines(lines, keep=("slice",)), counts))
+
+
 def read_partitioned_quarantine(spark: SparkSession, root: str, stamps) -> DataFrame:
     """Bad lines of the given stamps, and every line in a folder without a stamp."""
     cols = ("value", "slice")

@@ -200,3 +200,102 @@ def test_a_hot_cell_is_spread_over_the_tasks(spark):
         sizes = lambda df: sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
         spread, lumped = sizes(salted), sizes(plain)
     assert spread[-1] < 2 * spread[len(spread) // 2] and lumped[-1] > 2 * lumped[len(lumped) // 2]
+
+
+def _nodes(plan):
+    """The nodes of an executed plan, exchanges' and stages' inside included."""
+    yield plan
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        yield from _nodes(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        yield from _nodes(plan.plan())
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def _metric(df, node: str, name: str) -> list[int]:
+    """A metric of all nodes of a kind, after the frame was collected."""
+    found = [n for n in _nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName().startswith(node)]
+    return [n.metrics().apply(name).value() for n in found if n.metrics().contains(name)]
+
+
+def test_rows_unknown_to_the_key_filter_are_not_shuffled(spark):
+    """The residence is beyond the broadcast bound; one resident holds a tenth of all rows."""
+    from pyspark.sql import functions as F
+
+    from footfall.operators.joins import bounded_broadcast, drop_residents
+
+    n = 40000
+    who = F.when(F.col("id") % 10 == 0, F.lit("hot")).when(F.col("id") % 10 == 1, None).otherwise(F.concat(F.lit("p"), F.col("id")))
+    rows = spark.range(n).select(F.when(F.col("id") % 13 > 0, 1001).alias("district_id"), who.alias("imsi"), F.col("id").alias("block"))
+    res = spark.range(3000).selectExpr("1001 AS district_id", "concat('r', id) AS imsi").unionByName(
+        spark.createDataFrame([(1001, "hot"), (1001, "p2"), (1002, "p3"), (1001, None), (None, "p4")], "district_id int, imsi string"))
+    assert not bounded_broadcast(res, max_rows=1000)[1]
+    with _conf(spark, **NO_AUTO):
+        filtered, plain = drop_residents(rows, res, "filtered"), drop_residents(rows, res)
+        assert filtered.columns == rows.columns
+        assert sorted(map(str, filtered.collect())) == sorted(map(str, plain.collect()))
+        moved = [sum(_metric(df, "Exchange", "shuffleRecordsWritten")) for df in (filtered, plain)]
+        assert _plan(filtered).count("ReusedExchange") >= 1  # one filter for both uses
+    # the plain join moves all rows and the residence; here: the filter's words, the residence, the hits
+    own, words = rows.where("imsi = 'hot' AND district_id = 1001").count(), 2 * 64 * 12
+    assert moved[1] == n + 3003 and moved[0] < 3003 + words + own + 0.03 * n
+
+
+def test_a_full_key_filter_is_still_exact(spark):
+    from footfall.operators.joins import drop_residents
+    from footfall.operators.keyfilter import blocks_for, split_by_filter
+
+    rows = spark.range(5000).selectExpr("CAST(id % 5 AS int) AS district_id", "concat('p', id) AS imsi", "id")
+    keys = rows.where("id % 2 = 0").select("district_id", "imsi")
+    may, surely_not = split_by_filter(rows, keys, ["district_id", "imsi"], max_bytes=512)  # two bits a key
+    assert may.count() + surely_not.count() == 5000
+    assert drop_residents(may, keys).unionByName(surely_not).select("id").exceptAll(rows.where("id % 2 = 1").select("id")).count() == 0
+    assert surely_not.join(keys, ["district_id", "imsi"]).count() == 0
+    assert blocks_for(0) == 1 and blocks_for(10**12) * 512 == 64 * 2**20
+    none = keys.where("false")
+    assert drop_residents(rows, none, "filtered").count() == 5000 and drop_residents(rows.where("false"), keys, "filtered").count() == 0
+
+
+def test_key_filter_refuses_other_key_types(spark):
+    import pytest
+
+    from footfall.operators.keyfilter import split_by_filter
+
+    with pytest.raises(ValueError, match="district_id"):
+        split_by_filter(spark.range(3).selectExpr("id AS district_id"), spark.range(3).selectExpr("CAST(id AS int) AS district_id"),
+                        ["district_id"])
+
+
+def test_a_slice_table_prunes_the_folders_when_the_scan_runs(spark, tmp_root):
+    """A range of five days: the plan holds its two ends, and the opened files are its slices."""
+    from pyspark.sql import functions as F
+
+    from footfall.functions import stay_range
+    from footfall.functions.slices import slice_table, stamp_window
+    from footfall.sources.signal_text import read_signal_partitioned, read_signal_sliced, write_slices
+
+    sig = signal_df(spark, [sig_row(f"p{d}{h}", f"202401{d:02d}{h:02d}{m}00") for d in range(6, 15) for h in (0, 12, 23) for m in (10, 55)])
+    write_slices(sig, tmp_root)
+    wanted = stay_range("2024010723", 5)
+    window = stamp_window(wanted)
+    rows = read_signal_sliced(spark, tmp_root, slice_table(spark, window))
+    plan = _plan(rows)
+    assert "dynamicpruning" in plan and "202401081200" not in plan
+    got = rows.collect()
+    assert sorted(map(str, got)) == sorted(map(str, read_signal_partitioned(spark, tmp_root, wanted).collect()))
+    assert len(got) == 2 + 5 * 6
+    assert _metric(rows, "Scan text", "numFiles") == [len({r.slice for r in got})]
+    assert read_signal_sliced(spark, tmp_root, slice_table(spark, None)).count() == 0
+    stored = slice_table(spark, window).unionByName(spark.createDataFrame([(None,), ("202401110010",), ("209912310000",)], "slice string"))
+    stored.write.parquet(f"{tmp_root}/table")  # repeated, unknown and null slices add nothing
+    some = spark.read.parquet(f"{tmp_root}/table").where(F.col("slice") >= "20240111")
+    assert read_signal_sliced(spark, tmp_root, some).count() == 2 * 6
+
+
+def test_slice_table_equals_the_lists(spark):
+    from footfall.functions import last_n_slices, until_now_slices
+    from footfall.functions.slices import slice_table, stamp_window
+
+    for stamps in (last_n_slices("202402290003", 7), until_now_slices("202401101207"), []):
+        assert [r.slice for r in slice_table(spark, stamp_window(stamps)).orderBy("slice").collect()] == sorted(stamps)
