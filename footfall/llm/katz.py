@@ -13,7 +13,8 @@ answers each chunk: ids, counts and context sums in the order it asked.  The chu
 met with their answers, and the next order or the scores follow.  Nothing else travels, so
 the shuffle is a few bytes per distinct n-gram and chunk.  A context with more than its share
 of the tokens is spread over several buckets, whose sums the chunk adds up.  The driver sees
-the totals and the counts of counts only.
+the totals and the counts of counts only.  The number of buckets follows the bytes of the texts,
+so a bucket does not grow with the input.
 
 Chunks are cut from scan partitions, and cut again for each order rather than stored: a chunk
 is named after its partition and content, and a run whose second reading differs stops with
@@ -45,6 +46,8 @@ from footfall.llm.shingles import hashed_words, mix
 ORDER = 2
 MAX_DISCOUNTED = 5
 CHUNK = 1_000_000
+#: Bytes of text behind a bucket: its n-grams are what a task holds at once.
+BUCKET = 16 * 2**20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: The end token's key: a string with a space in it is no word.
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"the end"))
@@ -212,20 +215,22 @@ def _answer(level: int, buckets: int):
 
 
 def discounts(counts_of_counts: list[int]) -> list[float]:
-    """Katz's factors for counts 0 to ``MAX_DISCOUNTED``; 1 where the counts of counts allow none."""
-    k, n = MAX_DISCOUNTED, [0, *counts_of_counts]
+    """Katz's factors for counts 0 to ``MAX_DISCOUNTED``, from counts of counts smoothed by a line
+    through their logarithms (as they fall with the count, each factor is above the last).  Where the
+    counts of counts allow no such line, half of the singletons' mass goes, or none without singletons."""
+    k, n = MAX_DISCOUNTED, np.array(counts_of_counts, float)
     out = [0.0] + [1.0] * k
-    if not n[1]:
+    if not n[0]:
         return out
-    rest = (k + 1) * n[k + 1] / n[1]
-    for r in range(1, k + 1):
-        if n[r] and n[r + 1] and rest < 1:
-            d = ((r + 1) * n[r + 1] / (r * n[r]) - rest) / (1 - rest)
-            if 0 < d < 1:
-                out[r] = d
-    if all(d == 1.0 for d in out[1:]):  # too few counts for the formula: half of the singletons' mass
+    seen = np.flatnonzero(n) + 1
+    power = 0.0
+    if len(seen) > 1:  # Good-Turing's (r + 1) n[r + 1] / (r n[r]) is ((r + 1) / r) ** power on the line
+        power = np.polyfit(np.log(seen), np.log(n[seen - 1]), 1)[0] + 1
+    if power > -1e-6:
         out[1] = 0.5
-    return out
+        return out
+    rest = (k + 1) ** power
+    return [0.0] + [float((((r + 1) / r) ** power - rest) / (1 - rest)) for r in range(1, k + 1)]
 
 
 def _discounted(factors: list[float], counts: np.ndarray) -> np.ndarray:
@@ -395,11 +400,14 @@ def _ask(params: list[dict], buckets: int, level: int):
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: str = "held_out", order: int = ORDER,
-          chunk: int = CHUNK) -> DataFrame:
-    """Scores of all rows under the model of those that are not held out (null counts as not)."""
+          chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+    """Scores of all rows under the model of those that are not held out (null counts as not).
+    There is a bucket for every ``bucket`` bytes of text, and one per shuffle partition at least."""
     spark = docs.sparkSession
-    buckets = partitions(spark)
     docs = docs.select(F.col(key).cast("long"), F.col(held_out), F.col(text))
+    trained = ~F.coalesce(F.col(held_out), F.lit(False))
+    texts, size = docs.agg(F.count_if(trained), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    buckets = max(partitions(spark), -(-size // bucket))
     first = _stored(map_groups(_first_messages(docs, buckets, chunk), ["bucket"], _answer_first(buckets), _ANSWER),
                     "katz-1")
     tokens, words, *n = _stats(first)
@@ -407,7 +415,6 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: st
     used = sum(d[j] * j * n[j - 1] for j in range(1, MAX_DISCOUNTED + 1)) + (
         tokens - sum(j * n[j - 1] for j in range(1, MAX_DISCOUNTED + 1)))
     whole = tokens if used < tokens * (1 - 1e-9) else used + 1
-    texts = docs.where(~F.coalesce(F.col(held_out), F.lit(False))).count()
     params = [{"discounts": d, "whole": whole, "unknown": 1 - used / whole, "tokens": tokens, "words": words, "texts": texts}]
     answers = first.where(F.col("kind") == "answer").drop("kind", "stats")
     for level in range(2, order + 1):

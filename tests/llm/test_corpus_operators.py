@@ -412,9 +412,22 @@ def test_model_edges(spark):
     assert {(r.n_known, r.train_tokens, r.score) for r in none} == {(0, 0, 0.0)} and len(none) == 2
     assert katz.score(written(df.limit(0), "none")).count() == 0
     assert sorted(r.n_tokens for r in katz.score(written(df, "all")).collect()) == [1, 3, 3]
+    smooth = katz.discounts([184712, 23127, 5984, 1951, 2262, 607])  # n[5] above n[4]
+    assert all(0 < a < b < 1 for a, b in zip(smooth[1:], smooth[2:]))
+    assert katz.discounts([1000, 250, 111, 62, 40, 28])[1] == pytest.approx((1 / 2 - 1 / 6) / (1 - 1 / 6), abs=.01)  # n[r] = 1000 / r^2
+    assert katz.discounts([5, 9, 20, 30, 40, 50])[1:] == [0.5, 1, 1, 1, 1]
     assert katz.discounts([0] * 6) == [0.0, 1.0, 1.0, 1.0, 1.0, 1.0] and katz.discounts([5, 0, 0, 0, 0, 0])[1] == 0.5
 
 
+def test_buckets_follow_the_texts(spark, prose, monkeypatch):
+    df = written(spark.createDataFrame(prose, "doc_id long, text string, held_out boolean"), "prose")
+    used, answer = [], katz._answer_first
+    monkeypatch.setattr(katz, "_answer_first", lambda buckets: used.append(buckets) or answer(buckets))
+    few, many = (sorted((r.doc_id, round(r.score, 6)) for r in katz.score(df, bucket=b).collect()) for b in (1 << 24, 500))
+    size = sum(len(t or "") for _, t, _ in prose)
+    assert used == [8, -(-size // 500)] and used[1] > 8 and few == many
+
+
 def test_op2_split_and_totals(spark):
     texts = _documents(spark)
     got = queries()["op2_katz"](spark, SF_SMALL).collect()
