@@ -75,12 +75,13 @@ def slice_rows(spark: SparkSession, sf_dir: str, stamps, dense: bool = False,
 
 
 # Tables that reports read (S5, S6) are written once per application and read by path, so a
-# report's plan scans the events of its own window and nothing else.  ``forget`` drops them.
+# report's plan scans the events of its own window and nothing else.  They are written again when
+# the input's files change; ``forget`` drops them.
 _STORED: dict = {}
 
 
 def _stored(spark, key, write) -> str:
-    k = (spark.sparkContext.applicationId, key)
+    k = (spark.sparkContext.applicationId, key, fixtures.inputs(spark, key[1]))
     if k not in _STORED:
         path = scratch_path(spark, key[0])
         write(path)

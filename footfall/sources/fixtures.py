@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.parse import slice_stamp
 from footfall.operators.joins import bounded_broadcast
+from footfall.sources import fs
 
 # Fixed values of the projection (shared with the DuckDB oracle in footfall.oracle).
 DENSE_USERS = 15          # signal_dense folds users onto so many people at least,
@@ -58,8 +59,15 @@ def forget() -> None:
     _FRAMES.clear()
 
 
+def inputs(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells apart contents of the tables read here: frames and tables made of them are kept
+    under it, so a changed input is read again."""
+    root = sf_dir.rstrip("/")
+    return tuple(fs.version(spark, f"{root}/{name}.parquet") for name in TABLE_SCHEMAS)
+
+
 def _memo(spark: SparkSession, key, build):
-    k = (id(spark), spark.sparkContext.applicationId, key)
+    k = (id(spark), spark.sparkContext.applicationId, key, inputs(spark, key[1]))
     if k not in _FRAMES:
         _FRAMES[k] = build()
     return _FRAMES[k]

@@ -71,6 +71,16 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def version(spark: SparkSession, path: str) -> tuple[int, int, int] | None:
+    """Files, bytes and last change of ``path`` (a file, or a folder of files written at once); None
+    where there is nothing.  Another one means other content."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    summary = fs.getContentSummary(p)
+    return summary.getFileCount(), summary.getLength(), fs.getFileStatus(p).getModificationTime()
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     fs, p = _fs(spark, path)

@@ -153,3 +153,14 @@ def test_strict_mode_fails_on_broken_lines(spark, tmp_root):
     with pytest.raises(Exception):
         read_signal(spark, tmp_root, ["202401100005"], bad="fail").collect()
     assert read_signal(spark, tmp_root, ["202401100005"]).count() == 1
+
+
+def test_tables_kept_between_queries_follow_the_input(spark, tmp_root):
+    from footfall import registry
+
+    for name in ("customer", "nation", "region", "events"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{tmp_root}/{name}.parquet")
+    seen = registry._dim_path(spark, tmp_root)
+    assert registry._dim_path(spark, tmp_root) == seen and registry._dim(spark, tmp_root).count() > 0
+    (spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).write.mode("overwrite").parquet(f"{tmp_root}/events.parquet"))
+    assert registry._dim_path(spark, tmp_root) != seen and registry._dim(spark, tmp_root).count() == 0
