@@ -6,6 +6,7 @@ import os
 import shutil
 import string
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,22 @@ def ship(spark: SparkSession) -> None:
         sc._footfall_shipped = True
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Within it, jobs hand Python workers at most so many rows at once: whole texts by the ten thousand,
+    Spark's default, are held by the executor and by each worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import map_batches, table, written
+from footfall.llm.common import map_batches, small_batches, table, written
 from footfall.llm.components import components
 from footfall.llm.shingles import mix, set_hash, shingle_set
 
@@ -344,7 +344,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                        percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``doc_id`` (the key), ``n_shingles`` and ``component_id`` of every row."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    sketched = written(sketch(docs, "doc_id", "text", size, percent), "sketch")
+    spark = docs.sparkSession
+    with small_batches(spark):
+        sketched = written(sketch(docs, "doc_id", "text", size, percent), "sketch")
     known = sketched.where(F.col("doc_id").isNotNull() & F.col("h").isNotNull())
     classes = written(known.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "classes")
     clustered = _candidates(classes, known).join(classes, "h")
@@ -361,7 +363,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     twice = known.groupBy("doc_id").agg(F.min("h").alias("x"), F.max("h").alias("y")).where("x != y").select("doc_id")
     same = known.join(twice, "doc_id", "left_semi").join(classes, "h").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(written(edges.unionByName(same), "links"))
+    with small_batches(spark):
+        links = written(edges.unionByName(same), "links")
+    found = components(links)
     out = sketched.drop("offers").join(classes.select("h", "rep").hint("merge"), "h", "left").join(
         found.select(F.col("id").alias("rep"), "component").hint("merge"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(

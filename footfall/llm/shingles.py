@@ -5,25 +5,11 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_KNOWN = 300_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
 
 
-class _Hashes(dict):
-    """Hashes of words, kept for the words seen most recently."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KNOWN:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = x ^ (x >> _S)
@@ -34,16 +20,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_list(text: str | None, lower: bool = True) -> list[bytes]:
-    """Words between ASCII white space; A-Z in lower case."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    return (raw.lower() if lower else raw).split()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
 _MASKS = np.array([2**(8 * n) - 1 for n in range(9)], np.uint64)
@@ -51,8 +27,8 @@ _LONG = 64  # words of more bytes are hashed one by one
 
 
 def hashed_words(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of ``word_list`` (other hashes than ``word_hashes``), and how many newlines
-    stand before each: eight bytes of all words at a time, without a list of words."""
+    """Hashes of the words between ASCII white space, A-Z in lower case, and how many newlines stand
+    before each: eight bytes of all words at a time, without a list of words."""
     raw = b" " + (text or "").encode("utf-8", "surrogatepass").lower() + b" " * 9
     content = np.frombuffer(raw, np.uint8)
     gap = _GAP[content]
@@ -84,7 +60,7 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
-    return np.unique(shingle_hashes(word_hashes(word_list(text)), size))
+    return np.unique(shingle_hashes(hashed_words(text)[0], size))
 
 
 def set_hash(members: np.ndarray) -> int:

@@ -15,7 +15,7 @@ from footfall.llm.common import written
 from footfall.llm.components import components
 from footfall.llm.jaccard_join import SignatureTree, _candidates, _few_links, jaccard_components, offers, sketch
 from footfall.llm.registry import queries
-from footfall.llm.shingles import hashed_words, shingle_set, word_hashes, word_list
+from footfall.llm.shingles import hashed_words, shingle_set
 from footfall.llm.substring_dedup import (
     WORDS, anchors, cut_words, lined_words, remove_spans, repeated_spans, tune,
 )
@@ -190,7 +190,7 @@ def test_hashed_words_are_the_words_of_the_list():
     random.seed(1)
     for _ in range(500):
         t = "".join(random.choices(["a", "B", "é", " ", "\n", "\t", "\x85", "x" * 9, "y" * 70, "y" * 69 + "z", "  \n"], k=random.randrange(40)))
-        w, (hashes, lines) = word_list(t), hashed_words(t)
+        w, (hashes, lines) = _tokens(t), hashed_words(t)
         assert len(w) == len(hashes) == len(lines) and len({*zip(w, hashes.tolist())}) == len(set(w)) == len(set(hashes.tolist()))
         _, _, counts = lined_words(t)
         assert counts.tolist() == [len(x.split()) for x in t.encode().split(b"\n") if x.split()]
@@ -202,7 +202,7 @@ def _removed(rows):
     """Words that exact similarity of all paragraphs removes, by document."""
     places = []
     for i, t in sorted(rows):
-        w = word_list(t)
+        w = _tokens(t)
         for a in anchors(hashed_words(t)[0], WORDS, 8):
             places.append((i, int(a), frozenset(tuple(w[a + k:a + k + 5]) for k in range(WORDS - 4))))
     groups, inverted = Groups(range(len(places))), collections.defaultdict(list)
@@ -315,7 +315,7 @@ def test_lines_with_one_word_changed_are_found(spark):
 def test_bands_and_cuts(spark):
     assert tune(80, 0.95) == 2 and tune(80, 0.99) == 3 and tune(90, 0.95) == 2 and tune(80, 0.9, rows=2) == 3
     assert cut_words(" a  b\nc d ", [(1, 2)]) == " a  c d " and cut_words("a b", [(0, 2)]) == "" and cut_words("a b", [(5, 9)]) == "a b"
-    assert len(anchors(word_hashes([b"x"] * 500), WORDS, 8)) <= 1
+    assert len(anchors(hashed_words("x " * 500)[0], WORDS, 8)) <= 1
     assert repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
