@@ -13,11 +13,14 @@ byte (the line end of Spark's text writer, which writes the files).  All integer
   the frame, number of ids, number of ids before it in this file);
 * trailer: place and size of the index, number of documents, number of ids (u8 each), ``MAGIC``.
 
-Scale: texts shuffle once, by ranges of the id (and of a hash, so that rows which share an id
-are spread); a range is one file of about ``FILE_BYTES`` of text.  The dictionary is trained
-on the driver on at most ``SAMPLE_ROWS`` documents of at most ``SAMPLE_IDS`` ids each (those of
-least hash), the only thing that is sampled.  Readers hold one file at a time.  A task that is
-lost writes its file again; Spark's commit shows whole files only.
+Scale: texts are encoded and compressed where they are read, a thousand rows at a time, and only
+the frames shuffle: once, by ranges of the id (and of a hash, so that rows which share an id are
+spread); a range is one file of about ``FILE_BYTES`` of text.  The dictionary is trained on the
+driver on at most ``SAMPLE_ROWS`` documents of at most ``SAMPLE_IDS`` ids each (those of least
+hash), the only thing that is sampled; hashes above a bound are left out before rows move, so
+the task that takes the least gets about twice as many, however large the table (rows equal in
+id and text share a hash, so there may be fewer or more).  Readers hold one file at a time.  A
+task that is lost writes its file again; Spark's commit shows whole files only.
 
 Defined cases: a null text is empty, so the end id alone; rows without an id come first; rows
 that share an id stand in the order of their texts' hashes; texts of any length are encoded
@@ -33,13 +36,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.llm.bpe import Codec
-from footfall.llm.common import map_batches, scratch_path, table, written
+from footfall.llm.common import map_batches, scratch_path, small_batches, table, written
 from footfall.sources import fs
 
 END_ID = 2
@@ -109,6 +113,13 @@ def _shared(dictionary: bytes, level: int | None = None) -> zstandard.ZstdCompre
     return shared
 
 
+def candidates(d: DataFrame, rows: int) -> DataFrame:
+    """``d`` (``id``, ``text``) with ``chance``, a hash of both; of a large table of ``rows`` rows only
+    those of the least hashes, about twice ``SAMPLE_ROWS``."""
+    found = d.withColumn("chance", F.xxhash64(F.lit(7), "id", "text"))
+    return found if rows <= 2 * SAMPLE_ROWS else found.where(F.col("chance") < (2 * SAMPLE_ROWS << 64) // rows - (1 << 63))
+
+
 def _as_files(rows: DataFrame, path: str) -> None:
     """The binary column ``row`` of each partition as a file, one byte after each."""
     rows.select(F.col("row").cast("string")).write.text(path, lineSep="\n")
@@ -122,8 +133,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
         content = f.read()
     width, end = _width(content), struct.pack("<I", end_id)
     d = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    seen = Observation()
-    d_seen = d.observe(seen, F.sum(F.octet_length("text")).alias("bytes"))
+    rows, size = d.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
 
     def ids_of(batches):
         codec = library_codec(content)
@@ -131,33 +141,42 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
             found = codec.encode(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([_serial((i + end)[:4 * SAMPLE_IDS], width) for i in found], pa.binary())], ["ids"])
 
-    chance = F.xxhash64(F.lit(7), "id", "text")
-    some = written(d_seen.orderBy(chance, "id").limit(SAMPLE_ROWS).select("text"), "token-sample")
-    size = seen.get["bytes"] or 0
+    some = written(candidates(d, rows).orderBy("chance", "id").limit(SAMPLE_ROWS).select("text"), "token-sample")
     dictionary = train([r.ids for r in map_batches(some, ids_of, "ids binary").collect()])
     mark = hashlib.sha256(dictionary).digest()
     _as_files(spark.createDataFrame([(dictionary,)], "row binary").coalesce(1), f"{path}/dictionary")
 
-    def run(batches):
+    def pack(batches):
         codec, packer = library_codec(content), zstandard.ZstdCompressor(level=LEVEL, dict_data=_shared(dictionary, LEVEL))
-        header = struct.pack(_HEADER, MAGIC, width, mark)
-        at, total, index, first = len(header) + 1, 0, [], [header]
         for b in (b.slice(low, SLICE_ROWS) for b in batches for low in range(0, b.num_rows, SLICE_ROWS)):
-            out, first = first, []
-            for k, ids in zip(b.column(0).to_pylist(), codec.encode(b.column(1).to_pylist())):
-                ids += end
-                frame, n = packer.compress(_serial(ids, width)), len(ids) // 4
-                index.append((k or 0, k is not None, at, len(frame), n, total))
-                out.append(frame)
-                at, total = at + len(frame) + 1, total + n
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["row"])
-        listed = zstandard.ZstdCompressor(level=LEVEL).compress(np.array(index, INDEX).tobytes())
+            found = [ids + end for ids in codec.encode(b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([len(ids) // 4 for ids in found], pa.int64()),
+                 pa.array([packer.compress(_serial(ids, width)) for ids in found], pa.binary())], ["id", "salt", "n", "frame"])
+
+    def run(batches):
+        header = struct.pack(_HEADER, MAGIC, width, mark)
+        at, total, index = len(header) + 1, 0, [np.empty(0, INDEX)]
+        yield pa.RecordBatch.from_arrays([pa.array([header], pa.binary())], ["row"])
+        for b in batches:
+            frames, n = b.column(2), b.column(1).to_numpy()
+            part, steps = np.empty(b.num_rows, INDEX), pc.binary_length(frames).to_numpy().astype(np.int64) + 1
+            part["id"], part["named"] = pc.fill_null(b.column(0), 0), pc.is_valid(b.column(0))
+            part["at"], part["size"] = at + np.cumsum(steps) - steps, steps - 1
+            part["n"], part["before"] = n, total + np.cumsum(n) - n
+            index.append(part)
+            at, total = at + int(steps.sum()), total + int(n.sum())
+            yield pa.RecordBatch.from_arrays([frames], ["row"])
+        index = np.concatenate(index)
+        listed = zstandard.ZstdCompressor(level=LEVEL).compress(index.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([*first, listed, struct.pack(_TRAILER, at, len(listed), len(index), total, MAGIC)], pa.binary())], ["row"])
+            [pa.array([listed, struct.pack(_TRAILER, at, len(listed), len(index), total, MAGIC)], pa.binary())], ["row"])
 
-    salt = F.xxhash64("text")
-    dealt = d.withColumn("salt", salt).repartitionByRange(max(1, -(-size // file_bytes)), "id", "salt")
-    _as_files(map_batches(dealt.sortWithinPartitions("id", "salt").select("id", "text"), run, "row binary"), f"{path}/tokens")
+    with small_batches(spark):
+        framed = written(map_batches(d.select("id", F.xxhash64("text").alias("salt"), "text"), pack,
+                                     "id long, salt long, n long, frame binary"), "token-frames")
+        dealt = framed.repartitionByRange(max(1, -(-size // file_bytes)), "id", "salt").sortWithinPartitions("id", "salt")
+        _as_files(map_batches(dealt.select("id", "n", "frame"), run, "row binary"), f"{path}/tokens")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> bytes:
@@ -253,5 +272,6 @@ def op12_token_files(spark, sf_dir):
 
     path = scratch_path(spark, "token-files")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    found = written(read_tokens(spark, path, with_ids=False), "token-index")
+    with small_batches(spark, 1):
+        found = written(read_tokens(spark, path, with_ids=False), "token-index")
     return with_starts(found).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from footfall.llm import filter_audit, sql
+from footfall.llm import filter_audit, sql, token_files
 from footfall.llm.filter_audit import audit, failures, measures
 from footfall.llm.registry import queries
 from footfall.llm.runs import SquareCatcher, collapsed, periodic_runs, recycled, word_runs
@@ -167,6 +167,28 @@ def test_dictionary_is_shared_and_checked(spark, tmp_root):
         token_files._width_of(token_files.struct.pack(token_files._HEADER, token_files.MAGIC, 2, hashlib.sha256(one).digest()), other)
 
 
+def test_texts_do_not_move_between_tasks(spark, library, tmp_root, monkeypatch):
+    taken, held = [], token_files.map_batches
+    monkeypatch.setattr(token_files, "map_batches", lambda df, run, schema: taken.append(df) or held(df, run, schema))
+    rows = [(i, f"{i % 7} text " * (i % 50)) for i in range(3000)]
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), f"{tmp_root}/moved", TOKENIZER, file_bytes=100_000)
+    dealt = [df.columns for df in taken if "RepartitionByExpression" in df._jdf.queryExecution().analyzed().toString() and "frame" in df.columns]
+    assert dealt == [["id", "n", "frame"]]
+    found = with_starts(read_tokens(spark, f"{tmp_root}/moved")).orderBy("doc_id").collect()
+    assert len({r.file for r in found}) > 3 and [(r.doc_id, list(r.ids)) for r in found] == [(i, _ids(library, t).tolist()) for i, t in rows]
+    assert [r.start for r in found] == np.cumsum([0, *[r.n_tokens for r in found]])[:-1].tolist()
+
+
+def test_rows_left_for_the_dictionary_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "SAMPLE_ROWS", 200)
+    for n in (0, 1, 399, 4000, 40000):
+        d = spark.range(n).select("id", F.concat(F.lit("text "), "id").alias("text"))
+        left = token_files.candidates(d, n)
+        assert min(n, 200) <= left.count() < 600
+        least = [r.id for r in d.orderBy(F.xxhash64(F.lit(7), "id", "text"), "id").limit(200).collect()]
+        assert [r.id for r in left.orderBy("chance", "id").limit(200).collect()] == least
+
+
 # --- periodic runs -----------------------------------------------------------------------
 
 def _plain_runs(w, least=12):
